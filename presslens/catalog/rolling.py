@@ -34,9 +34,9 @@ SPECS = {"u": FeatureSpec("user", device_brands=BRANDS), "b": FeatureSpec("brows
 
 def rounded(df, digits: int = 6, skip: tuple[str, ...] = ()):
     """Doubles rounded for comparison."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(c, digits).alias(c) if t == "double" and c not in skip else F.col(c)
+            f"round(`{c}`, {digits}) AS `{c}`" if t == "double" and c not in skip else f"`{c}`"
             for c, t in df.dtypes
         ]
     )

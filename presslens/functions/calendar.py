@@ -26,16 +26,14 @@ def weekday_flag(date: Column, index: int, base: int = 1) -> Column:
     return F.coalesce((F.dayofweek(date) == index + base).cast("int"), F.lit(0))
 
 
-def weekdays_between(first: Column, last: Column, index: int, base: int = 1) -> Column:
-    """How many days of weekday ``index`` lie in the day-number interval ``[first, last]``.
+def weekdays_between(first: str, last: str, index: int, base: int = 1) -> Column:
+    """How many days of weekday ``index`` lie in the interval of two day-number expressions.
 
-    Day number 0 is a Thursday, so the Sunday-based weekday of day ``u`` is ``(u + 4) mod 7``.
+    Day number 0 is a Thursday, so the Sunday-based weekday of day ``u`` is ``(u + 4) mod 7`` and
+    the days of one weekday up to ``u`` are counted by ``floor((u + 4 - weekday) / 7)``.
     """
-    target = index + base - 1
-    if not 0 <= target <= 6:
+    weekday = index + base - 1
+    if not 0 <= weekday <= 6:
         return F.lit(0)
-
-    def upto(day: Column) -> Column:
-        return F.floor((day + F.lit(4 - target)) / F.lit(7))
-
-    return upto(last) - upto(first - F.lit(1))
+    shift = 4 - weekday
+    return F.expr(f"floor(({last} + {shift}) / 7) - floor(({first} - 1 + {shift}) / 7)")

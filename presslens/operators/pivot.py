@@ -11,23 +11,20 @@ from presslens.spec import sanitize
 
 
 def key_sums(
-    key_col: str, value: Column, keys: Sequence[str], prefix: str, where: Column | None = None
+    key_col: str, value: str, keys: Sequence[str], prefix: str, where: str | None = None
 ) -> list[Column]:
     """One conditional sum per key: 0 for a key that does not occur, null without any row.
 
     ``where`` restricts the rows that count as rows at all.
     """
 
-    def term(key: str) -> Column:
-        hit = F.when(F.col(key_col) == key, value).otherwise(F.lit(0))
-        return hit if where is None else F.when(where, hit)
+    def total(key: str) -> Column:
+        text = key.replace("\\", "\\\\").replace("'", "\\'")
+        hit = f"CASE WHEN `{key_col}` = '{text}' THEN `{value}` ELSE 0 END"
+        term = hit if where is None else f"CASE WHEN {where} THEN {hit} END"
+        return F.expr(f"CAST(sum({term}) AS BIGINT)").alias(sanitize(f"{prefix}_{key}"))
 
-    return [
-        F.sum(term(k))
-        .cast("long")
-        .alias(sanitize(f"{prefix}_{k}"))
-        for k in keys
-    ]
+    return [total(k) for k in keys]
 
 
 def profile_pivot(
@@ -38,4 +35,4 @@ def profile_pivot(
         table = table.where(F.col("date") >= F.lit(str(start)).cast("date"))
     if end is not None:
         table = table.where(F.col("date") <= F.lit(str(end)).cast("date"))
-    return table.groupBy(id_col, "date").agg(*key_sums(key_col, F.col("pageviews"), keys, key_col))
+    return table.groupBy(id_col, "date").agg(*key_sums(key_col, "pageviews", keys, key_col))

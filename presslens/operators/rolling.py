@@ -21,7 +21,7 @@ on gap days; they depend on the calendar only and have a closed form.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,51 +60,53 @@ def frames(n: int) -> dict[str, tuple[int, int]]:
     return {RECENT_HALF: (-half, 0), OLDER_HALF: (-n, -(half - n % 2)), FULL: (-n, 0)}
 
 
-Over = Callable[[Column, str], Column]
+Over = Callable[[Callable[[Column], Column], Column, str], Column]
+
+
+def _day_ordinal(date: dt.date | str) -> int:
+    return (dt.date.fromisoformat(str(date)) - dt.date(1970, 1, 1)).days
 
 
 def _feature_columns(
-    day: Column,
+    day: str,
     n: int,
     sources: Mapping[str, str],
     aggs: Mapping[str, Rolled],
     over: Over,
     active: Column,
-    active_day: Column,
     sums: Mapping[str, str],
     dow_base: int,
     spine_start: dt.date | str | None,
 ) -> list[Column]:
+    """All rolled columns; ``day`` is the SQL text of the row's day number."""
     spans = frames(n)
+    columns = {c: F.col(c) for c in {*sources.values(), *sums.values()}}
+    is_active = F.when(active, F.lit(1)).otherwise(F.lit(0))
     out = [
-        over_column(over, rolled.column, F.col(source), suffix).alias(f"{stem}_{alias}{suffix}")
+        over(rolled.column, columns[source], suffix).cast("double").alias(f"{stem}_{alias}{suffix}")
         for stem, source in sources.items()
         for alias, rolled in aggs.items()
         for suffix in spans
     ]
     for suffix, (low, high) in spans.items():
-        first, last = day + F.lit(low), day + F.lit(high)
+        first, last = f"({day} + {low})", f"({day} + {high})"
         if spine_start is not None:
-            first = F.greatest(first, F.unix_date(F.lit(str(spine_start)).cast("date")))
-        days = last - first + F.lit(1)
+            first = f"greatest({first}, {_day_ordinal(spine_start)})"
+        days = F.expr(f"{last} - {first} + 1")
         present = days > 0
-        days_active = F.coalesce(over_column(over, F.sum, active, suffix), F.lit(0.0))
+        days_active = F.coalesce(over(F.sum, is_active, suffix), F.lit(0)).cast("double")
         out.append(F.when(present, days_active).alias(f"days_active_count{suffix}"))
         for index in WEEKDAYS:
             hits = weekdays_between(first, last, index, dow_base)
             for alias, rolled in aggs.items():
                 value = rolled.flag(hits, days).cast("double")
                 out.append(F.when(present, value).alias(f"dow_{index}_{alias}{suffix}"))
-    out += [over_column(over, F.sum, F.col(c), FULL).alias(name) for name, c in sums.items()]
-    last_active = over(F.max, active_day, FULL)
-    out.append((day - last_active).cast("int").alias("days_since_last_active"))
+    out += [over(F.sum, columns[c], FULL).cast("double").alias(name) for name, c in sums.items()]
+    last_active = over(F.max, F.when(active, day_number(F.col("date"))), FULL)
+    out.append((F.expr(day) - last_active).cast("int").alias("days_since_last_active"))
     return out
 
 
-def over_column(over: Over, agg: Callable[[Column], Column], value: Column, suffix: str) -> Column:
-    return over(agg, value, suffix).cast("double")
-
-
 def rolling_features(
     df: DataFrame,
     id_col: str,
@@ -124,20 +126,13 @@ def rolling_features(
     so there is a single sort, and none of the shuffles is repeated when ``df`` is already
     partitioned by ``id_col``.
     """
-    day = day_number(F.col("date"))
-    active = F.lit(True) if active is None else active
     window = Window.partitionBy(id_col).orderBy("__day")
-
-    def over(agg, value, suffix):
-        return agg(value).over(window.rangeBetween(*frames(n)[suffix]))
-
-    keyed = df.withColumn("__day", day)
+    windows = {suffix: window.rangeBetween(*span) for suffix, span in frames(n).items()}
     features = _feature_columns(
-        F.col("__day"), n, sources, aggs, over,
-        F.when(active, F.lit(1)).otherwise(F.lit(0)), F.when(active, F.col("__day")),
-        sums or {}, dow_base, spine_start,
+        "__day", n, sources, aggs, lambda agg, value, suffix: agg(value).over(windows[suffix]),
+        F.lit(True) if active is None else active, sums or {}, dow_base, spine_start,
     )
-    return keyed.select(*df.columns, *features)
+    return df.withColumn("__day", day_number(F.col("date"))).select(*df.columns, *features)
 
 
 def point_features(
@@ -151,30 +146,28 @@ def point_features(
     active: Column | None = None,
     dow_base: int = 1,
     spine_start: dt.date | str | None = None,
+    today: Sequence[str] = (),
 ) -> DataFrame:
     """The rolled columns of one single day, one row per id.
 
     For one day a frame is a condition, so the windows turn into one conditional aggregate: no
-    sort, and partial sums are combined before the only shuffle.
+    sort, and partial sums are combined before the only shuffle.  ``today`` carries columns of
+    the day's own row along.
     """
-    target = F.unix_date(F.lit(str(date)).cast("date"))
-    active = F.lit(True) if active is None else active
+    target = _day_ordinal(date)
     spans = frames(n)
-    rows = df.withColumn("__lag", day_number(F.col("date")) - target).where(
+    rows = df.withColumn("__lag", day_number(F.col("date")) - F.lit(target)).where(
         F.col("__lag").between(-n, 0)
     )
+    inside = {suffix: F.col("__lag").between(*span) for suffix, span in spans.items()}
 
     def over(agg, value, suffix):
-        low, high = spans[suffix]
-        if (low, high) == spans[FULL]:
-            return agg(value)
-        return agg(F.when(F.col("__lag").between(low, high), value))
+        return agg(value if spans[suffix] == (-n, 0) else F.when(inside[suffix], value))
 
     features = _feature_columns(
-        target, n, sources, aggs, over,
-        F.when(active, F.lit(1)).otherwise(F.lit(0)),
-        F.when(active, F.col("__lag") + target),
-        sums or {}, dow_base, spine_start,
+        str(target), n, sources, aggs, over,
+        F.lit(True) if active is None else active, sums or {}, dow_base, spine_start,
     )
-    result = rows.groupBy(id_col).agg(*features)
+    own = [F.max(F.when(F.col("__lag") == 0, F.col(c))).alias(c) for c in today]
+    result = rows.groupBy(id_col).agg(*features, *own)
     return result.withColumn("date", F.lit(str(date)).cast("date"))

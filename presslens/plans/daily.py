@@ -100,13 +100,16 @@ def key_counts(pageviews: DataFrame, id_col: str, key: str) -> DataFrame:
 def hour_buckets(pageviews: DataFrame, id_col: str) -> DataFrame:
     """24 hourly and six four-hour pageview counts per (date, id)."""
     hours = facet_counts(pageviews, id_col, ("hours",))
-    return hours.groupBy("date", id_col).agg(*_hour_columns(F.lit(True)))
+    return hours.groupBy("date", id_col).agg(*_hour_columns())
 
 
-def _hour_columns(is_hour: Column) -> list[Column]:
+def _hour_columns() -> list[Column]:
+    """Pageviews per hour and per four-hour range out of facet counts."""
+
     def between(first: int, last: int, name: str) -> Column:
-        test = is_hour & F.col("key").isin(*[str(h) for h in range(first, last)])
-        return F.coalesce(F.sum(F.when(test, F.col("pageviews"))), F.lit(0)).alias(name)
+        keys = ", ".join(f"'{h}'" for h in range(first, last))
+        hit = f"CASE WHEN facet = 'hours' AND key IN ({keys}) THEN pageviews ELSE 0 END"
+        return F.expr(f"sum({hit}) AS {name}")
 
     singles = [between(h, h + 1, name) for h, name in zip(HOURS, HOUR_COLUMNS, strict=True)]
     ranges = [between(a, b, name) for (a, b), name in zip(HOUR_RANGES, RANGE_COLUMNS, strict=True)]
@@ -134,7 +137,7 @@ def day_table(facets: DataFrame, id_col: str) -> DataFrame:
         counter_map(facet, "categories").alias("article_categories_pageviews"),
         counter_map(facet, "tags").alias("article_tags_pageviews"),
         counter_map(facet, "hours").alias("hour_interval_pageviews"),
-        *_hour_columns(facet == "hours"),
+        *_hour_columns(),
     )
 
 

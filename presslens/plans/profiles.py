@@ -12,11 +12,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from presslens.functions.calendar import day_number
 from presslens.functions.flags import is_true
-from presslens.functions.numbers import relative_change, safe_ratio
+from presslens.functions.numbers import column_ratio, relative_change
 from presslens.operators.latest import latest_by
 from presslens.operators.pivot import key_sums
 from presslens.operators.rolling import (
@@ -136,19 +137,23 @@ def stack_days(
     kind = F.col("__kind")
     aggs = [F.sum(c).alias(c) for c in (*measures, *device_columns)]
     for key_col, (_, keys) in pivots.items():
-        aggs += key_sums("__key", F.col("__views"), keys, key_col, where=kind == key_col)
+        aggs += key_sums("__key", "__views", keys, key_col, where=f"__kind = '{key_col}'")
     aggs.append(F.max(kind == "day").alias("has_activity"))
     if points is not None:
+        aggs.append(F.max(kind != "point").alias("has_data"))
         aggs.append(F.max(kind == "point").alias("is_point"))
         extra = [c for c in points.columns if c not in (id_col, "date")]
         aggs += [F.max(c).alias(c) for c in extra]
-    return stacked.repartition(id_col).groupBy(id_col, "date").agg(*aggs)
+    # The frames below turn narrow rows into hundreds of columns.  A fixed number of partitions
+    # keeps adaptive execution from merging them by their (small) input size.
+    partitions = int(stacked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stacked.repartition(partitions, id_col).groupBy(id_col, "date").agg(*aggs)
 
 
 def derived_metrics(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Ratios of rolled columns for the full window and both halves, 0 where undefined."""
     ratios = [
-        safe_ratio(F.col(d.numerator + s), F.col(d.denominator + s), 0.0).alias(d.name + s)
+        column_ratio(d.numerator + s, d.denominator + s).alias(d.name + s)
         for d in spec.derived()
         for s in WINDOW_SUFFIXES
     ]
@@ -159,7 +164,7 @@ def half_change(df: DataFrame, stems: Sequence[str]) -> DataFrame:
     """Change between the window halves for each stem that has both."""
     present = set(df.columns)
     changes = [
-        relative_change(F.col(s + OLDER_HALF), F.col(s + RECENT_HALF)).alias(change_column(s))
+        relative_change(s + OLDER_HALF, s + RECENT_HALF).alias(change_column(s))
         for s in stems
         if s + OLDER_HALF in present and s + RECENT_HALF in present
     ]
@@ -252,20 +257,30 @@ def browser_profile(
 def _roll(stacked, id_col, start, end, n, spec, aggs, sums, dow_base, spine_start) -> DataFrame:
     active = F.col("has_activity")
     if str(start) == str(end):
-        carried = [c for c in ("is_point", "outcome_date") if c in stacked.columns]
-        target = F.col("date") == _date(end)
-        today = [F.max(F.when(target, F.col(c))).alias(c) for c in ("pageviews", *carried)]
-        point = point_features(
-            stacked, id_col, end, n, spec.rolled_sources(), aggs, sums, active, dow_base, spine_start
-        )
-        # Same grouping and partitioning, so the join below adds no shuffle.
-        return point.join(stacked.groupBy(id_col).agg(*today), id_col)
+        today = [c for c in ("pageviews", "is_point", "outcome_date") if c in stacked.columns]
+        return point_features(
+            stacked, id_col, end, n, spec.rolled_sources(), aggs, sums, active, dow_base,
+            spine_start, today,
+        )
+    if "is_point" in stacked.columns:
+        stacked = _reachable(stacked, id_col, n)
     rolled = rolling_features(
         stacked, id_col, n, spec.rolled_sources(), aggs, sums, active, dow_base, spine_start
     )
     return rolled.where(F.col("date").between(_date(start), _date(end)))
 
 
+def _reachable(stacked: DataFrame, id_col: str, n: int) -> DataFrame:
+    """Drop bare points without activity in their window before the wide frames are computed.
+
+    Partitioning and order are those of the frames, so this costs one narrow pass and no sort.
+    """
+    past = Window.partitionBy(id_col).orderBy("__day").rangeBetween(-n, 0)
+    keyed = stacked.withColumn("__day", day_number(F.col("date")))
+    recent = keyed.withColumn("__recent", F.max("has_activity").over(past))
+    return recent.where(F.col("has_data") | F.col("__recent")).drop("__day", "__recent")
+
+
 def _tidy(df: DataFrame, spec: FeatureSpec, extra: Sequence[str]) -> DataFrame:
     head = [spec.id_column, "date", "day_of_week", "is_active_on_date", *extra]
     features = [f"{stem}{suffix}" for stem in spec.windowed_stems() for suffix in WINDOW_SUFFIXES]

@@ -256,7 +256,7 @@ def last_vs_previous(
         sides = sides.withColumn(f"is_discount_{side}", flag)
     return sides.select(
         "*",
-        *[relative_change(F.col(f"{c}_last"), F.col(f"{c}_previous")).alias(f"{c}_diff")
+        *[relative_change(f"{c}_last", f"{c}_previous").alias(f"{c}_diff")
           for c in NUMERIC_DIFFS],
         *[(F.col(f"{c}_last") - F.col(f"{c}_previous")).alias(f"{c}_diff") for c in PLAIN_DIFFS],
     )
