@@ -1 +1,241 @@
+"""Model inputs, training, prediction and the registry."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.sql import functions as F
+
+from presslens.catalog.audience import predictions
+from presslens.catalog.daily import pageviews, user_day_table
+from presslens.catalog.registry import load, query
+from presslens.catalog.rolling import SPECS, browser_outcomes, long_table, rounded
+from presslens.functions.flags import bool_to_int
+from presslens.operators import encoding, sampling
+from presslens.operators.metrics import class_metrics
+from presslens.operators.pivot import profile_pivot
+from presslens.plans import training
+from presslens.session import scratch_dir
+from presslens.sources import sinks
+from presslens.spec import HOUR_RANGES, REFERER_MEDIUMS, range_column, sanitize
+
+CATEGORICAL = ("derived_referer_medium", "category")
+SEED = 42
+
+# ---- encoders ----------------------------------------------------------------------------------
+
+
+@query(
+    "bool_to_int",
+    "SELECT event_id, CASE WHEN lower(subscriber) IN ('t', 'true', '1') THEN 1 ELSE 0 END AS subscriber FROM fx_pageviews",
+)
+def bools(spark, sf):
+    return pageviews(spark, sf).select("event_id", bool_to_int(F.col("subscriber")).alias("subscriber"))
+
+
+@query("label_index", """SELECT event_id, predicted_outcome,
+    (dense_rank() OVER (ORDER BY predicted_outcome) - 1)::DOUBLE AS predicted_outcome_index
+    FROM fx_predictions""")
+def label_index(spark, sf):
+    rows = predictions(spark, sf).select("event_id", "predicted_outcome")
+    return training.label_index(rows, "predicted_outcome")
+
+
+@query(
+    "category_dict",
+    " UNION ".join(
+        f"SELECT '{c}' AS feature, {c} AS value FROM fx_pageviews UNION SELECT '{c}', 'Unknown'"
+        for c in CATEGORICAL
+    ),
+)
+def category_dict(spark, sf):
+    return encoding.category_values(pageviews(spark, sf), CATEGORICAL)
+
+
+_VALUES = {
+    "derived_referer_medium": ("", "direct", "email", "external", "internal", "search", "social"),
+    "category": ("", "blog", "rodina-a-vztahy", "sport", "svet"),
+}
+
+
+@query(
+    "one_hot",
+    "SELECT event_id, "
+    + ", ".join(
+        f"""CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS "{c}_{v}\""""
+        for c, values in _VALUES.items()
+        for v in values
+    )
+    + " FROM fx_pageviews",
+)
+def one_hot(spark, sf):
+    rows = pageviews(spark, sf).select("event_id", *CATEGORICAL)
+    return encoding.one_hot(rows, encoding.fit_categories(rows, CATEGORICAL))
+
+
+_SCALED = ("pageviews", "timespent", "sessions", "sessions_without_ref")
+
+
+@query(
+    "min_max_scale",
+    "SELECT date, user_id, "
+    + ", ".join(
+        f"""round(({c} - min({c}) OVER ()) / coalesce(NULLIF(max({c}) OVER () - min({c}) OVER (), 0), 1.0), 6)::DOUBLE AS {c}"""
+        for c in _SCALED
+    )
+    + ", 0.0::DOUBLE AS constant FROM u_days",
+)
+def min_max_scale(spark, sf):
+    rows = user_day_table(spark, sf).select("date", "user_id", *_SCALED, F.lit(3.0).alias("constant"))
+    return rounded(encoding.min_max(rows, encoding.fit_min_max(rows, [*_SCALED, "constant"])))
+
+
+_RANGES = [range_column(a, b) for a, b in HOUR_RANGES]
+_MEDIUMS = [sanitize(f"referer_mediums_{k}") for k in REFERER_MEDIUMS]
+
+
+def _share_sql(columns, table):
+    total = " + ".join(columns)
+    shares = ", ".join(f"round(coalesce({c} / NULLIF({total}, 0), 0.0), 6) AS {c}" for c in columns)
+    return f"SELECT user_id, date, {shares} FROM {table}"
+
+
+@query("row_normalize", _share_sql(_MEDIUMS, "u_pivot_mediums"))
+def row_normalize(spark, sf):
+    from presslens.functions.numbers import row_shares
+
+    counts = profile_pivot(
+        long_table(spark, sf, "user_id", "referer_mediums"), "user_id", "referer_mediums", REFERER_MEDIUMS
+    )
+    shares = [s.alias(c) for c, s in zip(_MEDIUMS, row_shares(_MEDIUMS), strict=True)]
+    return rounded(counts.select("user_id", "date", *shares))
+
+
+@query(
+    "align_columns",
+    """SELECT date, user_id, 0.0::DOUBLE AS clv, pageviews::DOUBLE AS pageviews,
+    sessions::DOUBLE AS sessions FROM u_days""",
+)
+def align_columns(spark, sf):
+    rows = user_day_table(spark, sf)
+    return encoding.align_columns(rows, {"pageviews", "sessions", "clv"}, ["date", "user_id"])
+
+
+# ---- samples and splits ------------------------------------------------------------------------
+_DRAW = f"md5(concat_ws(':', CAST(event_id AS VARCHAR), '{SEED}'))"
+
+
+@query(
+    "undersample_counts",
+    f"""SELECT event_id, predicted_outcome FROM (
+      SELECT event_id, predicted_outcome, row_number() OVER (PARTITION BY predicted_outcome ORDER BY {_DRAW}) AS r
+      FROM fx_predictions)
+    WHERE r <= (SELECT min(n) FROM (SELECT count(*) AS n FROM fx_predictions GROUP BY predicted_outcome))""",
+)
+def undersample(spark, sf):
+    rows = predictions(spark, sf).select("event_id", "predicted_outcome")
+    return sampling.undersample(rows, "predicted_outcome", ["event_id"], SEED)
+
+
+MIN_DATE = "2024-01-05"
+
+
+def _split_sql(order: str) -> str:
+    return f"""SELECT event_id, date, CASE WHEN date < DATE '{MIN_DATE}' THEN TRUE ELSE r <= cut END AS is_train
+    FROM (SELECT event_id, date,
+      row_number() OVER (PARTITION BY date < DATE '{MIN_DATE}' ORDER BY {order}) AS r,
+      round_even(count(*) OVER (PARTITION BY date < DATE '{MIN_DATE}') * 0.7, 0) AS cut FROM fx_predictions)"""
+
+
+@query("random_split", _split_sql(_DRAW))
+def random_split(spark, sf):
+    rows = predictions(spark, sf).select("event_id", "date")
+    return sampling.random_split(rows, ["event_id"], 0.7, MIN_DATE, SEED, outcome_date="date")
+
+
+@query("time_split", _split_sql(f"date, {_DRAW}"))
+def time_split(spark, sf):
+    rows = predictions(spark, sf).select("event_id", "date")
+    return sampling.time_split(rows, ["event_id"], 0.7, MIN_DATE, outcome_date="date", seed=SEED)
+
+
+@query(
+    "class_metrics",
+    """SELECT label, precision, recall, CASE WHEN precision + recall = 0 THEN 0.0
+      ELSE round(2 * precision * recall / (precision + recall), 6) END::DOUBLE AS f_score, support
+    FROM (SELECT label, round(coalesce(hit / NULLIF(guessed, 0), 0.0), 6) AS precision,
+        round(coalesce(hit / NULLIF(support, 0), 0.0), 6) AS recall, support
+      FROM (SELECT l.label, count(*) FILTER (quality = l.k) AS support, count(*) FILTER (toxic = l.k) AS guessed,
+          count(*) FILTER (quality = l.k AND toxic = l.k) AS hit
+        FROM labels, (SELECT DISTINCT k, CAST(k AS VARCHAR) AS label FROM (
+          SELECT quality AS k FROM labels UNION SELECT toxic FROM labels)) l GROUP BY 1))""",
+)
+def metrics(spark, sf):
+    rows = spark.read.parquet(f"{sf}/labels.parquet")
+    scores = rounded(class_metrics(rows, "quality", "toxic"))
+    total = F.col("precision") + F.col("recall")
+    f_score = F.when(total == 0, F.lit(0.0)).otherwise(
+        F.round(2 * F.col("precision") * F.col("recall") / total, 6)
+    )
+    return scores.withColumn("f_score", f_score)
+
+
+# ---- registry and job log ----------------------------------------------------------------------
+@query(
+    "latest_model",
+    """SELECT * FROM fx_models WHERE max_date < DATE '2024-01-20' AND model_version = '1.0'
+    AND train_date = (SELECT max(train_date) FROM fx_models
+      WHERE max_date < DATE '2024-01-20' AND model_version = '1.0')""",
+)
+def latest_model(spark, sf):
+    return training.latest_model(
+        load(spark, sf, "fx_models"), "conversion", "1.0", 30, "2024-01-20", "2024-02-01 00:00:00"
+    )
+
+
+@query(
+    "prediction_job_log",
+    """SELECT date + 1 AS date, model_version, min(created_at) AS created_at, count(*) AS rows_predicted
+    FROM fx_predictions GROUP BY date, model_version""",
+)
+def prediction_job_log(spark, sf):
+    rows = predictions(spark, sf).withColumn("outcome_date", F.date_add("date", 1))
+    return training.job_log(rows)
+
+
+# ---- training ----------------------------------------------------------------------------------
+def model_rows(spark, sf):
+    """Browser profiles with outcomes, prepared, stored and split by time.
+
+    Fitting reads its rows several times, so they come from a written table.
+    """
+    spec = SPECS["b"]
+    path = scratch_dir(spark, "profiles")
+    sinks.replace(training.prepare(browser_outcomes(spark, sf), spec), path)
+    prepared = spark.read.parquet(path)
+    return sampling.time_split(prepared, ["browser_id", "date", "outcome"], 0.7), spec
+
+
+def fitted(spark, sf, trees: int = 50):
+    rows, spec = model_rows(spark, sf)
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=8, seed=SEED)
+    model = training.train(
+        rows.where("is_train"), spec.numeric_features(), spec.categorical_features(),
+        spec.bool_features(), estimator=forest,
+        sampler=lambda df: sampling.undersample(df, "outcome", ["browser_id", "date", "outcome"], SEED),
+    )
+    return model, rows
+
+
+@query("train_predict")
+def train_predict(spark, sf):
+    model, rows = fitted(spark, sf)
+    return training.predict(model, rows, ["browser_id", "date", "outcome", "is_train"])
+
+
+@query("feature_importances")
+def feature_importances(spark, sf):
+    model, _ = fitted(spark, sf)
+    pairs = list(model.importances().items())
+    return spark.createDataFrame(pairs, "feature string, importance double")
+
 

@@ -1 +1,226 @@
+"""Reading, writing and the stored form of profiles."""
 
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from presslens.catalog.daily import event_table, pageviews, user_day_table
+from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
+from presslens.catalog.registry import TABLES, load, query
+from presslens.catalog.rolling import SPECS, browser_outcomes, browser_profile, rounded
+from presslens.functions.ids import parse_pg_array
+from presslens.functions.labels import CONVERSION_LABELS, labels_of
+from presslens.plans import daily, outcomes, packing
+from presslens.session import scratch_dir
+from presslens.sources import files, relational, sinks
+from presslens.spec import HOUR_COLUMNS, RANGE_COLUMNS
+
+DAYS = files.date_range(dt.date.fromisoformat(FIRST_DAY), dt.date.fromisoformat(LAST_DAY))
+
+
+@query("parse_pg_array", "SELECT event_id, unnest(string_split(tags, ',')) AS tag FROM fx_pageviews")
+def pg_arrays(spark, sf):
+    literal = F.concat(F.lit("{"), F.col("tags"), F.lit("}"))
+    rows = pageviews(spark, sf).select("event_id", parse_pg_array(literal).alias("tags"))
+    return rows.select("event_id", F.explode("tags").alias("tag"))
+
+
+_PARAM_SQL = """
+    SELECT date, browser_id, count(*) AS n FROM {source}
+    WHERE date BETWEEN {first} AND {last} GROUP BY date, browser_id"""
+
+
+@query(
+    "param_query",
+    _PARAM_SQL.format(source="fx_pageviews", first=f"DATE '{FIRST_DAY}'", last=f"DATE '{LAST_DAY}'"),
+)
+def param_query(spark, sf):
+    text = _PARAM_SQL.format(source="{source}", first=":start_time", last=":end_time")
+    return relational.param_query(
+        spark, text,
+        {"start_time": dt.date.fromisoformat(FIRST_DAY), "end_time": dt.date.fromisoformat(LAST_DAY)},
+        {"source": pageviews(spark, sf)}, require_rows=True,
+    )
+
+
+@query("incremental_sync", f"SELECT * FROM fx_subscriptions WHERE CAST(created_at AS DATE) <= DATE '{LAST_DAY}'")
+def incremental_sync(spark, sf):
+    """The target holds the first years; the sync adds everything newer up to the last day."""
+    source = load(spark, sf, "fx_subscriptions")
+    target = source.where(F.to_date("created_at") <= F.lit("2021-06-30").cast("date"))
+    return sinks.incremental_sync(source, target, LAST_DAY)
+
+
+@query(
+    "retention",
+    f"SELECT * FROM fx_subscriptions WHERE CAST(created_at AS DATE) >= DATE '{LAST_DAY}' - 365",
+)
+def retention(spark, sf):
+    dated = load(spark, sf, "fx_subscriptions").withColumn("date", F.to_date("created_at"))
+    return sinks.retained(dated, LAST_DAY).drop("date")
+
+
+# ---- files -------------------------------------------------------------------------------------
+@query(
+    "read_day_csv",
+    """SELECT date, user_id, browser_id, subscriber, derived_referer_medium, category, time,
+    session_id, user_agent, tags FROM fx_pageviews""",
+)
+def read_day_csv(spark, sf):
+    """Write the log as one delimited folder per day and read it back by day."""
+    folder = scratch_dir(spark, "logs")
+    rows = pageviews(spark, sf).drop("timespent", "event_id").withColumn(
+        "stamp", F.date_format("date", "yyyyMMdd")
+    )
+    writer = rows.drop("date").hint("rebalance", "stamp").write.partitionBy("stamp")
+    writer.option("header", True).option("sep", ";").option("compression", "gzip").option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    ).csv(f"{folder}/pageviews")
+    log = files.read_day_csv(spark, folder, "pageviews", DAYS, missing="skip", layout="{kind}/stamp={stamp}")
+    return log.drop("event_id")
+
+
+@query(
+    "jsonl_round_trip",
+    "SELECT date, browser_id, user_ids FROM (SELECT date, browser_id, string_agg(user_id, ',' ORDER BY user_id) AS user_ids FROM dim_browser_users GROUP BY 1, 2)",
+)
+def jsonl_round_trip(spark, sf):
+    path = scratch_dir(spark, "jsonl")
+    pairs = daily.browser_users(pageviews(spark, sf))
+    users = pairs.groupBy("date", "browser_id").agg(F.array_sort(F.collect_set("user_id")).alias("user_ids"))
+    sinks.write_jsonl(users, path)
+    back = files.read_jsonl(spark, path, "date date, browser_id string, user_ids array<string>")
+    return back.withColumn("user_ids", F.array_join("user_ids", ","))
+
+
+_STORED = ("date", "user_id", "pageviews", "timespent", "sessions", "sessions_without_ref",
+           *HOUR_COLUMNS, *RANGE_COLUMNS)
+
+
+@query("idempotent_write", f"SELECT {', '.join(_STORED)} FROM u_days")
+def idempotent_write(spark, sf):
+    """All days once, then the second half again: the table holds every row once."""
+    path = scratch_dir(spark, "user_days")
+    days = user_day_table(spark, sf).select(*_STORED)
+    sinks.write_partitions(days, path, ["date"])
+    again = days.where(F.col("date") >= F.lit("2024-01-16").cast("date"))
+    sinks.write_partitions(again, path, ["date"])
+    return spark.read.parquet(path).select(*_STORED)
+
+
+# ---- profiles ----------------------------------------------------------------------------------
+VERSION = "1.01"
+WINDOW = 7
+_SHOWN = ("pageviews_avg", "visit_avg", "timespent_avg", "days_active_count", "days_since_last_active",
+          "pageviews_per_visit_avg", "desktop_device_avg")
+_VARIANTS = ("pageviews_avg_first_window_half", "visit_avg_last_window_half",
+             "relative_timespent_avg_change_first_and_second_half")
+_PIVOTS = ("referer_mediums_direct_avg", "categories__avg", "categories_rodina_a_vztahy_avg")
+_NUMBERS = (*_SHOWN, *_VARIANTS, *_PIVOTS, "dow_0_avg", "pvs_4h_8h_avg", "shared_account_logins_past_30_days")
+_SQL_NUMBERS = {
+    "desktop_device_avg": "0.0::DOUBLE",
+    "shared_account_logins_past_30_days": "coalesce(c.shared_account_logins_past_30_days, 0)::DOUBLE",
+    "days_since_last_active": "o.days_since_last_active::DOUBLE",
+}
+TABLES["b_stored"] = f"""
+    SELECT o.browser_id, o.date, o.outcome, o.outcome_date, o.device, o.day_of_week, o.is_desktop,
+      {', '.join(f'{_SQL_NUMBERS.get(c, f"coalesce(o.{c}, 0.0)")} AS {c}' for c in _NUMBERS)}
+    FROM b_outcome o LEFT JOIN login_counts c ON o.browser_id = c.browser_id AND o.date = c.date"""
+
+
+def packed_profiles(spark, sf):
+    rows = browser_outcomes(spark, sf)
+    created = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    return packing.pack_features(rows, SPECS["b"], WINDOW, VERSION, created)
+
+
+def _shown(unpacked):
+    text = ("browser_id", "date", "outcome", "outcome_date", "device", "day_of_week")
+    flag = (F.lower("is_desktop") == "true").alias("is_desktop")
+    return rounded(unpacked.select(*text, flag, *_NUMBERS))
+
+
+@query(
+    "pack_features",
+    f"""SELECT browser_id, date, outcome, outcome_date, '{VERSION}' AS pipeline_version, {WINDOW} AS window_days,
+    'avg' AS feature_aggregation_functions, device, {', '.join(_SHOWN)} FROM b_stored""",
+)
+def pack_features(spark, sf):
+    packed = packed_profiles(spark, sf)
+    numbers = [
+        F.get_json_object("features__numeric_columns", f"$.{c}").cast("double").alias(c) for c in _SHOWN
+    ]
+    return rounded(
+        packed.select(
+            "browser_id", "date", "outcome", "outcome_date", "pipeline_version", "window_days",
+            "feature_aggregation_functions",
+            F.get_json_object("features__categorical_columns", "$.device").alias("device"), *numbers,
+        )
+    )
+
+
+@query("unpack_features", "SELECT * FROM b_stored")
+def unpack_features(spark, sf):
+    return _shown(packing.unpack_features(packed_profiles(spark, sf), SPECS["b"]))
+
+
+@query("profile_write", "SELECT * FROM b_stored")
+def profile_write(spark, sf):
+    """Store packed profiles, store one day again, read back."""
+    path = scratch_dir(spark, "profiles")
+    packed = packed_profiles(spark, sf)
+    sinks.write_profiles(packed, path)
+    sinks.write_profiles(packed.where(F.col("date") == F.lit(LAST_DAY).cast("date")), path)
+    return _shown(packing.unpack_features(spark.read.parquet(path), SPECS["b"]))
+
+
+_BACKFILL = ("browser_id", "date", "day_of_week", "is_active_on_date", "days_since_last_active",
+             "pageviews_avg", "pageviews_avg_first_window_half", "pageviews_avg_last_window_half",
+             "days_active_count", "dow_3_avg", "pageviews_per_visit_avg",
+             "relative_pageviews_avg_change_first_and_second_half")
+
+
+@query("profile_backfill", f"SELECT {', '.join(_BACKFILL)} FROM b_profile")
+def profile_backfill(spark, sf):
+    """Every day in one pass, then the last day once more on its own: both ways agree."""
+    path = scratch_dir(spark, "backfill")
+    sinks.write_partitions(browser_profile(spark, sf), path, ["date"])
+    sinks.write_partitions(browser_profile(spark, sf, LAST_DAY, LAST_DAY), path, ["date"])
+    return rounded(spark.read.parquet(path).select(*_BACKFILL))
+
+
+TABLES["b_labelled"] = """
+    SELECT f.browser_id, f.date, f.date + 1 AS outcome_date, 30 AS window_days,
+      CASE WHEN e.type IN ('conversion', 'shared_account_login') THEN e.type ELSE 'no_conversion' END AS outcome
+    FROM b_days f LEFT JOIN all_events e ON f.browser_id = e.browser_id
+      AND f.date >= CAST(e.time AS DATE) - 1 AND f.date < CAST(e.time AS DATE)"""
+_PERIOD = "window_days = 30 AND outcome_date <= DATE '2024-01-25'"
+
+
+def labelled(spark, sf):
+    rows = daily.visitor_views(pageviews(spark, sf)).select("browser_id", "date").distinct()
+    out = outcomes.conversion_outcome(rows, event_table(spark, sf))
+    return out.withColumn("window_days", F.lit(30))
+
+
+@query(
+    "profile_retrieval",
+    f"""SELECT * FROM b_labelled WHERE {_PERIOD}
+    AND (outcome_date >= DATE '2024-01-15' OR outcome IN ('conversion', 'shared_account_login'))""",
+)
+def profile_retrieval(spark, sf):
+    history = labels_of(CONVERSION_LABELS, "positive")
+    return packing.retrieve_profiles(
+        labelled(spark, sf), "browser_id", 30, "2024-01-15", "2024-01-25", history
+    )
+
+
+@query(
+    "latest_profile",
+    f"""SELECT * FROM b_labelled WHERE {_PERIOD} AND outcome_date >= DATE '2024-01-15'
+    QUALIFY rank() OVER (PARTITION BY browser_id ORDER BY date DESC) = 1""",
+)
+def latest_profile(spark, sf):
+    return packing.retrieve_profiles(labelled(spark, sf), "browser_id", 30, "2024-01-15", "2024-01-25")
