@@ -123,8 +123,7 @@ def experiment_arm_totals(spark, sf):
 )
 def experiment_invalid(spark, sf):
     """Counts of two different conditions as arms, so that some are not usable."""
-    load(spark, sf, "fx_arms")
-    counted = spark.table("events").groupBy(
+    counted = spark.read.parquet(f"{sf}/events.parquet").groupBy(
         F.col("user_id").alias("experiment"), F.col("event_type").alias("arm")
     )
     arms = counted.agg(

@@ -53,13 +53,20 @@ def with_tables(body: str) -> str:
     return f"WITH {ctes}\n{body.strip()}"
 
 
+#: Plans of views already analysed, by application, folder and view.  Plans only, no data.
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """A view of the test tables as a DataFrame."""
-    sql = with_tables_of(view)
-    for table in DRIVER_TABLES:
-        if re.search(rf"\b{table}\b", sql):
+    key = (spark.sparkContext.applicationId, sf_dir, view)
+    if key not in _PLANS:
+        sql = with_tables_of(view)
+        used = [t for t in DRIVER_TABLES if re.search(rf"\b{t}\b", sql)]
+        for table in used:
             spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    return spark.sql(sql)
+        _PLANS[key] = spark.sql(sql)
+    return _PLANS[key]
 
 
 def with_tables_of(view: str) -> str:

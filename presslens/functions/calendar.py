@@ -24,16 +24,3 @@ def weekday_flag(date: Column, index: int, base: int = 1) -> Column:
     ``base=0`` compares the raw number, so index 0 never matches and Saturday is never flagged.
     """
     return F.coalesce((F.dayofweek(date) == index + base).cast("int"), F.lit(0))
-
-
-def weekdays_between(first: str, last: str, index: int, base: int = 1) -> Column:
-    """How many days of weekday ``index`` lie in the interval of two day-number expressions.
-
-    Day number 0 is a Thursday, so the Sunday-based weekday of day ``u`` is ``(u + 4) mod 7`` and
-    the days of one weekday up to ``u`` are counted by ``floor((u + 4 - weekday) / 7)``.
-    """
-    weekday = index + base - 1
-    if not 0 <= weekday <= 6:
-        return F.lit(0)
-    shift = 4 - weekday
-    return F.expr(f"floor(({last} + {shift}) / 7) - floor(({first} - 1 + {shift}) / 7)")

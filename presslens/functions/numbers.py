@@ -15,26 +15,6 @@ def safe_ratio(numerator: Column, denominator: Column, default: float | None = N
     return ratio if default is None else F.coalesce(ratio, F.lit(float(default)))
 
 
-def column_ratio(numerator: str, denominator: str) -> Column:
-    """``safe_ratio`` with default 0 over two named columns, as one SQL expression.
-
-    Wide feature frames hold hundreds of these; one text each keeps plan building fast.
-    """
-    return F.expr(f"coalesce(try_divide(CAST(`{numerator}` AS DOUBLE), CAST(`{denominator}` AS DOUBLE)), 0D)")
-
-
-def relative_change(later: str, earlier: str) -> Column:
-    """Growth factor between two named columns with fixed ends.
-
-    ``later = 0`` is -1, ``earlier = 0`` is 1, else the ratio.  The first test wins when both are
-    zero; a null on either side stays null.
-    """
-    return F.expr(
-        f"CASE WHEN `{later}` = 0 THEN -1D WHEN `{earlier}` = 0 THEN 1D "
-        f"ELSE try_divide(CAST(`{later}` AS DOUBLE), CAST(`{earlier}` AS DOUBLE)) END"
-    )
-
-
 def row_shares(names: Sequence[str]) -> list[Column]:
     """Each column divided by the sum of the set, 0 where that is undefined."""
     total = reduce(lambda a, b: a + b, [F.col(n).cast("double") for n in names])

@@ -11,6 +11,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presslens.functions.text import filled, indicator, name, number, scaled
+
 # Fixed value: bucket for null and unseen categories.
 UNKNOWN = "Unknown"
 
@@ -51,33 +53,25 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame
 
     The Unknown bucket gets no column: null and unseen values are the all-zero row.
     """
-    kept = [c for c in df.columns if c not in categories]
+    kept = [name(c) for c in df.columns if c not in categories]
     dummies = [
-        F.coalesce((F.col(c).cast("string") == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
-        for c, values in categories.items()
-        for v in values
+        f"{indicator(c, v)} AS {name(f'{c}_{v}')}" for c, values in categories.items() for v in values
     ]
-    return df.select(*kept, *dummies)
+    return df.selectExpr(*kept, *dummies)
 
 
 def fit_min_max(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Minimum and maximum per column, nulls counted as 0, in one pass."""
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
-    limits = [F.struct(F.min(v), F.max(v)).alias(c) for c, v in filled.items()]
-    row = df.agg(*limits).first()
-    return {c: (row[c][0] or 0.0, row[c][1] or 0.0) for c in columns}
+    parts = [F.expr(f"{agg}({filled(c)})") for c in columns for agg in ("min", "max")]
+    values = [v or 0.0 for v in df.agg(*parts).first()]
+    return {c: (values[2 * i], values[2 * i + 1]) for i, c in enumerate(columns)}
 
 
 def min_max(df: DataFrame, limits: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Scale to [0, 1] by fitted limits; a constant column becomes its distance from the constant."""
-
-    def scaled(column: str) -> Column:
-        low, high = limits[column]
-        width = (high - low) or 1.0
-        value = F.coalesce(F.col(column).cast("double"), F.lit(0.0))
-        return ((value - F.lit(low)) / F.lit(width)).alias(column)
-
-    return df.select(*[scaled(c) if c in limits else F.col(c) for c in df.columns])
+    return df.selectExpr(
+        *[f"{scaled(c, *limits[c])} AS {name(c)}" if c in limits else name(c) for c in df.columns]
+    )
 
 
 def align_columns(
@@ -89,9 +83,6 @@ def align_columns(
     """
     present = set(df.columns)
     aligned = [
-        F.coalesce(F.col(c).cast("double"), F.lit(fill)).alias(c)
-        if c in present
-        else F.lit(fill).alias(c)
-        for c in sorted(expected)
+        f"{filled(c, fill) if c in present else number(fill)} AS {name(c)}" for c in sorted(expected)
     ]
-    return df.select(*keep, *aligned)
+    return df.selectExpr(*[name(c) for c in keep], *aligned)

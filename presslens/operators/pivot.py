@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presslens.functions.text import name, text
 from presslens.spec import sanitize
 
 
@@ -19,10 +20,9 @@ def key_sums(
     """
 
     def total(key: str) -> Column:
-        text = key.replace("\\", "\\\\").replace("'", "\\'")
-        hit = f"CASE WHEN `{key_col}` = '{text}' THEN `{value}` ELSE 0 END"
+        hit = f"CASE WHEN {name(key_col)} = {text(key)} THEN {name(value)} ELSE 0 END"
         term = hit if where is None else f"CASE WHEN {where} THEN {hit} END"
-        return F.expr(f"CAST(sum({term}) AS BIGINT)").alias(sanitize(f"{prefix}_{key}"))
+        return F.expr(f"CAST(sum({term}) AS BIGINT) AS {name(sanitize(f'{prefix}_{key}'))}")
 
     return [total(k) for k in keys]
 

@@ -24,30 +24,32 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions.calendar import day_number, weekdays_between
+from presslens.functions.calendar import day_number
+from presslens.functions.text import name, weekdays_between
 from presslens.spec import FULL, OLDER_HALF, RECENT_HALF, WEEKDAYS
 
 
 @dataclass(frozen=True)
 class Rolled:
-    """An aggregate of a frame and its value for a weekday flag.
+    """An aggregate of a frame as SQL, and its value for a weekday flag.
 
-    ``flag(hits, days)`` gives the aggregate of a 0/1 column with ``hits`` ones in ``days`` days.
+    ``column`` is a template over ``{value}``.  ``flag`` gives the same aggregate of a 0/1 column
+    that has ``{hits}`` ones in ``{days}`` days.
     """
 
-    column: Callable[[Column], Column]
-    flag: Callable[[Column, Column], Column]
+    column: str
+    flag: str
 
 
 # The alias ``count`` is a sum by definition of the feature names.
 AGGREGATES: Mapping[str, Rolled] = {
-    "count": Rolled(F.sum, lambda hits, days: hits),
-    "avg": Rolled(F.avg, lambda hits, days: F.try_divide(hits.cast("double"), days)),
-    "min": Rolled(F.min, lambda hits, days: (hits >= days).cast("int")),
-    "max": Rolled(F.max, lambda hits, days: (hits > 0).cast("int")),
+    "count": Rolled("sum({value})", "{hits}"),
+    "avg": Rolled("avg({value})", "try_divide(CAST({hits} AS DOUBLE), {days})"),
+    "min": Rolled("min({value})", "IF({hits} >= {days}, 1, 0)"),
+    "max": Rolled("max({value})", "IF({hits} > 0, 1, 0)"),
 }
 DEFAULT_AGGREGATES: Mapping[str, Rolled] = {"avg": AGGREGATES["avg"]}
 
@@ -60,30 +62,32 @@ def frames(n: int) -> dict[str, tuple[int, int]]:
     return {RECENT_HALF: (-half, 0), OLDER_HALF: (-n, -(half - n % 2)), FULL: (-n, 0)}
 
 
-Over = Callable[[Callable[[Column], Column], Column, str], Column]
+#: ``(aggregate template, value, window suffix) -> SQL`` of the aggregate over that frame.
+Over = Callable[[str, str, str], str]
 
 
 def _day_ordinal(date: dt.date | str) -> int:
     return (dt.date.fromisoformat(str(date)) - dt.date(1970, 1, 1)).days
 
 
-def _feature_columns(
+def _feature_texts(
     day: str,
     n: int,
     sources: Mapping[str, str],
     aggs: Mapping[str, Rolled],
     over: Over,
-    active: Column,
     sums: Mapping[str, str],
     dow_base: int,
     spine_start: dt.date | str | None,
-) -> list[Column]:
-    """All rolled columns; ``day`` is the SQL text of the row's day number."""
+) -> list[str]:
+    """All rolled columns as SQL; ``day`` is the day number of the row, ``__active`` its marker."""
+
+    def column(value: str, alias: str, kind: str = "DOUBLE") -> str:
+        return f"CAST({value} AS {kind}) AS {name(alias)}"
+
     spans = frames(n)
-    columns = {c: F.col(c) for c in {*sources.values(), *sums.values()}}
-    is_active = F.when(active, F.lit(1)).otherwise(F.lit(0))
     out = [
-        over(rolled.column, columns[source], suffix).cast("double").alias(f"{stem}_{alias}{suffix}")
+        column(over(rolled.column, name(source), suffix), f"{stem}_{alias}{suffix}")
         for stem, source in sources.items()
         for alias, rolled in aggs.items()
         for suffix in spans
@@ -92,21 +96,29 @@ def _feature_columns(
         first, last = f"({day} + {low})", f"({day} + {high})"
         if spine_start is not None:
             first = f"greatest({first}, {_day_ordinal(spine_start)})"
-        days = F.expr(f"{last} - {first} + 1")
-        present = days > 0
-        days_active = F.coalesce(over(F.sum, is_active, suffix), F.lit(0)).cast("double")
-        out.append(F.when(present, days_active).alias(f"days_active_count{suffix}"))
+        days = f"({last} - {first} + 1)"
+        active = f"coalesce({over('sum({value})', 'IF(__active, 1, 0)', suffix)}, 0)"
+        out.append(column(f"IF({days} > 0, {active}, NULL)", f"days_active_count{suffix}"))
         for index in WEEKDAYS:
             hits = weekdays_between(first, last, index, dow_base)
             for alias, rolled in aggs.items():
-                value = rolled.flag(hits, days).cast("double")
-                out.append(F.when(present, value).alias(f"dow_{index}_{alias}{suffix}"))
-    out += [over(F.sum, columns[c], FULL).cast("double").alias(name) for name, c in sums.items()]
-    last_active = over(F.max, F.when(active, day_number(F.col("date"))), FULL)
-    out.append((F.expr(day) - last_active).cast("int").alias("days_since_last_active"))
+                value = rolled.flag.format(hits=hits, days=days)
+                out.append(column(f"IF({days} > 0, {value}, NULL)", f"dow_{index}_{alias}{suffix}"))
+    out += [column(over("sum({value})", name(c), FULL), alias) for alias, c in sums.items()]
+    last_active = over("max({value})", "IF(__active, unix_date(date), NULL)", FULL)
+    out.append(column(f"{day} - {last_active}", "days_since_last_active", "INT"))
     return out
 
 
+def _marked(df: DataFrame, active: Column | None) -> DataFrame:
+    return df.withColumns(
+        {
+            "__day": day_number(F.col("date")),
+            "__active": F.lit(True) if active is None else F.coalesce(active, F.lit(False)),
+        }
+    )
+
+
 def rolling_features(
     df: DataFrame,
     id_col: str,
@@ -126,13 +138,21 @@ def rolling_features(
     so there is a single sort, and none of the shuffles is repeated when ``df`` is already
     partitioned by ``id_col``.
     """
-    window = Window.partitionBy(id_col).orderBy("__day")
-    windows = {suffix: window.rangeBetween(*span) for suffix, span in frames(n).items()}
-    features = _feature_columns(
-        "__day", n, sources, aggs, lambda agg, value, suffix: agg(value).over(windows[suffix]),
-        F.lit(True) if active is None else active, sums or {}, dow_base, spine_start,
+
+    def bound(day: int) -> str:
+        return "CURRENT ROW" if day == 0 else f"{-day} PRECEDING"
+
+    ranges = {
+        suffix: f"(PARTITION BY {name(id_col)} ORDER BY __day "
+        f"RANGE BETWEEN {bound(low)} AND {bound(high)})"
+        for suffix, (low, high) in frames(n).items()
+    }
+    features = _feature_texts(
+        "__day", n, sources, aggs,
+        lambda agg, value, suffix: f"{agg.format(value=value)} OVER {ranges[suffix]}",
+        sums or {}, dow_base, spine_start,
     )
-    return df.withColumn("__day", day_number(F.col("date"))).select(*df.columns, *features)
+    return _marked(df, active).selectExpr(*[name(c) for c in df.columns], *features)
 
 
 def point_features(
@@ -156,18 +176,15 @@ def point_features(
     """
     target = _day_ordinal(date)
     spans = frames(n)
-    rows = df.withColumn("__lag", day_number(F.col("date")) - F.lit(target)).where(
-        F.col("__lag").between(-n, 0)
-    )
-    inside = {suffix: F.col("__lag").between(*span) for suffix, span in spans.items()}
 
-    def over(agg, value, suffix):
-        return agg(value if spans[suffix] == (-n, 0) else F.when(inside[suffix], value))
+    def over(agg: str, value: str, suffix: str) -> str:
+        low, high = (target + d for d in spans[suffix])
+        if suffix != FULL:
+            value = f"CASE WHEN __day BETWEEN {low} AND {high} THEN {value} END"
+        return agg.format(value=value)
 
-    features = _feature_columns(
-        str(target), n, sources, aggs, over,
-        F.lit(True) if active is None else active, sums or {}, dow_base, spine_start,
-    )
-    own = [F.max(F.when(F.col("__lag") == 0, F.col(c))).alias(c) for c in today]
-    result = rows.groupBy(id_col).agg(*features, *own)
+    features = _feature_texts(str(target), n, sources, aggs, over, sums or {}, dow_base, spine_start)
+    own = [f"max(IF(__day = {target}, {name(c)}, NULL)) AS {name(c)}" for c in today]
+    rows = _marked(df, active).where(F.col("__day").between(target - n, target))
+    result = rows.groupBy(id_col).agg(*[F.expr(text) for text in (*features, *own)])
     return result.withColumn("date", F.lit(str(date)).cast("date"))

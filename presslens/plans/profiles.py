@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions.calendar import day_number
 from presslens.functions.flags import is_true
-from presslens.functions.numbers import column_ratio, relative_change
+from presslens.functions.text import name, ratio, relative_change
 from presslens.operators.latest import latest_by
 from presslens.operators.pivot import key_sums
 from presslens.operators.rolling import (
@@ -153,22 +153,22 @@ def stack_days(
 def derived_metrics(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Ratios of rolled columns for the full window and both halves, 0 where undefined."""
     ratios = [
-        column_ratio(d.numerator + s, d.denominator + s).alias(d.name + s)
+        f"{ratio(d.numerator + s, d.denominator + s)} AS {name(d.name + s)}"
         for d in spec.derived()
         for s in WINDOW_SUFFIXES
     ]
-    return df.select("*", *ratios)
+    return df.selectExpr("*", *ratios)
 
 
 def half_change(df: DataFrame, stems: Sequence[str]) -> DataFrame:
     """Change between the window halves for each stem that has both."""
     present = set(df.columns)
     changes = [
-        relative_change(s + OLDER_HALF, s + RECENT_HALF).alias(change_column(s))
+        f"{relative_change(s + OLDER_HALF, s + RECENT_HALF)} AS {name(change_column(s))}"
         for s in stems
         if s + OLDER_HALF in present and s + RECENT_HALF in present
     ]
-    return df.select("*", *changes)
+    return df.selectExpr("*", *changes)
 
 
 def _finish(rolled: DataFrame, spec: FeatureSpec) -> DataFrame:

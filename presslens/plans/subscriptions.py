@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from presslens.functions.flags import bool_to_int
 from presslens.functions.labels import ACCEPTED_STATUSES, web_access_level
-from presslens.functions.numbers import daily_price, discount_flag, relative_change
+from presslens.functions.numbers import daily_price, discount_flag
+from presslens.functions.text import relative_change
 from presslens.operators.latest import ranked
 from presslens.operators.ordered import previous_row, time_block
 
@@ -256,7 +257,7 @@ def last_vs_previous(
         sides = sides.withColumn(f"is_discount_{side}", flag)
     return sides.select(
         "*",
-        *[relative_change(f"{c}_last", f"{c}_previous").alias(f"{c}_diff")
+        *[F.expr(relative_change(f"{c}_last", f"{c}_previous")).alias(f"{c}_diff")
           for c in NUMERIC_DIFFS],
         *[(F.col(f"{c}_last") - F.col(f"{c}_previous")).alias(f"{c}_diff") for c in PLAIN_DIFFS],
     )

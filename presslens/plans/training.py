@@ -16,14 +16,8 @@ from pyspark.sql import functions as F
 
 from presslens.functions.flags import bool_to_int
 from presslens.functions.numbers import row_shares
-from presslens.operators.encoding import (
-    align_columns,
-    fit_categories,
-    fit_min_max,
-    known_category,
-    min_max,
-    one_hot,
-)
+from presslens.functions.text import filled, indicator, name, scaled
+from presslens.operators.encoding import fit_categories, fit_min_max
 from presslens.operators.metrics import class_metrics
 from presslens.spec import FeatureSpec
 
@@ -76,15 +70,20 @@ class OutcomeModel:
     features: list[str] = field(default_factory=list)
 
     def encode(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """``keep`` columns plus the model inputs in alphabetical order."""
+        """``keep`` columns plus the model inputs in alphabetical order, in one projection.
+
+        Numbers are scaled by the fitted limits, texts become indicators; columns the rows lack
+        count as 0, values the model has not seen match no indicator.
+        """
         present = set(df.columns)
-        texts = [
-            known_category(F.col(c), values).alias(c) if c in present else F.lit("Unknown").alias(c)
-            for c, values in self.categories.items()
-        ]
-        columns = [*keep, *[c for c in (*self.numeric, *self.flags) if c in present]]
-        scaled = min_max(_with_missing(df.select(*columns, *texts), self.numeric), self.limits)
-        return align_columns(one_hot(scaled, self.categories), self.features, keep)
+        inputs = {c: scaled(c, *self.limits[c], present=c in present) for c in self.numeric}
+        inputs |= {c: filled(c) if c in present else "0D" for c in self.flags}
+        for column, values in self.categories.items():
+            for value in values:
+                hit = indicator(column, value) if column in present else "0"
+                inputs[f"{column}_{value}"] = f"CAST({hit} AS DOUBLE)"
+        texts = [f"{inputs[f]} AS {name(f)}" for f in self.features]
+        return df.selectExpr(*[name(c) for c in keep], *texts)
 
     def importances(self) -> dict[str, float]:
         """Feature name -> importance."""
@@ -112,11 +111,6 @@ def asdict_without_model(model: OutcomeModel) -> dict:
     return {n: getattr(model, n) for n in names}
 
 
-def _with_missing(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    missing = [c for c in numeric if c not in df.columns]
-    return df.select("*", *[F.lit(0.0).alias(c) for c in missing])
-
-
 def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
