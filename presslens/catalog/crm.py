@@ -10,6 +10,8 @@ from presslens.catalog.rolling import expiring, rounded, user_outcomes
 from presslens.functions.labels import ACCEPTED_STATUSES
 from presslens.plans import context, daily, packing
 from presslens.plans import subscriptions as subs
+from presslens.session import scratch_dir
+from presslens.sources import sinks
 
 UPTO = LAST_DAY
 _ACCEPTED = ", ".join(f"'{s}'" for s in ACCEPTED_STATUSES)
@@ -107,6 +109,11 @@ def sub_data(spark, sf):
     )
 
 
+def stored_sub_data(spark, sf):
+    """Subscription data as the stored table that the feature steps read several times."""
+    return sinks.stored(sub_data(spark, sf), scratch_dir(spark, "sub_data"))
+
+
 @query(
     "payments_by_subscription",
     """SELECT subscription_id, payment_count, round(amount, 2) AS amount,
@@ -146,7 +153,7 @@ def price_bands(spark, sf):
     round(average_price, 6) AS average_price, is_discount::DOUBLE AS is_discount FROM banded""",
 )
 def price_band_join(spark, sf):
-    data = sub_data(spark, sf)
+    data = stored_sub_data(spark, sf)
     joined = subs.band_join(subs.with_price(data), subs.price_bands(data))
     return rounded(
         joined.select("user_id", "subscription_id", "base_subscription_id", "daily_price",
@@ -167,7 +174,7 @@ def subscription_gaps(spark, sf):
 
 @query("user_subscription_stats", "SELECT * FROM user_stats")
 def user_subscription_stats(spark, sf):
-    stats = subs.user_subscription_stats(sub_data(spark, sf), UPTO)
+    stats = subs.user_subscription_stats(stored_sub_data(spark, sf), UPTO)
     return rounded(stats.withColumn("total_amount", F.round("total_amount", 2)))
 
 
@@ -177,7 +184,7 @@ def user_subscription_stats(spark, sf):
     FROM by_recency WHERE k = 2""",
 )
 def kth_last_subscription(spark, sf):
-    rows = subs.kth_last_subscription(sub_data(spark, sf), 2, UPTO)
+    rows = subs.kth_last_subscription(stored_sub_data(spark, sf), 2, UPTO)
     return rows.select("user_id", "subscription_id", "base_subscription_id", "start_time", "is_discount")
 
 
@@ -188,12 +195,12 @@ _AMOUNTS = ", ".join(f"round(amount_{s}, 2) AS amount_{s}" for s in ("last", "pr
 
 @query("last_vs_previous", f"SELECT * REPLACE ({_AMOUNTS}) FROM last_two")
 def last_vs_previous(spark, sf):
-    pairs = subs.last_vs_previous(sub_data(spark, sf), UPTO)
+    pairs = subs.last_vs_previous(stored_sub_data(spark, sf), UPTO)
     return rounded(pairs.select("user_id", *_PAIR_COLUMNS, *_DIFF_COLUMNS))
 
 
 def features(spark, sf, users):
-    return subs.subscription_features(sub_data(spark, sf), UPTO, users)
+    return subs.subscription_features(stored_sub_data(spark, sf), UPTO, users)
 
 
 _STAT_COLUMNS = [

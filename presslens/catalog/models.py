@@ -209,9 +209,8 @@ def model_rows(spark, sf):
     Fitting reads its rows several times, so they come from a written table.
     """
     spec = SPECS["b"]
-    path = scratch_dir(spark, "profiles")
-    sinks.replace(training.prepare(browser_outcomes(spark, sf), spec), path)
-    prepared = spark.read.parquet(path)
+    rows = training.prepare(browser_outcomes(spark, sf), spec)
+    prepared = sinks.stored(rows, scratch_dir(spark, "profiles"))
     return sampling.time_split(prepared, ["browser_id", "date", "outcome"], 0.7), spec
 
 

@@ -229,32 +229,36 @@ def last_vs_previous(
 ) -> DataFrame:
     """Last and previous subscription side by side with differences; users with one are dropped.
 
-    A row of rank 2 exists only when rank 1 is unique, so the last subscription is the first row
-    of the same window and no self-join is needed.
+    The two newest ranks are cut out first and meet the price bands once.  A row of rank 2 exists
+    only when rank 1 is unique, so the last subscription is the first row of the user's window and
+    no self-join is needed.
     """
-    priced = started_by(with_price(data), max_date)
-    columns = [c for c in priced.columns if c != "user_id"]
     order = Window.partitionBy("user_id").orderBy(_start_order(latest_first))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pairs = (
-        priced.withColumn("__last", F.first(F.struct(*columns)).over(upto))
+    newest = (
+        started_by(with_price(data), max_date)
         .withColumn("__rank", F.rank().over(order))
-        .where(F.col("__rank") == 2)
+        .where(F.col("__rank") <= 2)
     )
-    bands = price_bands(data)
-    sides = pairs.select(
+    banded = band_join(newest, price_bands(data))
+    columns = [c for c in banded.columns if c not in ("user_id", "__rank")]
+    by_rank = Window.partitionBy("user_id").orderBy("__rank")
+    first = F.first(F.struct("__rank", *columns)).over(
+        by_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    pairs = banded.withColumn("__last", first).where(
+        (F.col("__rank") == 2) & (F.col("__last.__rank") == 1)
+    )
+    # Grouping by the row itself changes nothing and needs no shuffle, rows of a user are together.
+    # It keeps the optimizer from deriving every combination of the doubled columns as a constraint.
+    row = ["user_id", "subscription_id", "base_subscription_id", "upgrade_type"]
+    single = pairs.groupBy(*row).agg(
+        F.first("__last").alias("__last"), F.first(F.struct(*columns)).alias("__previous")
+    )
+    sides = single.select(
         "user_id",
         *[F.col(f"__last.{c}").alias(f"{c}_last") for c in columns],
-        *[F.col(c).alias(f"{c}_previous") for c in columns],
+        *[F.col(f"__previous.{c}").alias(f"{c}_previous") for c in columns],
     )
-    for side in ("last", "previous"):
-        mine = bands.select(
-            *[F.col(c).alias(f"{c}_{side}") for c in BAND_KEYS],
-            F.col("average_price").alias(f"average_price_{side}"),
-        )
-        sides = sides.join(mine, [f"{c}_{side}" for c in BAND_KEYS])
-        flag = discount_flag(F.col(f"daily_price_{side}"), F.col(f"average_price_{side}"))
-        sides = sides.withColumn(f"is_discount_{side}", flag)
     return sides.select(
         "*",
         *[F.expr(relative_change(f"{c}_last", f"{c}_previous")).alias(f"{c}_diff")

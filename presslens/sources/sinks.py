@@ -42,6 +42,16 @@ def write_profiles(packed: DataFrame, path: str) -> int:
     return write_partitions(packed, path, PROFILE_KEYS)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write once and read back.
+
+    For frames that several later steps use: they are computed once, survive lost executors, and
+    the plans that follow start from a scan instead of the whole history of the frame.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     writer = df.write.mode("append")
     (writer.partitionBy(*by) if by else writer).parquet(path)
