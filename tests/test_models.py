@@ -77,7 +77,7 @@ def profiles(spark):
 def test_train_save_load_predict(spark, profiles, tmp_path):
     spec = FeatureSpec("browser")
     prepared = training.prepare(profiles, spec)
-    forest = RandomForestClassifier(numTrees=5, maxDepth=4, seed=1)
+    forest = RandomForestClassifier(numTrees=5, maxDepth=6, featureSubsetStrategy="all", seed=1)
     model = training.train(prepared, spec.numeric_features(), ["device"], ["is_desktop"], estimator=forest)
     assert model.labels == ["conversion", "no_conversion", "shared_account_login"]
     assert model.features == sorted(model.features) and "device_Apple" in model.features
