@@ -145,7 +145,8 @@ def train(
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(encoded)
     estimator = estimator or RandomForestClassifier(numTrees=250, maxDepth=12, seed=42)
     estimator = estimator.copy({estimator.labelCol: "label", estimator.featuresCol: "features"})
-    model.classifier = estimator.fit(indexer.transform(encoded))
+    # The copy leaves the training summary behind, which would tie predictions to the session object.
+    model.classifier = estimator.fit(indexer.transform(encoded)).copy()
     model.labels = list(indexer.labels)
     return model
 

@@ -11,6 +11,7 @@ from presslens.functions.labels import web_access_level
 from presslens.operators import encoding
 from presslens.operators.metrics import class_metrics
 from presslens.plans import experiments, segments, training
+from presslens.sources import sinks
 from presslens.spec import FeatureSpec
 
 
@@ -81,6 +82,8 @@ def test_train_save_load_predict(spark, profiles, tmp_path):
     model = training.train(prepared, spec.numeric_features(), ["device"], ["is_desktop"], estimator=forest)
     assert model.labels == ["conversion", "no_conversion", "shared_account_login"]
     assert model.features == sorted(model.features) and "device_Apple" in model.features
+    sinks.write_partitions(prepared.select("date", "outcome"), str(tmp_path / "observed"), ["date"])
+    assert len(training.predict(model, prepared, ["browser_id"]).collect()) == 400
     unseen = prepared.withColumn("device", F.lit("Nokia")).drop("is_desktop")
     predicted = training.predict(model, unseen, ["browser_id"])
     assert predicted.columns == ["browser_id", *[f"{x}_probability" for x in model.labels], "predicted_outcome"]
