@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,12 +43,8 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors would
-    not see each other's disks.
+    Without that setting the folder lies below ``spark.sql.warehouse.dir``, which executors and
+    driver share as well; a machine-local temporary folder is never used.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="presslens-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
