@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, exact_dedup, pieces, simhash, toxicity
+from presslens.llm import decontaminate, exact_dedup, language_id, pieces, simhash, toxicity
 from presslens.llm.common import Query, fit_part, table
 
 QUERIES: dict[str, Query] = {}
@@ -71,6 +71,14 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = language_id.train(docs.where(fit_part(F.col("doc_id"))))
+    found = language_id.identify(docs, models)
+    return found.select("doc_id", (~fit_part(F.col("doc_id"))).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
