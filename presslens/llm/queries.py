@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, exact_dedup, language_id, pieces, simhash, toxicity
+from presslens.llm import decontaminate, exact_dedup, language_id, license_scan, pieces, simhash, toxicity, url_filter
 from presslens.llm.common import Query, fit_part, table
 
 QUERIES: dict[str, Query] = {}
@@ -51,6 +51,18 @@ FROM rows LEFT JOIN hits USING (r) LEFT JOIN ids USING (r)
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')""")
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join("licenses", " AND ").alias("licenses"),
+    )
+
+
+ORACLES["op2_license_scan"] = license_scan.oracle()
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,6 +103,14 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op9_url_filter"] = url_filter.oracle()
+
+
 @query
 def op10_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), digest=True)
