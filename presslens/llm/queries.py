@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, exact_dedup, language_id, license_scan, pieces, simhash, toxicity, url_filter
+from presslens.llm import decontaminate, exact_dedup, language_id, license_scan, pieces, secret_scan, simhash, toxicity, url_filter
 from presslens.llm.common import Query, fit_part, table
 
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,14 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op2_license_scan"] = license_scan.oracle()
 
 
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op3_secret_scan"] = secret_scan.ORACLE
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
