@@ -42,13 +42,14 @@ def fit_part(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(False))
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, size: str, top: int = 1000) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], size: str, top: int = 1000) -> DataFrame:
     """Inner join of ``left`` with ``right``, which has one row per key and the key's number of rows.
 
     The ``top`` most frequent keys are joined by broadcast, the others by a shuffle: what is
     broadcast has a fixed bound, and no key that is shuffled holds more than 1/top of all rows.
+    Both sides are read several times, so they should be stored or cheap.
     """
-    hot = right.where(F.col(size) > 100).orderBy(F.desc(size), key).limit(top)
-    names = F.broadcast(hot.select(key))
-    rest = left.join(names, key, "left_anti").join(right.join(names, key, "left_anti"), key)
-    return left.join(F.broadcast(hot), key).unionByName(rest)
+    hot = right.where(F.col(size) > 100).orderBy(F.desc(size), *keys).limit(top)
+    names = F.broadcast(hot.select(*keys))
+    rest = left.join(names, keys, "left_anti").join(right.join(names, keys, "left_anti"), keys)
+    return left.join(F.broadcast(hot), keys).unionByName(rest)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, exact_dedup, language_id, license_scan, pieces, secret_scan, simhash, toxicity, url_filter
+from presslens.llm import decontaminate, exact_dedup, language_id, license_scan, pieces, secret_scan, simhash, substring_dedup, toxicity, url_filter
 from presslens.llm.common import Query, fit_part, table
 
 QUERIES: dict[str, Query] = {}
@@ -85,6 +85,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))

@@ -98,7 +98,7 @@ def scan(
     every = found.select("doc_id", "text_key", "owner", "repository", F.explode(F.concat("base", "token")).alias("span"))
     every = every.select("doc_id", "text_key", "owner", "repository", "span", F.col("span.hash").alias("hash"))
     owned = keep(ownership(every), "secret-owners")
-    looked = join_hot(every, owned, "hash", "n_rows")
+    looked = join_hot(every, owned, ["hash"], "n_rows")
     live = F.col("span.live") & (F.col("n_owners") <= most_owners)
     base = F.col("span.kind") < 3
     judged = looked.groupBy("doc_id", "text_key", "owner", "repository").agg(
