@@ -20,27 +20,27 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import column, unwrapped, whole_row
+from presslens.llm.common import column, whole_row
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 _M = (1 << 64) - 1
-#: Chunks longer than this are not remembered; so many are, over all variants, per worker.
-LONGEST, REMEMBERED = 48, 600_000
+#: Chunks a worker remembers, and chunks it looks up at once.
+REMEMBERED, CHUNKS_AT_ONCE = 500_000, 200_000
+_CUT = re.compile("(?<=[^ ]) ")
 #: Rows of one batch of results.
 ROWS_OUT = 500
 
 
 class Pieces:
-    """A merge-type piece model: scores, ids and the bytes each id stands for."""
+    """A merge-type piece model: merges by rank, ids and the bytes each id stands for."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -63,96 +63,180 @@ class Pieces:
             raise ValueError(f"{path} has no piece for every byte, so it cannot decode losslessly")
         if any(BLANK in p.lstrip(BLANK) for p in named.values()):
             raise ValueError(f"{path} has pieces that go on after a blank")
-        merged = {c for p in self.order for c in p}
-        self.single = "".join(c for c in map(chr, range(1, 33)) if c not in merged and c != " ") + BLANK
-
-
-def merged(symbols: list[str], order: dict[str, float], key: int, limit: int) -> list[str]:
-    """Symbols after all merges of the agenda; a merge whose hash is below ``limit`` is skipped."""
-    n = len(symbols)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    agenda = []
-    for i in range(n - 1):
-        pair = symbols[i] + symbols[i + 1]
-        if pair in order:
-            agenda.append((order[pair], i, len(pair)))
-    heapify(agenda)
-    while agenda:
-        _, i, size = heappop(agenda)
-        left, j = symbols[i], after[i]
-        if not left or j >= n or len(left) + len(symbols[j]) != size:
-            continue
+        self.chunks = re.compile(self._pattern()).findall
+        self._number_symbols()
+
+    def _pattern(self) -> str:
+        """Chunks: blanks with a run of letters or of other characters, unless a piece mixes the two."""
+        single = re.escape("".join(c for c in map(chr, range(1, 33)) if c != " " and not any(c in p for p in self.order)) + BLANK)
+        word = re.compile(r"[^\W_]").match
+        pairs = {p[i : i + 2] for p in self.order for i in range(len(p) - 1)}
+        mixed = [x for x in pairs if BLANK not in x and bool(word(x[0])) != bool(word(x[1]))]
+        # Letters that stand beside others in a piece are counted as others, if that settles it.
+        odd = {c for x in mixed for c in x if word(c)}
+        if any((x[0] in odd) != (x[1] in odd) and word(x[0]) and word(x[1]) for x in pairs):
+            return f"[{single}]| *[^ {single}]+| +"
+        out = re.escape("".join(sorted(odd)))
+        return rf"[{single}]| *[^\W_{out}{single}]+| *(?:[\W_{out}](?<![ {single}]))+| +"
+
+    def _number_symbols(self) -> None:
+        """Symbols are all pieces; a pair of symbols that makes a piece is a merge."""
+        self.symbols = {p: k for k, p in enumerate(self.ids)}
+        self.symbol_ids = np.array(list(self.ids.values()), np.int64)
+        scores = {v: k for k, v in enumerate(sorted(set(self.order.values())))}
+        width, merges = len(self.symbols) + 1, []
+        for piece, score in self.order.items():
+            for cut in range(1, len(piece)):
+                left, right = self.symbols.get(piece[:cut]), self.symbols.get(piece[cut:])
+                if left is not None and right is not None:
+                    merges.append((left * width + right, scores[score], self.symbols[piece]))
+        merges.sort()
+        self.width = width
+        self.pairs, self.pair_rank, self.pair_symbol = (np.array(x, np.int64) for x in zip(*merges))
+
+
+def _skipped(key: np.ndarray, place: np.ndarray, size: np.ndarray, limit: int) -> np.ndarray:
+    """Whether the keyed hash of a candidate falls below the limit."""
+    h = (key ^ (place.astype(np.uint64) << np.uint64(32) | size.astype(np.uint64))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ h >> np.uint64(32)) < np.uint64(limit)
+
+
+_NEVER = np.int64(1 << 62)
+
+
+def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> list[list[int]]:
+    """Ids of every chunk after all merges of its agenda.
+
+    The chunks go side by side: in each turn every chunk merges its best candidate, the leftmost of
+    the best score.  Whether a candidate is skipped depends only on the key of the chunk and its
+    place and length, so skipping it for good is the same as skipping it when it comes up.
+    """
+    lengths = np.array([len(c) for c in chunks])
+    letters = "".join(chunks).replace(" ", BLANK)
+    distinct = {c: pieces.symbols.get(c, -1) for c in set(letters)}
+    symbol = np.array([distinct[c] for c in letters], np.int64)
+    n = len(symbol)
+    starts = np.cumsum(lengths) - lengths
+    chunk = np.repeat(np.arange(len(chunks)), lengths)
+    slot = np.arange(n)
+    after = np.where(slot + 1 < np.repeat(starts + lengths, lengths), slot + 1, -1)
+    before = np.where(slot > np.repeat(starts, lengths), slot - 1, -1)
+    size, alive = np.ones(n, np.int64), np.ones(n, bool)
+    best, target = np.full(n, _NEVER), np.zeros(n, np.int64)
+    keys = keys.astype(np.uint64)
+
+    def look(at: np.ndarray) -> None:
+        """Candidates of the slots ``at`` with what follows them."""
+        right = after[at]
+        fits = (right >= 0) & (symbol[at] >= 0)
+        fits[fits] = symbol[right[fits]] >= 0
+        best[at[~fits]] = _NEVER
+        at, right = at[fits], right[fits]
+        pair = symbol[at] * pieces.width + symbol[right]
+        found = np.minimum(np.searchsorted(pieces.pairs, pair), len(pieces.pairs) - 1)
+        good = pieces.pairs[found] == pair
         if limit:
-            h = ((key ^ (i << 32 | size)) * 0x9E3779B97F4A7C15) & _M
-            h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & _M
-            if h ^ h >> 32 < limit:
-                continue
-        symbols[i] = left = left + symbols[j]
-        symbols[j] = ""
-        after[i] = j = after[j]
-        if j < n:
-            before[j] = i
-            pair = left + symbols[j]
-            if pair in order:
-                heappush(agenda, (order[pair], i, len(pair)))
-        k = before[i]
-        if k >= 0:
-            pair = symbols[k] + left
-            if pair in order:
-                heappush(agenda, (order[pair], k, len(pair)))
-    return [s for s in symbols if s]
-
-
-class _Chunks(dict):
-    """Packed ids of the chunks seen with one variant; forgets all when it is full."""
-
-    def __init__(self, coder: Coder, variant: int, most: int):
-        self.coder, self.variant, self.most = coder, variant, most
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.coder.chunk(chunk, self.variant)
-        if len(chunk) <= LONGEST:
-            if len(self) >= self.most:
-                self.clear()
-            self[chunk] = ids
-        return ids
+            good &= ~_skipped(keys[chunk[at]], at - starts[chunk[at]], size[at] + size[right], limit)
+        best[at] = np.where(good, pieces.pair_rank[found] << 32 | at, _NEVER)
+        target[at] = pieces.pair_symbol[found]
+
+    look(slot)
+    active = np.arange(len(chunks))
+    where, bounds = slot, starts  # slots of the chunks that still merge, and where each of them begins
+    while len(active):
+        least = np.minimum.reduceat(best[where], bounds)
+        going = least < _NEVER
+        if 2 * going.sum() < len(active) or not going.all() and len(active) < 1000:
+            active = active[going]
+            if not len(active):
+                break
+            many = lengths[active]
+            bounds = np.cumsum(many) - many
+            where = np.repeat(starts[active] - bounds, many) + np.arange(many.sum())
+            least = least[going]
+        else:
+            least = least[going]
+        left = least & 0xFFFFFFFF
+        gone = after[left]
+        symbol[left] = target[left]
+        size[left] += size[gone]
+        alive[gone], best[gone] = False, _NEVER
+        after[left] = after[gone]
+        follows = after[left]
+        before[follows[follows >= 0]] = left[follows >= 0]
+        look(left)
+        leads = before[left]
+        look(leads[leads >= 0])
+    out: list[list[int]] = [[] for _ in chunks]
+    ids = np.where(symbol >= 0, pieces.symbol_ids[symbol], -1)
+    held = np.flatnonzero(alive)
+    for k, i, c in zip(chunk[held].tolist(), ids[held].tolist(), held.tolist()):
+        out[k] += [i] if i >= 0 else [pieces.bytes[b] for b in letters[c].encode()]
+    return out
 
 
 class Coder:
     def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = 0, variants: int = 4):
         self.pieces, self.seed, self.variants = pieces, seed, variants if dropout else 1
         self.limit = min(_M, int(dropout * 2**64))
-        single = re.escape(pieces.single)
-        self.chunks = re.compile(f"[{single}]| *[^ {single}]+| +").findall
-        self.known = [_Chunks(self, v, REMEMBERED // self.variants) for v in range(self.variants)]
-
-    def chunk(self, chunk: str, variant: int) -> bytes:
-        """Packed ids of one chunk."""
-        pieces = self.pieces
-        ids: list[int] = []
-        if chunk == BLANK:
-            ids = [pieces.bytes[b] for b in chunk.encode()]
-        else:
-            key = xxhash.xxh64_intdigest(chunk.encode(), (self.seed * 0x9E3779B97F4A7C15 + variant) & _M)
-            for piece in merged(list(chunk.replace(" ", BLANK)), pieces.order, key, self.limit):
-                found = pieces.ids.get(piece)
-                ids += [found] if found is not None else [pieces.bytes[b] for b in piece.encode()]
-        return np.array(ids, "<i4").tobytes()
-
-    def encode(self, text: str, doc_key: int = 0) -> bytes:
-        """Ids of a text as packed 32-bit numbers."""
-        if not text:
-            return b""
-        chunks = self.chunks(" " + text)
+        self.known: dict[tuple[int, str], bytes] = {}
+
+    def _learn(self, wanted: list[tuple[int, str]]) -> None:
+        """Packed ids of chunks that are not known yet."""
+        keys = [xxhash.xxh64_intdigest(c.encode(), (self.seed * 0x9E3779B97F4A7C15 + v) & _M) for v, c in wanted]
+        # U+2581 in a text is no blank; such a chunk stands alone.
+        plain = [k for k, (_, c) in enumerate(wanted) if c != BLANK]
+        found = merged(self.pieces, [wanted[k][1] for k in plain], np.array([keys[k] for k in plain], np.uint64), self.limit) if plain else []
+        for k, ids in zip(plain, found):
+            self.known[wanted[k]] = np.array(ids, "<i4").tobytes()
+        for key in wanted:
+            if key[1] == BLANK:
+                self.known[key] = np.array([self.pieces.bytes[b] for b in BLANK.encode()], "<i4").tobytes()
+
+    def _places(self, doc_key: int, start: int, n: int) -> list[int]:
+        """Variant of the chunks ``start`` to ``start + n`` of a document."""
         if self.variants == 1:
-            return b"".join(map(self.known[0].__getitem__, chunks))
-        place = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            return [0] * n
+        place = np.arange(start, start + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         place += np.uint64((doc_key ^ self.seed * 0xD6E8FEB86659FD93) & _M)
         place ^= place >> np.uint64(31)
         place *= np.uint64(0xBF58476D1CE4E5B9)
         place ^= place >> np.uint64(29)
-        known = self.known
-        return b"".join([known[v][c] for v, c in zip((place % np.uint64(self.variants)).tolist(), chunks)])
+        return (place % np.uint64(self.variants)).tolist()
+
+    def encode_many(self, texts: list[str | None], doc_keys: list[int]) -> list[bytes | None]:
+        """Ids of texts as packed 32-bit numbers; a slice of bounded size is looked at at a time."""
+        out: list[list[bytes] | None] = [None if t is None else [] for t in texts]
+        held: list[tuple[int, list[tuple[int, str]]]] = []
+        waiting = 0
+
+        def flush() -> None:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            missing = set().union(*(chunks for _, chunks in held)) - self.known.keys()
+            if missing:
+                self._learn(list(missing))
+            known = self.known
+            for k, chunks in held:
+                out[k].append(b"".join([known[c] for c in chunks]))
+            held.clear()
+
+        for k, (text, doc_key) in enumerate(zip(texts, doc_keys)):
+            count = 0
+            for part in sliced(" " + text) if text else ():
+                found = self.pieces.chunks(part)
+                held.append((k, list(zip(self._places(doc_key, count, len(found)), found))))
+                count += len(found)
+                waiting += len(found)
+                if waiting >= CHUNKS_AT_ONCE:
+                    flush()
+                    waiting = 0
+        flush()
+        return [None if parts is None else b"".join(parts) for parts in out]
+
+    def encode(self, text: str, doc_key: int = 0) -> bytes:
+        return self.encode_many([text], [doc_key])[0]
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids, the blank put before it taken off."""
@@ -160,6 +244,18 @@ class Coder:
         return b"".join([meaning[i] for i in np.frombuffer(packed, "<i4").tolist()]).decode()[1:]
 
 
+def sliced(text: str, size: int = 1_000_000) -> Iterator[str]:
+    """Slices of about ``size`` characters, cut before a blank that follows something else."""
+    at = 0
+    while len(text) - at > size:
+        cut = _CUT.search(text, at + size)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 _CODERS: dict[tuple, Coder] = {}
 
 
@@ -192,7 +288,7 @@ def encoded(
             for at in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(at, ROWS_OUT)
                 texts, keys = batch.column("text").to_pylist(), batch.column("key").to_pylist()
-                packed = [None if t is None else coder.encode(t, k & _M) for t, k in zip(texts, keys)]
+                packed = coder.encode_many(texts, [k & _M for k in keys])
                 back = [None if p is None else coder.decode(p) for p in packed]
                 sizes = np.array([len(p or b"") // 4 for p in packed], np.int64)
                 same = pa.array([a == b for a, b in zip(texts, back)])
