@@ -105,8 +105,8 @@ def _skipped(key: np.ndarray, place: np.ndarray, size: np.ndarray, limit: int) -
 _NEVER = np.int64(1 << 62)
 
 
-def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> list[list[int]]:
-    """Ids of every chunk after all merges of its agenda.
+def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
+    """Packed ids of every chunk after all merges of its agenda.
 
     The chunks go side by side: in each turn every chunk merges its best candidate, the leftmost of
     the best score.  Whether a candidate is skipped depends only on the key of the chunk and its
@@ -168,12 +168,21 @@ def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> l
         look(left)
         leads = before[left]
         look(leads[leads >= 0])
-    out: list[list[int]] = [[] for _ in chunks]
-    ids = np.where(symbol >= 0, pieces.symbol_ids[symbol], -1)
     held = np.flatnonzero(alive)
-    for k, i, c in zip(chunk[held].tolist(), ids[held].tolist(), held.tolist()):
-        out[k] += [i] if i >= 0 else [pieces.bytes[b] for b in letters[c].encode()]
-    return out
+    ids = np.where(symbol[held] >= 0, pieces.symbol_ids[symbol[held]], -1)
+    many = np.ones(len(held), np.int64)
+    unknown = np.flatnonzero(ids < 0)
+    if len(unknown):
+        # A character without a piece becomes its bytes.
+        spelled = [[pieces.bytes[b] for b in letters[c].encode()] for c in held[unknown].tolist()]
+        many[unknown] = [len(x) for x in spelled]
+        at = np.cumsum(many) - many
+        ids = np.repeat(ids, many)
+        for k, x in zip(at[unknown].tolist(), spelled):
+            ids[k : k + len(x)] = x
+    ends = np.cumsum(np.bincount(chunk[held], many, len(chunks)).astype(np.int64)) * 4
+    packed = ids.astype("<i4").tobytes()
+    return [packed[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist())]
 
 
 class Coder:
@@ -189,7 +198,7 @@ class Coder:
         plain = [k for k, (_, c) in enumerate(wanted) if c != BLANK]
         found = merged(self.pieces, [wanted[k][1] for k in plain], np.array([keys[k] for k in plain], np.uint64), self.limit) if plain else []
         for k, ids in zip(plain, found):
-            self.known[wanted[k]] = np.array(ids, "<i4").tobytes()
+            self.known[wanted[k]] = ids
         for key in wanted:
             if key[1] == BLANK:
                 self.known[key] = np.array([self.pieces.bytes[b] for b in BLANK.encode()], "<i4").tobytes()
