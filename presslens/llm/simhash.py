@@ -205,8 +205,8 @@ def links(distinct: DataFrame, limit: int = 4, full: int = 2048, deepest: int =
         out = searched if out is None else out.unionByName(searched)
         if not crowded:
             break
-        level = level.join(over, ["mask", "value"], "left_semi").select("fp", F.explode(_choices(masks, groups)).alias("mask"))
-        masks = [x for m in masks for x in sub_masks(m, groups)]
+        level = level.join(over, ["mask", "value"], "left_semi").select("fp", F.explode(_choices(masks, groups)).alias("mask")).distinct()
+        masks = list(dict.fromkeys(x for m in masks for x in sub_masks(m, groups)))
     return out
 
 
