@@ -5,7 +5,8 @@ when at least two rows hit it.  Pass two tests every row against it.  Rows that
 for certain and pass straight through without a shuffle; only the others are grouped, and what is
 grouped is the 64-digit hash and the id, never the text.
 
-Hot copies: counts of bits, of (hash, id) and of hashes are all combined before they are shuffled.
+Hot copies: counts of bits, of (hash, id) and of hashes are all combined before they are shuffled,
+and the largest groups are joined with their ids by a broadcast of at most 1,000 rows.
 The broadcast filter has at most ``max_bits`` bits whatever the input; beyond about
 ``max_bits / 16`` rows it fills up and more rows are shuffled, with the same result.
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import column, unwrapped, whole_row
+from presslens.llm.common import column, join_hot, keep, unwrapped, whole_row
 
 #: Bits of one block, the size of the bitmaps that ``bitmap_construct_agg`` builds.
 BLOCK = 32768
@@ -65,10 +66,10 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256",
     )
-    seen = tested.where("maybe").groupBy("text_sha256", "doc_id").agg(F.count("*").alias("times"))
+    seen = keep(tested.where("maybe").groupBy("text_sha256", "doc_id").agg(F.count("*").alias("times")), "repeated-hashes")
     groups = seen.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size"))
     grouped = (
-        seen.join(groups, "text_sha256")
+        join_hot(seen, groups, ["text_sha256"], "group_size")
         .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("turn"))
         .select("doc_id", "keep_id", "group_size", (_same("doc_id", "keep_id") & (F.col("turn") == 1)).alias("kept"), "text_sha256")
     )
