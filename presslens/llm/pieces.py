@@ -328,7 +328,7 @@ def decoded(rows: DataFrame, pieces: str = "pieces", model: str = DEFAULT_MODEL)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
     packed = rows.select(whole_row(rows).alias("row"), column(pieces).alias("ids"))
-    schema = packed.drop("ids").withColumn("text", F.lit("")).schema
+    schema = packed.drop("ids").withColumn("text", F.lit(None).cast("string")).schema
     out = packed.mapInArrow(run, schema)
     names = [n for n in rows.columns if n != "text"]
     return out.select(*[F.col("row").getField(n).alias(n) for n in names], "text")
