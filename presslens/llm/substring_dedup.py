@@ -43,7 +43,7 @@ from presslens.llm.common import column, join_hot, keep
 
 WINDOW, GRAM = 400, 128
 #: Bytes of a shard, and kinds of segments beyond which an owner is settled by halving.
-SHARD_BYTES, MOST_KINDS = 2_000_000, 2_000
+SHARD_BYTES, MOST_KINDS = 2_000_000, 4_000
 #: Bytes hashed at once.
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
