@@ -134,38 +134,57 @@ def hash_order(*ids: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in ids], F.lit(str(seed))))
 
 
+#: Rows of one bucket that may be ranked in one task.
+FEW = 50_000
+
+
 def order_cut(
-    df: DataFrame, key: str, prefix: int, quota: Column, group: Sequence[str] = ()
+    df: DataFrame, key: str, prefix: int, quota: Column, group: Sequence[str] = (), few: int = FEW
 ) -> DataFrame:
     """The largest ``key`` among the first ``quota`` rows of each group, as ``(group, cut)``.
 
     ``key`` is a unique sortable text.  A histogram over its first ``prefix`` characters finds the
-    one bucket per group that holds the limit, and only the rows of that bucket are ranked.
-    ``quota`` may use ``total`` (rows of the group) and ``smallest`` (rows of the smallest group).
-    Selecting the rows is then a comparison with one value per group: no sort, no shuffle of ``df``.
+    one bucket per group that holds the limit.  While such a bucket has more than ``few`` rows, the
+    histogram is repeated inside it on the next characters, so the rows that are ranked in the end
+    fit one task whatever the size of the input.  ``quota`` may use ``total`` (rows of the group)
+    and ``smallest`` (rows of the smallest group).  Selecting the rows is then a comparison with
+    one value per group: no sort, no shuffle of ``df``.  The histograms run while the plan is
+    built; they bring one row per group to the driver.
     """
     group = list(group)
-    bucket = F.substring(F.col(key), 1, prefix)
-    sizes = df.groupBy(*group, bucket.alias("__bucket")).agg(F.count("*").alias("__n"))
-    # The windows below see the histogram only: at most 16 ** prefix hash buckets per group (and
-    # per day for keys that start with a date).
     per_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    # The windows below see a histogram only: at most 16 ** 3 buckets per group (and per day for
+    # keys that start with a date).
     running = per_group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sizes.withColumn("total", F.sum("__n").over(per_group)).withColumn(
-        "__before", F.coalesce(F.sum("__n").over(running), F.lit(0))
-    )
+
+    def bucketed(rows: DataFrame, length: int) -> DataFrame:
+        return rows.withColumn("__bucket", F.substring(F.col(key), 1, length))
+
+    def edges(sizes: DataFrame, wanted: Column) -> DataFrame:
+        counted = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(running), F.lit(0)))
+        counted = counted.withColumn("__quota", wanted.cast("long"))
+        inside = (F.col("__before") < F.col("__quota")) & (F.col("__before") + F.col("__n") >= F.col("__quota"))
+        return counted.where(inside).select(
+            *group, "__bucket", (F.col("__quota") - F.col("__before")).alias("__take"), "__n"
+        )
+
+    sizes = bucketed(df, prefix).groupBy(*group, "__bucket").agg(F.count("*").alias("__n"))
+    totals = sizes.withColumn("total", F.sum("__n").over(per_group))
     totals = totals.withColumn("smallest", F.min("total").over(Window.partitionBy(F.lit(0))))
-    edge = totals.withColumn("__quota", quota.cast("long")).where(
-        (F.col("__before") < F.col("__quota"))
-        & (F.col("__before") + F.col("__n") >= F.col("__quota"))
-    )
-    edge = edge.select(*group, "__bucket", (F.col("__quota") - F.col("__before")).alias("__take"))
-    in_edge = df.select(*group, key, bucket.alias("__bucket")).join(
-        F.broadcast(edge), [*group, "__bucket"]  # one row per group
-    )
+    found = edges(totals, quota)
+    schema, length = found.schema, prefix
+    rows = found.collect()  # one row per group
+    while True:
+        edge = F.broadcast(df.sparkSession.createDataFrame(rows, schema).drop("__n"))
+        inner = bucketed(df.select(*group, key), length).join(edge, [*group, "__bucket"])
+        if length >= 64 or all(r["__n"] <= few for r in rows):
+            break
+        length += 3
+        finer = bucketed(inner, length).groupBy(*group, "__bucket", "__take").agg(F.count("*").alias("__n"))
+        rows = edges(finer, F.col("__take")).collect()
     rank = F.row_number().over(Window.partitionBy(*group, "__bucket").orderBy(key))
     return (
-        in_edge.withColumn("__rank", rank)
+        inner.withColumn("__rank", rank)
         .where(F.col("__rank") == F.col("__take"))
         .select(*group, F.col(key).alias("cut"))
     )

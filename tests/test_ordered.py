@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from presslens.operators import sampling
 from presslens.operators.joins import range_left_join
 from presslens.operators.latest import ranked
-from presslens.operators.ordered import last_within, next_distinct, previous_row, time_block
+from presslens.operators.ordered import last_within, next_distinct, order_cut, previous_row, time_block
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -130,3 +130,12 @@ def test_splits_have_exact_sizes(spark, ratio):
     sides = {r.is_train: r for r in limits}
     if len(sides) == 2:
         assert sides[True].b <= sides[False].a
+
+
+def test_order_cut_when_keys_share_a_prefix(spark):
+    keys = [f"{'a' * 20}{i:06d}" for i in range(3000)]
+    df = spark.createDataFrame([(k, "x" if i % 3 else "y") for i, k in enumerate(keys)], "k string, g string")
+    cut = order_cut(df, "k", 3, F.lit(700), few=10).first()["cut"]
+    assert cut == keys[699]
+    by_group = {r.g: r.cut for r in order_cut(df, "k", 3, F.col("smallest") / 2, ["g"], few=10).collect()}
+    assert by_group == {g: [k for i, k in enumerate(keys) if (i % 3 == 0) == (g == "y")][499] for g in "xy"}

@@ -27,7 +27,7 @@ def logs(tmp_path):
 
 
 def test_read_day_csv(spark, logs):
-    df = files.read_day_csv(spark, logs, "pageviews", [D1, D2])
+    df = files.read_day_csv(spark, logs, "pageviews", [D1, D2], session_column="shop_session_id")
     rows = {r.browser_id: r for r in df.collect()}
     assert rows["b1"].date == D1 and rows["b3"].date == D2
     assert rows["b1"].time == dt.datetime(2024, 3, 1, 21, 30)  # to UTC
@@ -38,12 +38,24 @@ def test_read_day_csv(spark, logs):
 def test_missing_days(spark, logs):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.read_day_csv(spark, logs, "pageviews", [D1, D3]).collect()
-    assert files.read_day_csv(spark, logs, "pageviews", [D1, D3], missing="skip").count() == 2
+    assert files.read_day_csv(spark, logs, "pageviews", [D1, D3], missing="skip", session_column="shop_session_id").count() == 2
     assert files.read_day_csv(spark, logs, "pageviews_time_spent", [D1], missing="none") is None
     with pytest.raises(ValueError):
         files.read_day_csv(spark, logs, "clicks", [D1])
 
 
+def test_columns_go_by_header_name(spark, tmp_path):
+    (tmp_path / "commerce").mkdir()
+    day = tmp_path / "commerce" / "commerce_20240301.csv"
+    day.write_text("user_id;browser_id;time;step\nu1;b1;2024-03-01 10:00:00;payment\n")
+    (tmp_path / "commerce" / "commerce_20240302.csv").write_text("browser_id;extra;user_id;time;step\nb2;x;u2;2024-03-02 10:00:00;checkout\n")
+    with gzip.open(tmp_path / "commerce" / "commerce_20240303.csv.gz", "wt") as out:
+        out.write("step;time;user_id;browser_id\npurchase;2024-03-03 10:00:00;u3;b3\n")
+    got = files.read_day_csv(spark, str(tmp_path), "commerce", [D1, D2, D3]).orderBy("date").collect()
+    assert [(r.date, r.user_id, r.browser_id, r.step) for r in got] == [(D1, "u1", "b1", "payment"), (D2, "u2", "b2", "checkout"), (D3, "u3", "b3", "purchase")]
+    assert len({r.event_id for r in got}) == 3
+
+
 def test_missing_columns(spark, tmp_path):
     (tmp_path / "commerce").mkdir()
     (tmp_path / "commerce" / "commerce_20240301.csv").write_text("user_id,time,step\nu,2024-03-01 10:00:00,payment\n")
