@@ -327,7 +327,9 @@ def profile_user_ids(spark, sf):
     LEFT JOIN pay_history h ON CAST(h.user_id AS VARCHAR) = split_part(s.user_ids, ',', 1)""",
 )
 def payment_history_join(spark, sf):
-    joined = context.with_payment_history(rows_with_users(spark, sf), history(spark, sf))
+    pairs = daily.browser_users(load(spark, sf, "fx_pageviews"))
+    rows = packing.profile_first_user(browser_rows(spark, sf), pairs, FIRST_DAY, LAST_DAY)
+    joined = context.with_payment_history(rows, history(spark, sf))
     return rounded(joined.drop("user_ids"), 2)
 
 

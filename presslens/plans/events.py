@@ -97,7 +97,12 @@ def churn_renewal_events(
         & (F.col("r.start_time") <= grace)
         & (F.col("r.end_time") >= grace)
     )
+    # A follow-up starts at most ``threshold`` days before the day its event is computed for.
     later = running.select("user_id", "start_time", "end_time")
+    if start is not None:
+        later = later.where(F.col("start_time") >= F.date_sub(F.lit(str(start)).cast("date"), threshold).cast("timestamp_ntz"))
+    if end is not None:
+        later = later.where(F.col("start_time") < F.date_add(F.lit(str(end)).cast("date"), 1).cast("timestamp_ntz"))
     pairs = range_left_join(ended, later, ["user_id"], "end_time", "start_time", threshold, follows)
     renewed = F.col("r.start_time").isNotNull()
     return pairs.select(

@@ -46,7 +46,12 @@ def expiring_users(
         (ends > first) & (ends <= F.date_add(last, lookahead))
     ).select("id", "user_id", "start_time", "end_time")
     relevant = near.join(paid, "id", "left_semi")
-    starts = subscriptions.select("user_id", "start_time")
+    # Only users with such an end, and no start after the period: later ones renew nothing in it.
+    starts = (
+        subscriptions.where(F.col("start_time") <= last.cast("timestamp_ntz"))
+        .select("user_id", "start_time")
+        .join(relevant.select("user_id").distinct(), "user_id", "left_semi")
+    )
     following = next_distinct(
         starts, ["user_id"], "start_time",
         time_block(F.col("start_time"), _BLOCK_SECONDS), "next_start",

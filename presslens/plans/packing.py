@@ -111,6 +111,20 @@ def latest_profile(profiles: DataFrame, id_col: str) -> DataFrame:
     return ranked(profiles, [id_col], [F.col("date").desc()])
 
 
+def profile_first_user(
+    profiles: DataFrame, browser_users: DataFrame, start: dt.date | str, end: dt.date | str
+) -> DataFrame:
+    """Profiles with the first user id of their browser in a period, as a list of one.
+
+    All that the payment history needs; the minimum is combined before the shuffle, so a browser
+    shared by everybody is no larger than others.
+    """
+    first, last = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+    pairs = browser_users.where(F.col("date").between(first, last))
+    users = pairs.groupBy("browser_id").agg(F.array(F.min("user_id")).alias("user_ids"))
+    return profiles.join(users, "browser_id", "left")
+
+
 def profile_user_ids(
     profiles: DataFrame, browser_users: DataFrame, start: dt.date | str, end: dt.date | str
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from presslens.functions.calendar import day_number
 from presslens.functions.flags import is_true
 from presslens.functions.text import name, ratio, relative_change
+from presslens.operators.joins import range_left_join
 from presslens.operators.latest import latest_by
 from presslens.operators.pivot import key_sums
 from presslens.operators.rolling import (
@@ -62,8 +63,11 @@ def window_input(
 def expiring_user_days(days: DataFrame, expiring: DataFrame, n: int) -> DataFrame:
     """Day rows of each expiring user within the window of its profile day, with the outcome date."""
     points = expiring.select(F.col("date").alias("profile_date"), "user_id", "outcome_date")
-    joined = days.join(points, "user_id")
-    return joined.where(F.col("date").between(F.date_sub("profile_date", n), F.col("profile_date")))
+    inside = F.col("r.date").between(F.date_sub("l.profile_date", n), F.col("l.profile_date"))
+    looked = points.withColumn("__from", F.date_sub("profile_date", n))
+    joined = range_left_join(looked, days, ["user_id"], "__from", "date", n, inside)
+    kept = [F.col(f"r.{c}") for c in days.columns]
+    return joined.where(F.col("r.date").isNotNull()).select(*kept, "l.profile_date", "l.outcome_date")
 
 
 def user_devices(
@@ -110,7 +114,7 @@ def stack_days(
     devices: DataFrame | None = None,
     points: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per (id, date) from all inputs, partitioned by id.
+    """One row per (id, date) from all inputs.
 
     ``pivots`` maps a key column to its long table and the listed keys.  Pivot columns are null on
     days without any row of that table and 0 for listed keys that do not occur.  ``is_point`` marks
@@ -144,10 +148,9 @@ def stack_days(
         aggs.append(F.max(kind == "point").alias("is_point"))
         extra = [c for c in points.columns if c not in (id_col, "date")]
         aggs += [F.max(c).alias(c) for c in extra]
-    # The frames below turn narrow rows into hundreds of columns.  A fixed number of partitions
-    # keeps adaptive execution from merging them by their (small) input size.
-    partitions = int(stacked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stacked.repartition(partitions, id_col).groupBy(id_col, "date").agg(*aggs)
+    # Rows of an (id, day) are combined in the task before they are shuffled; adaptive execution
+    # chooses the number of partitions.
+    return stacked.groupBy(id_col, "date").agg(*aggs)
 
 
 def derived_metrics(df: DataFrame, spec: FeatureSpec) -> DataFrame:

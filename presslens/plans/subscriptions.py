@@ -14,6 +14,7 @@ from presslens.functions.numbers import daily_price, discount_flag
 from presslens.functions.text import relative_change
 from presslens.operators.latest import ranked
 from presslens.operators.ordered import previous_row, time_block
+from presslens.spec import COMPARED
 
 # The attributes that define a price band, the first day of usable history.
 BAND_KEYS = ("web_access_level", "length", "is_paid", "sub_print_access", "sub_print_friday_access")
@@ -217,11 +218,9 @@ def kth_last_subscription(
     return band_join(kth, price_bands(data))
 
 
-NUMERIC_DIFFS = ("length", "amount")
-PLAIN_DIFFS = (
-    "is_recurrent", "is_recurrent_charge", "web_access_level",
-    "sub_print_access", "sub_print_friday_access", "is_discount",
-)
+#: Compared by ratio and by difference; the discount flag is compared but is no model input.
+NUMERIC_DIFFS = tuple(c for c, (_, change) in COMPARED.items() if change == "number")
+PLAIN_DIFFS = (*[c for c, (_, change) in COMPARED.items() if change == "text"], "is_discount")
 
 
 def last_vs_previous(

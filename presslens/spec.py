@@ -215,13 +215,26 @@ SUBSCRIPTION_BASE = (
     "number_of_days_since_the_first_paid_sub", "average_gap", "max_gap",
     "total_days_paid_sub", "total_days_free_sub", "upgraded_subs", "discount_subs",
 )
-_SIDES = ("last", "previous", "diff")
-SUBSCRIPTION_DERIVED = tuple(f"{c}_{s}" for s in _SIDES for c in ("amount", "length"))
-SUBSCRIPTION_CATEGORICAL = tuple(
-    f"{c}_{s}"
-    for c in ("web_access_level", "sub_print_access", "sub_print_friday_access")
-    for s in _SIDES
-) + ("is_recurrent_charge_diff", "is_recurrent_diff", "payment_status_last", "payment_status_previous")
-SUBSCRIPTION_BOOL = tuple(
-    f"{c}_{s}" for c in ("is_recurrent", "is_recurrent_charge") for s in ("last", "previous")
-)
+#: What the two newest subscriptions of a user are compared by: the kind of input that either
+#: side is, and the kind their change is (None: the change is no input).
+COMPARED = {
+    "amount": ("number", "number"),
+    "length": ("number", "number"),
+    "is_recurrent": ("flag", "text"),
+    "is_recurrent_charge": ("flag", "text"),
+    "web_access_level": ("text", "text"),
+    "sub_print_access": ("text", "text"),
+    "sub_print_friday_access": ("text", "text"),
+    "payment_status": ("text", None),
+}
+
+
+def compared_columns(kind: str) -> tuple[str, ...]:
+    """Names of the last, previous and diff columns that are inputs of a kind."""
+    of_side = {"last": 0, "previous": 0, "diff": 1}
+    return tuple(f"{c}_{side}" for c, kinds in COMPARED.items() for side, at in of_side.items() if kinds[at] == kind)
+
+
+SUBSCRIPTION_DERIVED = compared_columns("number")
+SUBSCRIPTION_CATEGORICAL = compared_columns("text")
+SUBSCRIPTION_BOOL = compared_columns("flag")
