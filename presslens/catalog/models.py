@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from presslens.catalog.audience import predictions
+from presslens.catalog.crm import history, publisher_context
 from presslens.catalog.daily import pageviews, user_day_table
-from presslens.catalog.registry import load, query
-from presslens.catalog.rolling import SPECS, browser_outcomes, long_table, rounded
+from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
+from presslens.catalog.registry import TABLES, load, query
+from presslens.catalog.rolling import BROWSER_WINDOW, SPECS, browser_outcomes, long_table, rounded
 from presslens.functions.flags import bool_to_int
 from presslens.operators import encoding, sampling
 from presslens.operators.metrics import class_metrics
 from presslens.operators.pivot import profile_pivot
-from presslens.plans import training
+from presslens.plans import context, daily, packing, training
 from presslens.session import scratch_dir
 from presslens.sources import sinks
 from presslens.spec import HOUR_RANGES, REFERER_MEDIUMS, range_column, sanitize
@@ -203,38 +204,119 @@ def prediction_job_log(spark, sf):
 
 
 # ---- training ----------------------------------------------------------------------------------
+_KEYS = ["browser_id", "date", "outcome"]
+
+
 def model_rows(spark, sf):
-    """Browser profiles with outcomes, prepared, stored and split by time.
+    """Browser profiles with outcomes, payment history and publisher context, balanced and split.
 
-    Fitting reads its rows several times, so they come from a written table.
+    All rows are balanced first and then split by time.  Fitting reads its rows several times, so
+    they come from a written table.
     """
     spec = SPECS["b"]
-    rows = training.prepare(browser_outcomes(spark, sf), spec)
-    prepared = sinks.stored(rows, scratch_dir(spark, "profiles"))
-    return sampling.time_split(prepared, ["browser_id", "date", "outcome"], 0.7), spec
-
+    pairs = daily.browser_users(pageviews(spark, sf))
+    rows = packing.profile_first_user(browser_outcomes(spark, sf), pairs, FIRST_DAY, LAST_DAY)
+    rows = context.with_payment_history(rows, history(spark, sf)).drop("user_ids")
+    rows = context.with_context(rows, publisher_context(spark, sf))
+    prepared = sinks.stored(training.prepare(rows, spec), scratch_dir(spark, "profiles"))
+    balanced = sampling.undersample(prepared, "outcome", _KEYS, SEED)
+    return sinks.stored(sampling.time_split(balanced, _KEYS, 0.7), scratch_dir(spark, "balanced")), spec
+
+
+#: Folders of models that were fitted and stored, by application and input.
+_MODELS: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def stored_model(spark, sf):
+    """The model as loaded from its stored form, and its rows; fitted on first use."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        rows, spec = model_rows(spark, sf)
+        model = training.train(
+            rows.where("is_train"), spec.numeric_features(context=True, payments=True),
+            spec.categorical_features(), spec.bool_features(),
+        )
+        folder = scratch_dir(spark, "model")
+        model.save(folder)
+        _MODELS[key] = folder, rows.inputFiles()[0].rpartition("/")[0]
+    folder, table = _MODELS[key]
+    return training.OutcomeModel.load(spark, folder), spark.read.parquet(table)
+
+
+_HASH = f"md5(concat_ws(':', browser_id, CAST(date AS VARCHAR), outcome, '{SEED}'))"
+TABLES["b_balanced"] = f"""
+    SELECT * EXCLUDE (h, r, cut) FROM (
+      SELECT *, max(CASE WHEN r = smallest THEN h END) OVER (PARTITION BY outcome) AS cut FROM (
+        SELECT *, {_HASH} AS h, row_number() OVER (PARTITION BY outcome ORDER BY {_HASH}) AS r,
+          (SELECT min(n) FROM (SELECT count(*) AS n FROM b_outcome GROUP BY outcome)) AS smallest FROM b_outcome))
+    WHERE h <= cut"""
+TABLES["b_split"] = f"""
+    SELECT * EXCLUDE (h, r, cut), h <= max(CASE WHEN r = cut THEN h END) OVER () AS is_train FROM (
+      SELECT *, CAST(date AS VARCHAR) || ':' || {_HASH} AS h,
+        row_number() OVER (ORDER BY CAST(date AS VARCHAR) || ':' || {_HASH}) AS r,
+        round_even(count(*) OVER () * 0.7, 0) AS cut FROM b_balanced)"""
 
-def fitted(spark, sf, trees: int = 50):
-    rows, spec = model_rows(spark, sf)
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=8, seed=SEED)
-    model = training.train(
-        rows.where("is_train"), spec.numeric_features(), spec.categorical_features(),
-        spec.bool_features(), estimator=forest,
-        sampler=lambda df: sampling.undersample(df, "outcome", ["browser_id", "date", "outcome"], SEED),
-    )
-    return model, rows
 
-
-@query("train_predict")
+@query(
+    "train_predict",
+    """SELECT browser_id, date, outcome, is_train, 1.0::DOUBLE AS probability_sum, TRUE AS is_most_likely
+    FROM b_split""",
+)
 def train_predict(spark, sf):
-    model, rows = fitted(spark, sf)
-    return training.predict(model, rows, ["browser_id", "date", "outcome", "is_train"])
+    """Predictions of the stored model; the forest itself is checked by its properties."""
+    model, rows = stored_model(spark, sf)
+    found = training.predict(model, rows, [*_KEYS, "is_train"])
+    chances = [F.col(f"{label}_probability") for label in model.labels]
+    own = F.coalesce(*[F.when(F.col("predicted_outcome") == label, c) for label, c in zip(model.labels, chances)])
+    return found.select(
+        *_KEYS, "is_train", F.round(sum(chances[1:], chances[0]), 6).alias("probability_sum"),
+        (own >= F.greatest(*chances)).alias("is_most_likely"),
+    )
 
 
-@query("feature_importances")
-def feature_importances(spark, sf):
-    model, _ = fitted(spark, sf)
-    pairs = list(model.importances().items())
-    return spark.createDataFrame(pairs, "feature string, importance double")
+_DENSE = sorted({
+    *SPECS["b"].numeric_features(context=True, payments=True), *SPECS["b"].bool_features(),
+})
+_TEXTS = SPECS["b"].categorical_features()
 
 
+@query(
+    "feature_importances",
+    "SELECT feature, TRUE AS is_share, 1.0::DOUBLE AS total FROM (SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in _DENSE)
+    + "]) AS feature"
+    + "".join(f" UNION SELECT '{c}_' || {c} FROM b_split WHERE is_train AND {c} IS NOT NULL" for c in _TEXTS)
+    + ")",
+)
+def feature_importances(spark, sf):
+    """Every input by name; shares that are not negative and add up to one."""
+    model, _ = stored_model(spark, sf)
+    found = model.importances()
+    total = round(sum(found.values()), 6)
+    return spark.createDataFrame([(c, v >= 0, total) for c, v in found.items()], "feature string, is_share boolean, total double")
+
+
+@query("train_test_metrics", "SELECT part, outcome AS label, count(*) AS support, TRUE AS is_share FROM (SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS part, outcome FROM b_split) GROUP BY 1, 2")
+def train_test_metrics(spark, sf):
+    """Precision, recall and support of both parts; what no SQL knows is checked to be a share."""
+    model, rows = stored_model(spark, sf)
+    found = training.train_test_frames(model, rows)
+    shares = [F.col(c).between(0, 1) for c in ("precision", "recall", "f_score")]
+    return found.where("support > 0").select("part", "label", "support", (shares[0] & shares[1] & shares[2]).alias("is_share"))
+
+
+@query("dry_run_metrics", "SELECT outcome AS label, count(*) AS support FROM b_split WHERE NOT is_train GROUP BY 1")
+def dry_run_metrics(spark, sf):
+    model, rows = stored_model(spark, sf)
+    return training.outcome_frame(model, rows.where("not is_train")).where("support > 0").select("label", "support")
+
+
+@query("model_registry", f"""SELECT 'conversion' AS model_type, 7::BIGINT AS window_days, CAST(max(outcome_date) + 1 AS VARCHAR) AS train_date,
+    {len(SPECS["b"].numeric_columns())}::BIGINT AS n_numeric FROM b_split""")
+def model_registry(spark, sf):
+    """The registry row of the stored model, with the importances of one feature set counted."""
+    model, rows = stored_model(spark, sf)
+    day = str(training.model_date(rows).first()[0])
+    row = training.registry_row(spark, model, SPECS["b"], {"model_type": "conversion", "window_days": BROWSER_WINDOW, "train_date": day})
+    names = F.json_object_keys("importances__numeric_columns")
+    return row.select("model_type", "window_days", "train_date", F.size(names).cast("long").alias("n_numeric"))

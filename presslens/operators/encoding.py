@@ -1,7 +1,7 @@
 """Fit / apply pairs for model inputs.
 
-``fit`` steps return small driver-side facts (two numbers per column, the values of a categorical
-column behind a size check); ``apply`` steps are projections.
+``fit`` steps return small driver-side facts (two numbers per column, the values that name the
+columns of a wide table); ``apply`` steps are projections.
 """
 
 from __future__ import annotations
@@ -28,13 +28,12 @@ def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return found.where(F.col("value").isNotNull()).union(extra).distinct()
 
 
-def fit_categories(
-    df: DataFrame, columns: Sequence[str], limit: int = 10_000
-) -> dict[str, list[str]]:
-    """Sorted values per column for column naming; more than ``limit`` in all is an error."""
-    found = category_values(df, columns).limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories over {list(columns)}")
+def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted values per column, for a wide table with a named column per value.
+
+    Models do not use this: their categories are indexed and encoded as sparse vectors.
+    """
+    found = category_values(df, columns).collect()
     values: dict[str, list[str]] = {c: [] for c in columns}
     for feature, value in found:
         if value != UNKNOWN:

@@ -5,20 +5,23 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Model as MlModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.functions.flags import bool_to_int
 from presslens.functions.numbers import row_shares
-from presslens.functions.text import filled, indicator, name, scaled
-from presslens.operators.encoding import fit_categories, fit_min_max
+from presslens.functions.text import filled, name, scaled
+from presslens.operators.encoding import fit_min_max
 from presslens.operators.metrics import class_metrics
+from presslens.session import scratch_dir
+from presslens.sources.sinks import stored
 from presslens.spec import FeatureSpec
 
 Sampler = Callable[[DataFrame], DataFrame]
@@ -63,37 +66,53 @@ class OutcomeModel:
 
     classifier: MlModel
     labels: list[str]
-    numeric: list[str]
+    #: Numbers and flags, in the order of the vector; the categories follow them.
+    dense: list[str]
     limits: dict[str, tuple[float, float]]
-    categories: dict[str, list[str]]
-    flags: list[str]
-    features: list[str] = field(default_factory=list)
+    categorical: list[str]
+    encoder: PipelineModel | None = None
 
     def encode(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """``keep`` columns plus the model inputs in alphabetical order, in one projection.
+        """``keep`` columns plus the model inputs as one vector ``features``.
 
-        Numbers are scaled by the fitted limits, texts become indicators; columns the rows lack
-        count as 0, values the model has not seen match no indicator.
+        Numbers are scaled by the fitted limits; columns the rows lack count as 0.  Texts become
+        sparse indicators; null and values the model has not seen are all zero.
         """
         present = set(df.columns)
-        inputs = {c: scaled(c, *self.limits[c], present=c in present) for c in self.numeric}
-        inputs |= {c: filled(c) if c in present else "0D" for c in self.flags}
-        for column, values in self.categories.items():
-            for value in values:
-                hit = indicator(column, value) if column in present else "0"
-                inputs[f"{column}_{value}"] = f"CAST({hit} AS DOUBLE)"
-        texts = [f"{inputs[f]} AS {name(f)}" for f in self.features]
-        return df.selectExpr(*[name(c) for c in keep], *texts)
+        dense = []
+        for k, c in enumerate(self.dense):
+            value = scaled(c, *self.limits[c], present=c in present) if c in self.limits else filled(c) if c in present else "0D"
+            dense.append(f"{value} AS __dense_{k}")
+        texts = [
+            f"{f'CAST({name(c)} AS STRING)' if c in present else 'CAST(NULL AS STRING)'} AS __text_{k}"
+            for k, c in enumerate(self.categorical)
+        ]
+        rows = df.selectExpr(*[name(c) for c in keep], *dense, *texts)
+        if self.encoder is not None:
+            rows = self.encoder.transform(rows)
+        inputs = [f"__dense_{k}" for k in range(len(self.dense))] + [f"__hot_{k}" for k in range(len(self.categorical))]
+        return VectorAssembler(inputCols=inputs, outputCol="features").transform(rows).select(*keep, "features")
+
+    def _vector_names(self) -> list[str]:
+        values = self.encoder.stages[0].labelsArray if self.encoder is not None else []
+        return [*self.dense, *[f"{c}_{v}" for c, found in zip(self.categorical, values) for v in found]]
+
+    @property
+    def features(self) -> list[str]:
+        """Names of all inputs in alphabetical order."""
+        return sorted(self._vector_names())
 
     def importances(self) -> dict[str, float]:
-        """Feature name -> importance."""
+        """Feature name -> importance, in alphabetical order."""
         values = self.classifier.featureImportances.toArray()
-        return dict(zip(self.features, map(float, values), strict=True))
+        return dict(sorted(zip(self._vector_names(), map(float, values), strict=True)))
 
     def save(self, path: str) -> None:
-        """Classifier and encoding facts below one folder, written by Spark."""
+        """Classifier, encoder and encoding facts below one folder, written by Spark."""
         self.classifier.write().overwrite().save(f"{path}/classifier")
-        facts = {k: v for k, v in asdict_without_model(self).items()}
+        if self.encoder is not None:
+            self.encoder.write().overwrite().save(f"{path}/encoder")
+        facts = {n: getattr(self, n) for n in ("labels", "dense", "limits", "categorical")}
         spark = SparkSession.getActiveSession()
         spark.createDataFrame([(json.dumps(facts),)], "facts string").coalesce(1).write.mode(
             "overwrite"
@@ -103,16 +122,25 @@ class OutcomeModel:
     def load(cls, spark: SparkSession, path: str) -> OutcomeModel:
         facts = json.loads(spark.read.text(f"{path}/encoding").first()[0])
         facts["limits"] = {k: tuple(v) for k, v in facts["limits"].items()}
-        return cls(RandomForestClassificationModel.load(f"{path}/classifier"), **facts)
-
-
-def asdict_without_model(model: OutcomeModel) -> dict:
-    names = ("labels", "numeric", "limits", "categories", "flags", "features")
-    return {n: getattr(model, n) for n in names}
-
-
-def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+        encoder = PipelineModel.load(f"{path}/encoder") if facts["categorical"] else None
+        return cls(RandomForestClassificationModel.load(f"{path}/classifier"), encoder=encoder, **facts)
+
+
+def _category_encoder(rows: DataFrame, columns: Sequence[str]) -> PipelineModel | None:
+    """Indexes of the values and sparse indicators, fitted on the rows; any number of values."""
+    if not columns:
+        return None
+    every = range(len(columns))
+    texts = rows.selectExpr(*[f"CAST({name(c)} AS STRING) AS __text_{k}" for k, c in enumerate(columns)])
+    indexer = StringIndexer(
+        inputCols=[f"__text_{k}" for k in every], outputCols=[f"__index_{k}" for k in every],
+        handleInvalid="keep", stringOrderType="alphabetAsc",
+    )
+    # The bucket of unknown values is the last index, which gets no indicator.
+    encoder = OneHotEncoder(
+        inputCols=[f"__index_{k}" for k in every], outputCols=[f"__hot_{k}" for k in every], dropLast=True,
+    )
+    return Pipeline(stages=[indexer, encoder]).fit(texts)
 
 
 def train(
@@ -126,22 +154,22 @@ def train(
 ) -> OutcomeModel:
     """Fit a classifier on rows with a known outcome.
 
-    ``df`` holds training rows only; encodings are learned from them.  ``sampler`` balances the
-    classes, ``estimator`` is any Spark ML classifier (250-tree random forest by default).
+    ``df`` holds training rows only; encodings are learned from them.  ``sampler`` balances these
+    rows; leave it out when the rows were balanced before they were split (decision 24).
+    ``estimator`` is any Spark ML classifier (250-tree random forest by default).  Fitting reads
+    the rows several times, so they should come from a stored table; a sampled set is stored here.
     """
     rows = df.where(F.col(label).isNotNull())
     if sampler is not None:
-        rows = sampler(rows)
+        rows = stored(sampler(rows), scratch_dir(df.sparkSession, "sampled"))
     present = set(rows.columns)
     numeric = sorted(set(numeric))
     known = [c for c in numeric if c in present]
     limits = {c: (0.0, 0.0) for c in numeric} | (fit_min_max(rows, known) if known else {})
-    kept = [c for c in categorical if c in present]
-    categories = fit_categories(rows, kept) if kept else {}
-    flags = [c for c in flags if c in present]
-    dummies = [f"{c}_{v}" for c, values in categories.items() for v in values]
-    model = OutcomeModel(None, [], numeric, limits, categories, flags, sorted({*numeric, *flags, *dummies}))
-    encoded = _assemble(model.encode(rows, [label]), model.features).select(label, "features")
+    categorical = sorted(c for c in set(categorical) if c in present)
+    dense = sorted({*numeric, *[c for c in flags if c in present]})
+    model = OutcomeModel(None, [], dense, limits, categorical, _category_encoder(rows, categorical))
+    encoded = model.encode(rows, [label])
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(encoded)
     estimator = estimator or RandomForestClassifier(numTrees=250, maxDepth=12, seed=42)
     estimator = estimator.copy({estimator.labelCol: "label", estimator.featuresCol: "features"})
@@ -153,8 +181,7 @@ def train(
 
 def predict(model: OutcomeModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns, ``{label}_probability`` per label and ``predicted_outcome``."""
-    encoded = _assemble(model.encode(df, keep), model.features)
-    scored = model.classifier.transform(encoded)
+    scored = model.classifier.transform(model.encode(df, keep))
     names = F.array(*[F.lit(name) for name in model.labels])
     probabilities = vector_to_array("probability")
     return scored.select(

@@ -24,8 +24,6 @@ def test_one_hot_unseen_and_null(spark):
     assert {tuple(r) for r in encoding.category_values(seen, ["c"]).collect()} == {("c", "a"), ("c", "b"), ("c", "Unknown")}
     known = rows.select(encoding.known_category(F.col("c"), ["a", "b"]).alias("k"))
     assert [r.k for r in known.collect()] == ["a", "Unknown", "Unknown"]
-    with pytest.raises(ValueError):
-        encoding.fit_categories(seen, ["c"], limit=1)
 
 
 def test_min_max(spark):
@@ -173,3 +171,15 @@ def test_segments(spark):
     assert segments.segments(spark).count() == 5 and segments.segment(spark, "low_conversion").first().id == 3
     with pytest.raises(ValueError):
         segments.segment(spark, "nope")
+
+
+def test_twenty_thousand_categories(spark):
+    """No cap on categories: they are indexed, and the vector is sparse."""
+    df = spark.range(20_000).select(
+        F.concat(F.lit("v"), F.col("id")).alias("c"), (F.col("id") % 7).cast("double").alias("x"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("outcome"),
+    )
+    model = training.train(df, ["x"], ["c"], estimator=RandomForestClassifier(numTrees=1, maxDepth=1, seed=1))
+    assert len(model.features) == 20_001 and len(model.importances()) == 20_001
+    unseen = training.predict(model, spark.createDataFrame([("new", 1.0), (None, 2.0)], "c string, x double"), ["c"])
+    assert unseen.count() == 2
