@@ -400,16 +400,14 @@ def browser_outcomes(spark, sf):
     return outcomes.with_shared_logins(labelled, events)
 
 
-@query("churn_outcome", "SELECT user_id, date, outcome, outcome_date, round(pageviews_avg, 6) AS pageviews_avg FROM u_outcome")
+@query("churn_outcome", "SELECT * FROM u_outcome")
 def churn_outcome(spark, sf):
-    rows = user_outcomes(spark, sf)
-    return rounded(rows.select("user_id", "date", "outcome", "outcome_date", "pageviews_avg"))
+    return rounded(user_outcomes(spark, sf))
 
 
-@query("conversion_outcome", "SELECT browser_id, date, outcome, outcome_date, pageviews_avg FROM b_outcome")
+@query("conversion_outcome", "SELECT * FROM b_outcome")
 def conversion_outcome(spark, sf):
-    rows = outcomes.conversion_outcome(browser_profile(spark, sf), event_table(spark, sf))
-    return rounded(rows.select("browser_id", "date", "outcome", "outcome_date", "pageviews_avg"))
+    return rounded(outcomes.conversion_outcome(browser_profile(spark, sf), event_table(spark, sf)))
 
 
 @query(

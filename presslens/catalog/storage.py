@@ -170,25 +170,19 @@ def unpack_features(spark, sf):
 def profile_write(spark, sf):
     """Store packed profiles, store one day again, read back."""
     path = scratch_dir(spark, "profiles")
-    packed = packed_profiles(spark, sf)
+    packed = sinks.stored(packed_profiles(spark, sf), scratch_dir(spark, "packed"))
     sinks.write_profiles(packed, path)
     sinks.write_profiles(packed.where(F.col("date") == F.lit(LAST_DAY).cast("date")), path)
     return _shown(packing.unpack_features(spark.read.parquet(path), SPECS["b"]))
 
 
-_BACKFILL = ("browser_id", "date", "day_of_week", "is_active_on_date", "days_since_last_active",
-             "pageviews_avg", "pageviews_avg_first_window_half", "pageviews_avg_last_window_half",
-             "days_active_count", "dow_3_avg", "pageviews_per_visit_avg",
-             "relative_pageviews_avg_change_first_and_second_half")
-
-
-@query("profile_backfill", f"SELECT {', '.join(_BACKFILL)} FROM b_profile")
+@query("profile_backfill", "SELECT * FROM b_profile")
 def profile_backfill(spark, sf):
     """Every day in one pass, then the last day once more on its own: both ways agree."""
     path = scratch_dir(spark, "backfill")
     sinks.write_partitions(browser_profile(spark, sf), path, ["date"])
     sinks.write_partitions(browser_profile(spark, sf, LAST_DAY, LAST_DAY), path, ["date"])
-    return rounded(spark.read.parquet(path).select(*_BACKFILL))
+    return rounded(spark.read.parquet(path))
 
 
 TABLES["b_labelled"] = """
