@@ -27,6 +27,7 @@ from presslens.spec import (
     sanitize,
 )
 
+#: The brands of the test tables, for the oracles; the plans read theirs from the data.
 BRANDS = ("apple", "samsung")
 USER_WINDOW, BROWSER_WINDOW = 30, 7
 SPECS = {"u": FeatureSpec("user", device_brands=BRANDS), "b": FeatureSpec("browser")}
@@ -169,9 +170,22 @@ def long_table(spark, sf, id_col, key):
     return daily.key_counts(pageviews(spark, sf), id_col, key)
 
 
+#: Brand lists already read, by application and input.
+_FOUND: dict[tuple[str, str], list[str]] = {}
+
+
+def brands_of(spark, sf) -> list[str]:
+    """Device brands that occur in the period; they name columns, so they are read beforehand."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FOUND:
+        seen = daily.device_brands(daily.browsers_dim(pageviews(spark, sf)), LAST_DAY)
+        _FOUND[key] = sorted(r["device_brand"] for r in seen.where("device_brand is not null").collect())
+    return _FOUND[key]
+
+
 def devices_of_users(spark, sf):
     views = pageviews(spark, sf)
-    return profiles.user_devices(daily.browsers_dim(views), daily.browser_users(views), BRANDS)
+    return profiles.user_devices(daily.browsers_dim(views), daily.browser_users(views), brands_of(spark, sf))
 
 
 def user_profile(spark, sf, start=FIRST_DAY, end=LAST_DAY, n=USER_WINDOW, spine_start=FIRST_DAY):
@@ -327,7 +341,7 @@ def device_rolling(spark, sf):
     days = daily.subscriber_views(views)
     spine_rows = date_spine(days, "user_id", FIRST_DAY, LAST_DAY)
     joined = spine_rows.join(devices_of_users(spark, sf), ["user_id", "date"], "left")
-    sums = {f"{c}_sum": c for c in _DEVICE_COLUMNS}
+    sums = {f"{c}_sum": c for c in joined.columns if c not in ("user_id", "date")}
     rolled = rolling_features(joined, "user_id", 7, {}, sums=sums)
     return rolled.select("user_id", "date", *sums)
 

@@ -160,3 +160,18 @@ def test_profile_shuffles_once(spark):
     plan = rolled._jdf.queryExecution().sparkPlan().toString()
     executed = rolled._jdf.queryExecution().executedPlan().toString()
     assert executed.count("Exchange ") == 1 and "SortMergeJoin" not in plan
+
+
+def test_every_brand_of_the_data_gets_a_column(spark):
+    """Brands come from the data: a third one is counted like the others."""
+    from presslens.plans import daily, profiles
+
+    browsers = spark.createDataFrame(
+        [(f"b{k}", "2024-01-10", brand, "true", "false", "false") for k, brand in enumerate(["Apple", "Samsung", "Nokia X", None])],
+        "browser_id string, date string, device_brand string, is_mobile string, is_desktop string, is_tablet string",
+    ).withColumn("date", F.to_date("date"))
+    users = browsers.select("browser_id", "date", F.lit("u").alias("user_id"))
+    brands = sorted(r[0] for r in daily.device_brands(browsers, "2024-01-30").where("device_brand is not null").collect())
+    assert brands == ["apple", "nokia x", "samsung"]
+    row = profiles.user_devices(browsers, users, brands).first()
+    assert [row[f"{b}_device_brand"] for b in ("apple", "nokia_x", "samsung")] == [1.0, 1.0, 1.0]
