@@ -15,74 +15,13 @@ from presslens.sources import sinks
 
 UPTO = LAST_DAY
 _ACCEPTED = ", ".join(f"'{s}'" for s in ACCEPTED_STATUSES)
-_CREATED = f"CAST(created_at AS DATE) <= DATE '{UPTO}'"
 END = f"{LAST_DAY} 23:59:59"
 
-TABLES["paid_subs"] = f"""
-    SELECT subscription_id, count(id) AS payment_count, sum(amount) AS amount,
-      sum(additional_amount) AS additional_amount, sum(recurrent_charge) > 0 AS is_recurrent_charge,
-      string_agg(status, ',' ORDER BY status) AS payment_status,
-      bool_and(status IN ({_ACCEPTED})) AS all_accepted
-    FROM fx_payments WHERE subscription_id IS NOT NULL AND {_CREATED} GROUP BY 1"""
-TABLES["upgraded"] = f"""SELECT base_subscription_id, count(id) > 0 AS is_upgraded
-    FROM fx_subscription_upgrades WHERE {_CREATED} GROUP BY 1"""
-TABLES["upgrade_pairs"] = f"""SELECT base_subscription_id, upgraded_subscription_id, type AS upgrade_type,
-    count(id) > 0 AS is_upgrade FROM fx_subscription_upgrades WHERE {_CREATED} GROUP BY 1, 2, 3"""
-TABLES["sub_data"] = f"""
-    SELECT s.user_id, s.id AS subscription_id, s.subscription_type_id, s.type AS subscription_type,
-      s.created_at, s.start_time, s.end_time, s.length,
-      s.is_recurrent::DOUBLE AS is_recurrent, s.is_paid::DOUBLE AS is_paid,
-      p.is_recurrent_charge::INT::DOUBLE AS is_recurrent_charge,
-      coalesce(u.is_upgraded, FALSE)::INT::DOUBLE AS is_upgraded,
-      coalesce(g.is_upgrade, FALSE)::INT::DOUBLE AS is_upgrade,
-      p.payment_count, p.amount, p.additional_amount, p.payment_status,
-      t.name AS sub_type_name, t.code AS sub_type_code, t.length AS sub_type_length,
-      t.price AS sub_type_price, t.web::DOUBLE AS sub_web_access, t.mobile::DOUBLE AS sub_standard_access,
-      t.club::DOUBLE AS sub_club_access, t.print::DOUBLE AS sub_print_access,
-      t.print_friday::DOUBLE AS sub_print_friday_access,
-      coalesce(g.base_subscription_id, s.id) AS base_subscription_id,
-      coalesce(g.upgrade_type, 'none') AS upgrade_type
-    FROM fx_subscriptions s
-    LEFT JOIN paid_subs p ON s.id = p.subscription_id
-    LEFT JOIN (SELECT * FROM fx_subscription_types WHERE NOT no_subscription) t ON s.subscription_type_id = t.id
-    LEFT JOIN upgraded u ON s.id = u.base_subscription_id
-    LEFT JOIN upgrade_pairs g ON s.id = g.upgraded_subscription_id
-    WHERE CAST(s.created_at AS DATE) <= DATE '{UPTO}' AND p.all_accepted
-      AND s.start_time <> s.end_time AND s.start_time >= TIMESTAMP '2015-01-01'"""
-TABLES["priced"] = """
-    SELECT *, CASE WHEN sub_web_access <> 1 THEN -1
-        ELSE (sub_web_access + sub_standard_access + sub_club_access)::INT END AS web_access_level,
-      (amount - additional_amount) / NULLIF(length, 0) AS daily_price FROM sub_data"""
-TABLES["bands"] = """
-    SELECT web_access_level, length, is_paid, sub_print_access, sub_print_friday_access,
-      avg(daily_price) AS average_price FROM priced GROUP BY ALL"""
-TABLES["banded"] = """
-    SELECT p.*, b.average_price, CASE WHEN b.average_price = 0 THEN 0.0
-      WHEN 1 - p.daily_price / b.average_price >= 0.2 THEN 1.0 ELSE 0.0 END AS is_discount
-    FROM (SELECT *, lag(end_time) OVER (PARTITION BY user_id
-        ORDER BY start_time, subscription_id, base_subscription_id) AS previous_end_time FROM priced) p
-    JOIN bands b USING (web_access_level, length, is_paid, sub_print_access, sub_print_friday_access)"""
 _GAP = "date_diff('day', CAST(previous_end_time AS DATE), CAST(start_time AS DATE))"
-TABLES["user_stats"] = f"""
-    SELECT user_id, round(sum(amount), 2) AS total_amount, round(avg(amount), 6) AS average_amount,
-      count(DISTINCT subscription_id) AS count_subs,
-      sum(CASE WHEN is_paid = 1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS paid_subs,
-      sum(CASE WHEN is_paid = 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS free_subs,
-      date_diff('day', min(CAST(created_at AS DATE)), max(CAST(created_at AS DATE)))::INT
-        AS number_of_days_since_the_first_paid_sub,
-      round(avg({_GAP}), 6) AS average_gap, max({_GAP})::INT AS max_gap,
-      sum(CASE WHEN is_paid = 1 THEN length ELSE 0 END)::DOUBLE AS total_days_paid_sub,
-      sum(CASE WHEN is_paid = 0 THEN length ELSE 0 END)::DOUBLE AS total_days_free_sub,
-      sum(CASE WHEN is_upgraded = 1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS upgraded_subs,
-      sum(is_discount)::DOUBLE AS discount_subs
-    FROM banded WHERE CAST(start_time AS DATE) <= DATE '{UPTO}' GROUP BY 1"""
-TABLES["by_recency"] = f"""
-    SELECT * FROM (SELECT *, rank() OVER (PARTITION BY user_id ORDER BY start_time DESC) AS k FROM priced
-      WHERE CAST(start_time AS DATE) <= DATE '{UPTO}') p
-    JOIN bands b USING (web_access_level, length, is_paid, sub_print_access, sub_print_friday_access)"""
 _FLAG = """CASE WHEN average_price = 0 THEN 0.0 WHEN 1 - daily_price / average_price >= 0.2
     THEN 1.0 ELSE 0.0 END::DOUBLE"""
 _SHOWN = ("subscription_id", "amount", "length", "web_access_level", "payment_status", "is_discount")
+_BAND = "web_access_level, length, is_paid, sub_print_access, sub_print_friday_access"
 
 
 def _change(c: str) -> str:
@@ -90,16 +29,102 @@ def _change(c: str) -> str:
         ELSE l.{c}::DOUBLE / NULLIF(r.{c}, 0) END::DOUBLE, 6) AS {c}_diff"""
 
 
-TABLES["last_two"] = f"""
-    SELECT l.user_id, {', '.join(f'l.{c} AS {c}_last, r.{c} AS {c}_previous' for c in _SHOWN)},
-      {', '.join(_change(c) for c in subs.NUMERIC_DIFFS)},
-      {', '.join(f'l.{c} - r.{c} AS {c}_diff' for c in subs.PLAIN_DIFFS)}
-    FROM (SELECT *, {_FLAG} AS is_discount FROM by_recency WHERE k = 1) l
-    JOIN (SELECT *, {_FLAG} AS is_discount FROM by_recency WHERE k = 2) r ON l.user_id = r.user_id"""
-TABLES["sub_features"] = """
-    SELECT CAST(s.user_id AS VARCHAR) AS user_id, s.* EXCLUDE (user_id), t.* EXCLUDE (user_id)
-    FROM user_stats s JOIN last_two t ON s.user_id = t.user_id
-    WHERE CAST(s.user_id AS VARCHAR) IN (SELECT user_id FROM expiring)"""
+def _history_tables(p: str, day: str) -> dict[str, str]:
+    """Oracle tables of the subscription history, names starting with ``p``.
+
+    Without ``day`` they hold the state on the last day; with ``as_of, `` the state on every day,
+    from what was created up to that day.
+    """
+    created, of_day = "CAST(created_at AS DATE)", "as_of" if day else f"DATE '{UPTO}'"
+
+    def known(table: str) -> str:
+        if not day:
+            return f"(SELECT * FROM {table} WHERE {created} <= DATE '{UPTO}')"
+        days = f"(SELECT unnest(generate_series(DATE '{FIRST_DAY}', DATE '{UPTO}', INTERVAL 1 DAY))::DATE AS as_of)"
+        return f"(SELECT * FROM {table}, {days} WHERE {created} <= as_of)"
+
+    def same(left: str, right: str) -> str:
+        return f"AND {left}.as_of = {right}.as_of" if day else ""
+
+    started = f"CAST(start_time AS DATE) <= {of_day}"
+    own = f"EXCLUDE ({day}user_id)"
+    listed = "(user_id, as_of) IN (SELECT user_id, date FROM expiring)" if day else "user_id IN (SELECT user_id FROM expiring)"
+    tables = {
+        "paid_subs": f"""
+            SELECT {day}subscription_id, count(id) AS payment_count, sum(amount) AS amount,
+              sum(additional_amount) AS additional_amount, sum(recurrent_charge) > 0 AS is_recurrent_charge,
+              string_agg(status, ',' ORDER BY status) AS payment_status,
+              bool_and(status IN ({_ACCEPTED})) AS all_accepted
+            FROM {known("fx_payments")} WHERE subscription_id IS NOT NULL GROUP BY ALL""",
+        "upgraded": f"""SELECT {day}base_subscription_id, count(id) > 0 AS is_upgraded
+            FROM {known("fx_subscription_upgrades")} GROUP BY ALL""",
+        "upgrade_pairs": f"""SELECT {day}base_subscription_id, upgraded_subscription_id, type AS upgrade_type,
+            count(id) > 0 AS is_upgrade FROM {known("fx_subscription_upgrades")} GROUP BY ALL""",
+        "sub_data": f"""
+            SELECT {"s.as_of, " if day else ""}s.user_id, s.id AS subscription_id, s.subscription_type_id, s.type AS subscription_type,
+              s.created_at, s.start_time, s.end_time, s.length,
+              s.is_recurrent::DOUBLE AS is_recurrent, s.is_paid::DOUBLE AS is_paid,
+              p.is_recurrent_charge::INT::DOUBLE AS is_recurrent_charge,
+              coalesce(u.is_upgraded, FALSE)::INT::DOUBLE AS is_upgraded,
+              coalesce(g.is_upgrade, FALSE)::INT::DOUBLE AS is_upgrade,
+              p.payment_count, p.amount, p.additional_amount, p.payment_status,
+              t.name AS sub_type_name, t.code AS sub_type_code, t.length AS sub_type_length,
+              t.price AS sub_type_price, t.web::DOUBLE AS sub_web_access, t.mobile::DOUBLE AS sub_standard_access,
+              t.club::DOUBLE AS sub_club_access, t.print::DOUBLE AS sub_print_access,
+              t.print_friday::DOUBLE AS sub_print_friday_access,
+              coalesce(g.base_subscription_id, s.id) AS base_subscription_id,
+              coalesce(g.upgrade_type, 'none') AS upgrade_type
+            FROM {known("fx_subscriptions")} s
+            LEFT JOIN {p}paid_subs p ON s.id = p.subscription_id {same("s", "p")}
+            LEFT JOIN (SELECT * FROM fx_subscription_types WHERE NOT no_subscription) t ON s.subscription_type_id = t.id
+            LEFT JOIN {p}upgraded u ON s.id = u.base_subscription_id {same("s", "u")}
+            LEFT JOIN {p}upgrade_pairs g ON s.id = g.upgraded_subscription_id {same("s", "g")}
+            WHERE p.all_accepted AND s.start_time <> s.end_time AND s.start_time >= TIMESTAMP '2015-01-01'""",
+        "priced": f"""
+            SELECT *, CASE WHEN sub_web_access <> 1 THEN -1
+                ELSE (sub_web_access + sub_standard_access + sub_club_access)::INT END AS web_access_level,
+              (amount - additional_amount) / NULLIF(length, 0) AS daily_price FROM {p}sub_data""",
+        "bands": f"SELECT {day}{_BAND}, avg(daily_price) AS average_price FROM {p}priced GROUP BY ALL",
+        "banded": f"""
+            SELECT p.*, b.average_price, CASE WHEN b.average_price = 0 THEN 0.0
+              WHEN 1 - p.daily_price / b.average_price >= 0.2 THEN 1.0 ELSE 0.0 END AS is_discount
+            FROM (SELECT *, lag(end_time) OVER (PARTITION BY {day}user_id
+                ORDER BY start_time, subscription_id, base_subscription_id) AS previous_end_time FROM {p}priced) p
+            JOIN {p}bands b USING ({day}{_BAND})""",
+        "user_stats": f"""
+            SELECT {day}user_id, round(sum(amount), 2) AS total_amount, round(avg(amount), 6) AS average_amount,
+              count(DISTINCT subscription_id) AS count_subs,
+              sum(CASE WHEN is_paid = 1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS paid_subs,
+              sum(CASE WHEN is_paid = 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS free_subs,
+              date_diff('day', min({created}), max({created}))::INT AS number_of_days_since_the_first_paid_sub,
+              round(avg({_GAP}), 6) AS average_gap, max({_GAP})::INT AS max_gap,
+              sum(CASE WHEN is_paid = 1 THEN length ELSE 0 END)::DOUBLE AS total_days_paid_sub,
+              sum(CASE WHEN is_paid = 0 THEN length ELSE 0 END)::DOUBLE AS total_days_free_sub,
+              sum(CASE WHEN is_upgraded = 1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS upgraded_subs,
+              sum(is_discount)::DOUBLE AS discount_subs
+            FROM {p}banded WHERE {started} GROUP BY ALL""",
+        "by_recency": f"""
+            SELECT * FROM (SELECT *, rank() OVER (PARTITION BY {day}user_id ORDER BY start_time DESC) AS k
+              FROM {p}priced WHERE {started}) p
+            JOIN {p}bands b USING ({day}{_BAND})""",
+        "last_two": f"""
+            SELECT {"l.as_of, " if day else ""}l.user_id, {', '.join(f'l.{c} AS {c}_last, r.{c} AS {c}_previous' for c in _SHOWN)},
+              {', '.join(_change(c) for c in subs.NUMERIC_DIFFS)},
+              {', '.join(f'l.{c} - r.{c} AS {c}_diff' for c in subs.PLAIN_DIFFS)}
+            FROM (SELECT *, {_FLAG} AS is_discount FROM {p}by_recency WHERE k = 1) l
+            JOIN (SELECT *, {_FLAG} AS is_discount FROM {p}by_recency WHERE k = 2) r
+              ON l.user_id = r.user_id {same("l", "r")}""",
+        "sub_features": f"""
+            SELECT * FROM (
+              SELECT {"s.as_of, " if day else ""}CAST(s.user_id AS VARCHAR) AS user_id, s.* {own}, t.* {own}
+              FROM {p}user_stats s JOIN {p}last_two t ON s.user_id = t.user_id {same("s", "t")})
+            WHERE {listed}""",
+    }
+    return {f"{p}{k}": v for k, v in tables.items()}
+
+
+TABLES.update(_history_tables("", ""))
+TABLES.update(_history_tables("daily_", "as_of, "))
 
 
 def sub_data(spark, sf):
@@ -226,14 +251,20 @@ _BEHAVIOUR = ("outcome", "outcome_date", "is_active_on_date", "days_since_last_a
 
 @query(
     "churn_profile",
-    f"""SELECT s.* REPLACE ({_AMOUNTS}), coalesce(o.date, DATE '{LAST_DAY}') AS date,
+    f"""SELECT s.* EXCLUDE (as_of) REPLACE ({_AMOUNTS}), s.as_of AS date,
       {', '.join('o.' + c for c in _BEHAVIOUR)}
-    FROM sub_features s LEFT JOIN u_outcome o ON s.user_id = o.user_id""",
+    FROM daily_sub_features s LEFT JOIN u_outcome o ON s.user_id = o.user_id AND s.as_of = o.date""",
 )
 def churn_profile(spark, sf):
+    """Profiles of every day of the month, each with the subscription history known on that day."""
     behavioural = user_outcomes(spark, sf).select("user_id", "date", *_BEHAVIOUR)
-    transactional = features(spark, sf, expiring(spark, sf))
-    joined = subs.churn_profile(transactional, behavioural, LAST_DAY)
+    history_of_days = subs.subscription_data(
+        load(spark, sf, "fx_subscriptions"), load(spark, sf, "fx_payments"),
+        load(spark, sf, "fx_subscription_types"), load(spark, sf, "fx_subscription_upgrades"), subs.Days(FIRST_DAY, LAST_DAY),
+    )
+    stored = sinks.stored(history_of_days, scratch_dir(spark, "daily_sub_data"))
+    points = expiring(spark, sf).select("user_id", F.col("date").alias(subs.AS_OF))
+    joined = subs.churn_profile(subs.subscription_features(stored, None, points), behavioural)
     return _feature_columns(joined, "date", *_BEHAVIOUR)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,11 +23,35 @@ HISTORY_START = "2015-01-01"
 _BLOCK_SECONDS = 90 * 86_400
 
 
+#: The day a row of a day-by-day history is known on; steps group by it wherever it is present.
+AS_OF = "as_of"
+
+
+class Days(NamedTuple):
+    """A period; given instead of one last day it asks for the state on each of its days."""
+
+    start: dt.date | str
+    end: dt.date | str
+
+
+def _by(df: DataFrame) -> list[str]:
+    return [AS_OF] if AS_OF in df.columns else []
+
+
 def created_between(df: DataFrame, upto, after=None) -> DataFrame:
-    """Rows created after the day ``after`` (open when None) and up to the day ``upto``."""
+    """Rows created after the day ``after`` (open when None) and up to the day ``upto``.
+
+    For ``Days`` a row comes once for every day of the period it is known on, with that day as
+    ``as_of``: each day sees what was created up to it and nothing later.
+    """
     day = F.to_date("created_at")
-    kept = df.where(day <= F.lit(str(upto)).cast("date"))
-    return kept if after is None else kept.where(day > F.lit(str(after)).cast("date"))
+    last = upto.end if isinstance(upto, Days) else upto
+    kept = df.where(day <= F.lit(str(last)).cast("date"))
+    kept = kept if after is None else kept.where(day > F.lit(str(after)).cast("date"))
+    if not isinstance(upto, Days):
+        return kept
+    first, last = (F.lit(str(d)).cast("date") for d in upto)
+    return kept.withColumn(AS_OF, F.explode(F.sequence(F.greatest(day, first), last)))
 
 
 def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame:
@@ -36,7 +61,8 @@ def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame
     from counts and no task collects the payments of a busy subscription.
     """
     rows = created_between(payments, upto, after).where(F.col("subscription_id").isNotNull())
-    by_status = rows.groupBy("subscription_id", "status").agg(
+    by = _by(rows)
+    by_status = rows.groupBy(*by, "subscription_id", "status").agg(
         F.count("id").alias("n"),
         F.sum("amount").alias("amount"),
         F.sum("additional_amount").alias("additional_amount"),
@@ -44,7 +70,7 @@ def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame
     )
     statuses = F.array_sort(F.collect_list(F.struct("status", F.col("n").cast("int").alias("n"))))
     repeated = F.flatten(F.transform(statuses, lambda s: F.array_repeat(s["status"], s["n"])))
-    return by_status.groupBy("subscription_id").agg(
+    return by_status.groupBy(*by, "subscription_id").agg(
         F.sum("n").alias("payment_count"),
         F.sum("amount").alias("amount"),
         F.sum("additional_amount").alias("additional_amount"),
@@ -56,14 +82,14 @@ def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame
 def upgrade_flags(upgrades: DataFrame, upto, after=None) -> DataFrame:
     """``(base_subscription_id, is_upgraded)`` for subscriptions that were upgraded."""
     rows = created_between(upgrades, upto, after)
-    return rows.groupBy("base_subscription_id").agg((F.count("id") > 0).alias("is_upgraded"))
+    return rows.groupBy(*_by(rows), "base_subscription_id").agg((F.count("id") > 0).alias("is_upgraded"))
 
 
 def upgrade_links(upgrades: DataFrame, upto, after=None) -> DataFrame:
     """Distinct (base, upgraded, type) with ``is_upgrade``."""
     rows = created_between(upgrades, upto, after)
     return rows.groupBy(
-        "base_subscription_id", "upgraded_subscription_id", F.col("type").alias("upgrade_type")
+        *_by(rows), "base_subscription_id", "upgraded_subscription_id", F.col("type").alias("upgrade_type")
     ).agg((F.count("id") > 0).alias("is_upgrade"))
 
 
@@ -72,7 +98,7 @@ def subscription_data(
     payments: DataFrame,
     types: DataFrame,
     upgrades: DataFrame,
-    upto: dt.date | str,
+    upto: dt.date | str | Days,
     after: dt.date | str | None = None,
     statuses: Sequence[str] = ACCEPTED_STATUSES,
     keep_unpaid: bool = False,
@@ -81,7 +107,8 @@ def subscription_data(
 
     Kept are subscriptions whose payments all have an accepted status, that start in the usable
     history and do not end at their start.  ``keep_unpaid`` also keeps those without a payment.
-    All four joins are on the subscription id or on the type, so subscriptions are shuffled once.
+    Three joins are on the subscription id, one is on the type.  For ``Days`` there is a row per
+    subscription and day, as known on that day.
     """
     paid = payments_by_subscription(payments, upto, after)
     kinds = types.where(~F.coalesce(F.col("no_subscription"), F.lit(False))).select(
@@ -108,6 +135,7 @@ def subscription_data(
         .where(F.col("start_time") >= F.lit(HISTORY_START).cast("timestamp_ntz"))
         .withColumnsRenamed({"id": "subscription_id", "type": "subscription_type"})
     )
+    by = _by(base)
     allowed = F.array(*[F.lit(s) for s in statuses])
     all_accepted = (
         F.size(F.array_except(F.split("payment_status", ","), allowed)) == 0
@@ -115,15 +143,15 @@ def subscription_data(
     if keep_unpaid:
         all_accepted = all_accepted | F.col("payment_status").isNull()
     joined = (
-        base.join(paid, "subscription_id", "left")
+        base.join(paid, [*by, "subscription_id"], "left")
         .where(all_accepted)
-        .join(upgraded, "subscription_id", "left")
-        .join(links, "subscription_id", "left")
+        .join(upgraded, [*by, "subscription_id"], "left")
+        .join(links, [*by, "subscription_id"], "left")
         .join(kinds, "subscription_type_id", "left")
     )
     flags = ("is_recurrent", "is_paid", "is_recurrent_charge", "is_upgraded", "is_upgrade")
     return joined.select(
-        "user_id", "subscription_id", "subscription_type_id", "subscription_type",
+        *by, "user_id", "subscription_id", "subscription_type_id", "subscription_type",
         "created_at", "start_time", "end_time",
         F.col("length").cast("int").alias("length"),
         *[bool_to_int(F.col(f)).cast("double").alias(f) for f in flags],
@@ -150,7 +178,7 @@ def with_price(data: DataFrame) -> DataFrame:
 
 def price_bands(data: DataFrame) -> DataFrame:
     """Average daily price per access level, length, paid flag and print access."""
-    return with_price(data).groupBy(*BAND_KEYS).agg(F.avg("daily_price").alias("average_price"))
+    return with_price(data).groupBy(*_by(data), *BAND_KEYS).agg(F.avg("daily_price").alias("average_price"))
 
 
 def band_join(priced: DataFrame, bands: DataFrame) -> DataFrame:
@@ -158,27 +186,33 @@ def band_join(priced: DataFrame, bands: DataFrame) -> DataFrame:
 
     Subscriptions with a missing band attribute have no band and are dropped.
     """
-    joined = priced.join(bands, list(BAND_KEYS))
+    joined = priced.join(bands, [*_by(priced), *BAND_KEYS])
     return joined.withColumn("is_discount", discount_flag(F.col("daily_price"), F.col("average_price")))
 
 
-def started_by(data: DataFrame, max_date: dt.date | str) -> DataFrame:
+def started_by(data: DataFrame, max_date: dt.date | str | None) -> DataFrame:
+    """Subscriptions that started by a day, or by their own day in a day-by-day history."""
+    if AS_OF in data.columns:
+        return data.where(F.to_date("start_time") <= F.col(AS_OF))
     return data.where(F.to_date("start_time") <= F.lit(str(max_date)).cast("date"))
 
 
 def subscription_gaps(data: DataFrame) -> DataFrame:
     """Add ``previous_end_time`` and ``gap_days`` to the user's subscription before, by start."""
     before = previous_row(
-        data, ["user_id"], ["start_time", "subscription_id", "base_subscription_id"], ["end_time"],
+        data, [*_by(data), "user_id"], ["start_time", "subscription_id", "base_subscription_id"], ["end_time"],
         time_block(F.col("start_time"), _BLOCK_SECONDS),
     )
     gap = F.datediff(F.to_date("start_time"), F.to_date("previous_end_time"))
     return before.withColumn("gap_days", gap)
 
 
-def user_subscription_stats(data: DataFrame, max_date: dt.date | str) -> DataFrame:
+def user_subscription_stats(
+    data: DataFrame, max_date: dt.date | str | None, bands: DataFrame | None = None
+) -> DataFrame:
     """Twelve history measures per user."""
-    rows = band_join(subscription_gaps(with_price(data)), price_bands(data))
+    bands = price_bands(data) if bands is None else bands
+    rows = band_join(subscription_gaps(with_price(data)), bands)
     rows = started_by(rows, max_date)
 
     def total(test: Column, value: Column | None = None) -> Column:
@@ -187,7 +221,7 @@ def user_subscription_stats(data: DataFrame, max_date: dt.date | str) -> DataFra
 
     paid, free = F.col("is_paid") == 1, F.col("is_paid") == 0
     created = F.to_date("created_at")
-    return rows.groupBy("user_id").agg(
+    return rows.groupBy(*_by(rows), "user_id").agg(
         F.sum("amount").alias("total_amount"),
         F.avg("amount").alias("average_amount"),
         F.count_distinct("subscription_id").alias("count_subs"),
@@ -214,7 +248,7 @@ def kth_last_subscription(
 
     ``latest_first=False`` counts from the oldest.
     """
-    kth = ranked(started_by(with_price(data), max_date), ["user_id"], [_start_order(latest_first)], k)
+    kth = ranked(started_by(with_price(data), max_date), [*_by(data), "user_id"], [_start_order(latest_first)], k)
     return band_join(kth, price_bands(data))
 
 
@@ -224,23 +258,26 @@ PLAIN_DIFFS = (*[c for c, (_, change) in COMPARED.items() if change == "text"],
 
 
 def last_vs_previous(
-    data: DataFrame, max_date: dt.date | str, latest_first: bool = True
-) -> DataFrame:
+    data: DataFrame, max_date: dt.date | str | None, latest_first: bool = True,
+    bands: DataFrame | None = None,
+) -> DataFrame:
     """Last and previous subscription side by side with differences; users with one are dropped.
 
     The two newest ranks are cut out first and meet the price bands once.  A row of rank 2 exists
     only when rank 1 is unique, so the last subscription is the first row of the user's window and
     no self-join is needed.
     """
-    order = Window.partitionBy("user_id").orderBy(_start_order(latest_first))
+    by = _by(data)
+    bands = price_bands(data) if bands is None else bands
+    order = Window.partitionBy(*by, "user_id").orderBy(_start_order(latest_first))
     newest = (
         started_by(with_price(data), max_date)
         .withColumn("__rank", F.rank().over(order))
         .where(F.col("__rank") <= 2)
     )
-    banded = band_join(newest, price_bands(data))
-    columns = [c for c in banded.columns if c not in ("user_id", "__rank")]
-    by_rank = Window.partitionBy("user_id").orderBy("__rank")
+    banded = band_join(newest, bands)
+    columns = [c for c in banded.columns if c not in ("user_id", "__rank", *by)]
+    by_rank = Window.partitionBy(*by, "user_id").orderBy("__rank")
     first = F.first(F.struct("__rank", *columns)).over(
         by_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -249,12 +286,12 @@ def last_vs_previous(
     )
     # Grouping by the row itself changes nothing and needs no shuffle, rows of a user are together.
     # It keeps the optimizer from deriving every combination of the doubled columns as a constraint.
-    row = ["user_id", "subscription_id", "base_subscription_id", "upgrade_type"]
+    row = [*by, "user_id", "subscription_id", "base_subscription_id", "upgrade_type"]
     single = pairs.groupBy(*row).agg(
         F.first("__last").alias("__last"), F.first(F.struct(*columns)).alias("__previous")
     )
     sides = single.select(
-        "user_id",
+        *by, "user_id",
         *[F.col(f"__last.{c}").alias(f"{c}_last") for c in columns],
         *[F.col(f"__previous.{c}").alias(f"{c}_previous") for c in columns],
     )
@@ -267,21 +304,27 @@ def last_vs_previous(
 
 
 def subscription_features(
-    data: DataFrame, max_date: dt.date | str, users: DataFrame | None = None
+    data: DataFrame, max_date: dt.date | str | None, users: DataFrame | None = None
 ) -> DataFrame:
     """History measures and last-versus-previous columns per user (id as text).
 
-    ``users`` restricts the result to a list of user ids.
+    ``users`` restricts the result to a list of user ids, or of ids and days for a day-by-day
+    history.  Price bands come from everybody, all else only from the histories asked for.
+    """
+    keys = [*_by(data), "user_id"]
+    bands = price_bands(data)
+    rows = data.withColumn("user_id", F.col("user_id").cast("string"))
+    if users is not None:
+        wanted = users.select(*[F.col(k).cast("string") if k == "user_id" else F.col(k) for k in keys])
+        rows = rows.join(wanted.distinct(), keys, "left_semi")
+    stats = user_subscription_stats(rows, max_date, bands)
+    return stats.join(last_vs_previous(rows, max_date, bands=bands), keys)
+
+
+def churn_profile(transactional: DataFrame, behavioural: DataFrame) -> DataFrame:
+    """Every (user, day) of the subscription features with the behavioural features of that day.
+
+    Both sides know nothing later than the day, so a later subscription or payment leaves the
+    profiles of earlier days as they are.
     """
-    stats = user_subscription_stats(data, max_date)
-    merged = stats.join(last_vs_previous(data, max_date), "user_id")
-    merged = merged.withColumn("user_id", F.col("user_id").cast("string"))
-    if users is None:
-        return merged
-    return merged.join(users.select(F.col("user_id").cast("string")).distinct(), "user_id", "left_semi")
-
-
-def churn_profile(transactional: DataFrame, behavioural: DataFrame, date: dt.date | str) -> DataFrame:
-    """Every user of the subscription features with the behavioural features where there are any."""
-    joined = transactional.join(behavioural, "user_id", "left")
-    return joined.withColumn("date", F.coalesce("date", F.lit(str(date)).cast("date")))
+    return transactional.withColumnRenamed(AS_OF, "date").join(behavioural, ["user_id", "date"], "left")

@@ -126,3 +126,41 @@ def test_payment_history_join(spark):
     none = (0.0, 1000.0)
     assert got == {"a": (50.0, 40.0), "b": none, "c": (5.0, 1000.0), "d": none, "e": none, "f": none}
     assert context.with_payment_history(p, None).first().days_since_last_subscription == 0.0
+
+
+def test_a_later_subscription_leaves_earlier_profiles_unchanged(spark):
+    """Features of a day come from what was created up to that day."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from presslens.plans import subscriptions as subs
+
+    def at(day):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(days=day)
+
+    rows = [(1, 7, 1, at(-60), at(-60), at(-30)), (2, 7, 1, at(-30), at(-30), at(20)), (3, 8, 1, at(-40), at(-40), at(-10)), (4, 8, 1, at(-10), at(-10), at(20))]
+    later = [*rows, (5, 7, 1, at(10), at(10), at(40)), (6, 9, 1, at(10), at(10), at(40))]
+
+    def features(listed):
+        made = spark.createDataFrame(listed, "id long, user_id long, subscription_type_id long, created_at timestamp_ntz, start_time timestamp_ntz, end_time timestamp_ntz")
+        made = made.withColumns({
+            "type": F.lit("t"), "length": F.datediff("end_time", "start_time"), "is_recurrent": F.lit(True), "is_paid": F.lit(True),
+        })
+        paid = made.select(
+            F.col("id"), F.col("id").alias("subscription_id"), F.lit("paid").alias("status"), (F.col("id") * 10.0).alias("amount"),
+            F.lit(0.0).alias("additional_amount"), F.lit(0).alias("recurrent_charge"), "created_at",
+        )
+        kinds = spark.range(1, 2).select(
+            "id", F.lit("n").alias("name"), F.lit("c").alias("code"), F.lit(30).alias("length"), F.lit(5.0).alias("price"), F.lit(False).alias("no_subscription"),
+            *[F.lit(1).alias(c) for c in ("web", "mobile", "club", "print", "print_friday")],
+        )
+        upgrades = spark.createDataFrame([], "id long, base_subscription_id long, upgraded_subscription_id long, type string, created_at timestamp_ntz")
+        data = subs.subscription_data(made, paid, kinds, upgrades, subs.Days("2024-01-05", "2024-01-15"))
+        found = subs.subscription_features(data, None)
+        return {(r.user_id, r.as_of.day): r.asDict() for r in found.collect()}
+
+    before, after = features(rows), features(later)
+    early = {k: v for k, v in before.items() if k[1] <= 10}
+    assert len(early) == 12 and early == {k: after[k] for k in early}
+    assert before["7", 12]["subscription_id_last"] == 2 and after["7", 12]["subscription_id_last"] == 5
