@@ -273,14 +273,12 @@ def _context_sql(n: int) -> str:
     over = f"OVER (ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     return f"""
     SELECT *, sum_paid / payment_count AS avg_price FROM (
-      SELECT date, sum(payment_count) {over}::BIGINT AS payment_count,
-        sum(sum_paid) {over} AS sum_paid, sum(views) {over}::BIGINT AS article_pageviews_count
+      SELECT date, sum(payment_count) {over} AS payment_count,
+        sum(sum_paid) {over} AS sum_paid, sum(views) {over} AS article_pageviews_count
       FROM (SELECT CAST(created_at AS DATE) AS date, count(id) AS payment_count, sum(amount) AS sum_paid
           FROM fx_payments WHERE status IN ({_ACCEPTED}) GROUP BY 1)
       JOIN (SELECT CAST(time_from AS DATE) AS date, sum(pv_sum) AS views
-          FROM fx_article_pageviews GROUP BY 1) USING (date))""".replace(
-        f"{over}::BIGINT", f"{over}"
-    )
+          FROM fx_article_pageviews GROUP BY 1) USING (date))"""
 
 
 TABLES["publisher_context"] = _context_sql(30)

@@ -9,7 +9,7 @@ from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
 from presslens.catalog.registry import TABLES, load, query
 from presslens.functions.labels import ACCEPTED_STATUSES
 from presslens.operators.pivot import profile_pivot
-from presslens.operators.rolling import AGGREGATES, frames, rolling_features
+from presslens.operators.rolling import AGGREGATES, rolling_features
 from presslens.operators.spine import date_spine, spine_join
 from presslens.plans import daily, outcomes, profiles
 from presslens.spec import (
@@ -84,10 +84,23 @@ for _p, _id in (("u", "user_id"), ("b", "browser_id")):
 _SQL_AGG = {"avg": "avg", "count": "sum", "min": "min", "max": "max"}
 
 
+#: Frames of the windows the queries use, written out so that the oracles do not share a
+#: definition with the plans: rows before the current one, first and last.
+_FRAMES = {
+    (5, "_first_window_half"): "2 PRECEDING AND CURRENT ROW",
+    (5, "_last_window_half"): "5 PRECEDING AND 1 PRECEDING",
+    (5, ""): "5 PRECEDING AND CURRENT ROW",
+    (7, "_first_window_half"): "4 PRECEDING AND CURRENT ROW",
+    (7, "_last_window_half"): "7 PRECEDING AND 3 PRECEDING",
+    (7, ""): "7 PRECEDING AND CURRENT ROW",
+    (30, "_first_window_half"): "15 PRECEDING AND CURRENT ROW",
+    (30, "_last_window_half"): "30 PRECEDING AND 15 PRECEDING",
+    (30, ""): "30 PRECEDING AND CURRENT ROW",
+}
+
+
 def _frame(id_col: str, n: int, suffix: str) -> str:
-    low, high = frames(n)[suffix]
-    end = "CURRENT ROW" if high == 0 else f"{-high} PRECEDING"
-    return f"(PARTITION BY {id_col} ORDER BY date ROWS BETWEEN {-low} PRECEDING AND {end})"
+    return f"(PARTITION BY {id_col} ORDER BY date ROWS BETWEEN {_FRAMES[n, suffix]})"
 
 
 def rolled_sql(prefix: str, n: int, aliases=("avg",), dense: str | None = None) -> str:
@@ -100,7 +113,7 @@ def rolled_sql(prefix: str, n: int, aliases=("avg",), dense: str | None = None)
         for alias in aliases:
             agg = _SQL_AGG[alias]
             for stem, source in spec.rolled_sources().items():
-                columns.append(f"{agg}({source}) {over}::DOUBLE AS {stem}_{alias}{suffix}".replace(f"{over}::DOUBLE", f"{over}"))
+                columns.append(f"{agg}({source}) {over} AS {stem}_{alias}{suffix}")
             for i in WEEKDAYS:
                 columns.append(f"{agg}(CASE WHEN dayofweek(date) = {i} THEN 1 ELSE 0 END) {over} AS dow_{i}_{alias}{suffix}")
         columns.append(f"sum(CASE WHEN date_w_gaps IS NULL THEN 0 ELSE 1 END) {over} AS days_active_count{suffix}")

@@ -47,10 +47,23 @@ def param_query(spark, sf):
 
 @query("incremental_sync", f"SELECT * FROM fx_subscriptions WHERE CAST(created_at AS DATE) <= DATE '{LAST_DAY}'")
 def incremental_sync(spark, sf):
-    """The target holds the first years; the sync adds everything newer up to the last day."""
-    source = load(spark, sf, "fx_subscriptions")
-    target = source.where(F.to_date("created_at") <= F.lit("2021-06-30").cast("date"))
-    return sinks.incremental_sync(source, target, LAST_DAY)
+    """The stored target holds the first years; the sync appends everything newer up to the last day."""
+    source, path = load(spark, sf, "fx_subscriptions"), scratch_dir(spark, "synced")
+    sinks.sync_stored(source, path, "2021-06-30")
+    return sinks.sync_stored(source, path, LAST_DAY)
+
+
+@query("prediction_tables", """SELECT browser_id, date, count(*) AS n_predictions, 1::BIGINT AS n_stored
+    FROM fx_predictions GROUP BY 1, 2""")
+def prediction_tables(spark, sf):
+    """The log takes every prediction; the table with a unique index takes one per browser and day, twice offered."""
+    rows = load(spark, sf, "fx_predictions").select("browser_id", "date", "predicted_outcome", "model_version")
+    log, table = scratch_dir(spark, "predictions_log"), scratch_dir(spark, "predictions")
+    sinks.append(rows, log)
+    keys = ["browser_id", "date"]
+    sinks.append_unique(rows, table, keys)
+    held = sinks.append_unique(rows, table, keys).groupBy(*keys).agg(F.count("*").alias("n_stored"))
+    return spark.read.parquet(log).groupBy(*keys).agg(F.count("*").alias("n_predictions")).join(held, keys)
 
 
 @query(
@@ -58,8 +71,14 @@ def incremental_sync(spark, sf):
     f"SELECT * FROM fx_subscriptions WHERE CAST(created_at AS DATE) >= DATE '{LAST_DAY}' - 365",
 )
 def retention(spark, sf):
-    dated = load(spark, sf, "fx_subscriptions").withColumn("date", F.to_date("created_at"))
-    return sinks.retained(dated, LAST_DAY).drop("date")
+    """Month partitions are written, expired ones dropped, and what is left is read back."""
+    dated = load(spark, sf, "fx_subscriptions").withColumn("date", F.trunc(F.to_date("created_at"), "month"))
+    path = scratch_dir(spark, "by_month")
+    sinks.write_partitions(dated, path, ["date"])
+    # A folder holds up to 31 days, so it expires that much later; its early days are filtered.
+    sinks.drop_expired(spark, path, LAST_DAY, 365 + 31)
+    left = spark.read.parquet(path).select(*[c for c in dated.columns if c != "date"])
+    return sinks.retained(left, LAST_DAY, column="created_at")
 
 
 # ---- files -------------------------------------------------------------------------------------

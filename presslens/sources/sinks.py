@@ -104,6 +104,63 @@ def incremental_sync(
     return fresh if target is None else target.unionByName(fresh)
 
 
+def sync_stored(
+    source: DataFrame, path: str, max_date: dt.date | str, column: str = "created_at", by_day: bool = True
+) -> DataFrame:
+    """Append what is newer than the stored target at ``path`` and return the target as read back.
+
+    The first run writes everything.  The mark is the newest day of the target, as in the daily
+    job; rows that are created later on that day are missed then.  With ``by_day=False`` the mark
+    is the newest time itself and such rows arrive with the next run.
+    """
+    spark = source.sparkSession
+    target = spark.read.parquet(path) if _exists(spark, path) else None
+    if by_day or target is None:
+        fresh = incremental_rows(source, target, max_date, column)
+    else:
+        mark = high_water_mark(target, column)
+        fresh = source.where(F.to_date(column) <= F.lit(str(max_date)).cast("date"))
+        fresh = fresh if mark is None else fresh.where(F.col(column) > F.lit(mark))
+    append(fresh, path)
+    return spark.read.parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place, files = _path(spark, path)
+    return files.exists(place)
+
+
+def drop_expired(spark: SparkSession, path: str, today: dt.date | str, days: int = 365, column: str = "date") -> list[str]:
+    """Remove the day partitions of a table that have expired; returns their days.
+
+    Only folders ``column=YYYY-MM-DD`` before the limit are removed, nothing is rewritten.
+    """
+    limit = str(dt.date.fromisoformat(str(today)) - dt.timedelta(days=days))
+    place, files = _path(spark, path)
+    gone = []
+    for status in files.listStatus(place):
+        name, _, day = status.getPath().getName().partition("=")
+        if name == column and day < limit and status.isDirectory():
+            files.delete(status.getPath(), True)
+            gone.append(day)
+    return sorted(gone)
+
+
+def append_unique(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Append rows to a table with a unique index: keys that are stored already are left out."""
+    rows, spark = unique_rows(df, keys), df.sparkSession
+    if _exists(spark, path):
+        stored_keys = spark.read.parquet(path).select(*keys)
+        rows = rows.join(stored_keys, list(keys), "left_anti").select(*df.columns)
+    append(rows, path)
+    return spark.read.parquet(path)
+
+
 def retained(df: DataFrame, today: dt.date | str, days: int = 365, column: str = "date") -> DataFrame:
     """Rows of day partitions that have not expired."""
     return df.where(F.col(column) >= F.date_sub(F.lit(str(today)).cast("date"), days))

@@ -145,3 +145,24 @@ def test_retrieval(spark):
     got = packing.retrieve_profiles(df, "browser_id", 7, D2, D2, ["yes"])
     assert sorted((r.browser_id, r.date) for r in got.collect()) == [("a", D2), ("b", D1)]
     assert packing.retrieve_profiles(df, "browser_id", 30, D1, D3).count() == 0
+
+
+def test_sync_of_a_stored_target(spark, tmp_path):
+    path = str(tmp_path / "synced")
+    rows = spark.createDataFrame([(k, dt.datetime(2024, 3, 1 + k // 2, 6 * (k % 2))) for k in range(8)], "id int, created_at timestamp_ntz")
+    assert sinks.sync_stored(rows, path, "2024-03-02").count() == 4
+    late = rows.union(spark.createDataFrame([(99, dt.datetime(2024, 3, 2, 23))], rows.schema))
+    assert sinks.sync_stored(late, path, "2024-03-02", by_day=False).count() == 5
+    assert sorted(r.id for r in sinks.sync_stored(late, path, "2024-03-09").collect()) == [*range(8), 99]
+    assert sinks.sync_stored(late, path, "2024-03-09").count() == 9
+
+
+def test_expired_partitions_are_dropped_and_keys_stay_unique(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.createDataFrame([(D1, 1), (D2, 2), (D3, 3)], "date date, v int")
+    sinks.write_partitions(rows, path, ["date"])
+    assert sinks.drop_expired(spark, path, D3, 1) == ["2024-03-01"]
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [2, 3]
+    table = str(tmp_path / "unique")
+    sinks.append_unique(rows.union(rows), table, ["date"])
+    assert sinks.append_unique(rows.withColumn("v", F.lit(9)), table, ["date"]).count() == 3
