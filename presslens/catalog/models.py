@@ -270,7 +270,7 @@ def train_predict(spark, sf):
     own = F.coalesce(*[F.when(F.col("predicted_outcome") == label, c) for label, c in zip(model.labels, chances)])
     return found.select(
         *_KEYS, "is_train", F.round(sum(chances[1:], chances[0]), 6).alias("probability_sum"),
-        (own >= F.greatest(*chances)).alias("is_most_likely"),
+        (own >= F.array_max(F.array(*chances))).alias("is_most_likely"),
     )
 
 
