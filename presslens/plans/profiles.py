@@ -148,9 +148,10 @@ def stack_days(
         aggs.append(F.max(kind == "point").alias("is_point"))
         extra = [c for c in points.columns if c not in (id_col, "date")]
         aggs += [F.max(c).alias(c) for c in extra]
-    # Rows of an (id, day) are combined in the task before they are shuffled; adaptive execution
-    # chooses the number of partitions.
-    return stacked.groupBy(id_col, "date").agg(*aggs)
+    # One exchange by id serves this sum and the frames below; adaptive execution chooses the
+    # number of partitions.  An (id, day) has at most a row per listed key, so combining before the
+    # exchange would save less than the second exchange that it needs.
+    return stacked.repartition(id_col).groupBy(id_col, "date").agg(*aggs)
 
 
 def derived_metrics(df: DataFrame, spec: FeatureSpec) -> DataFrame:
