@@ -22,6 +22,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return stored(df, scratch_dir(df.sparkSession, name))
 
 
+def in_small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df`` itself; texts are long, so its session hands them to Python in batches of fewer rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(key)) > rows:
+        df.sparkSession.conf.set(key, rows)
+    return df
+
+
 def column(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")

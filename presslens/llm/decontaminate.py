@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import column, unwrapped, whole_row
+from presslens.llm.common import column, in_small_batches, unwrapped, whole_row
 
 #: Bytes of words keep their value, A-Z become a-z, all others separate words.
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -206,7 +206,7 @@ def contamination(
     schema = "doc_id long, text_key long, n_words long, spans array<struct<a:bigint,z:bigint>>, items array<bigint>"
     context = docs.sparkSession.sparkContext
     parts = [
-        rows.mapInArrow(_scanner(context.broadcast(automaton)), schema)
+        in_small_batches(rows).mapInArrow(_scanner(context.broadcast(automaton)), schema)
         for automaton in blocks(benchmark, item_id, item_text, size, block_words)
     ]
     if len(parts) == 1:
@@ -274,5 +274,5 @@ def decontaminate(
     names = docs.columns
     rows = docs.select(whole_row(docs.drop(text)).alias("row"), column(text).alias("text"))
     schema = rows.schema
-    cleaned = rows.mapInArrow(run, schema)
+    cleaned = in_small_batches(rows).mapInArrow(run, schema)
     return cleaned.select(*[F.col("text").alias(n) if n == text else F.col("row").getField(n).alias(n) for n in names])

@@ -27,13 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import column, whole_row
+from presslens.llm.common import column, in_small_batches, whole_row
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 _M = (1 << 64) - 1
 #: Chunks a worker remembers, and chunks it looks up at once.
-REMEMBERED, CHUNKS_AT_ONCE = 500_000, 200_000
+REMEMBERED, CHUNKS_AT_ONCE = 300_000, 60_000
 _CUT = re.compile("(?<=[^ ]) ")
 #: Rows of one batch of results.
 ROWS_OUT = 500
@@ -313,7 +313,7 @@ def encoded(
                     yield pa.RecordBatch.from_arrays([*head, lists], ["doc_id", "n_pieces", "lossless", "pieces"])
 
     tail = "ids_sha256 string, decoded_sha256 string" if digest else "pieces array<int>"
-    return rows.mapInArrow(run, f"doc_id long, n_pieces long, lossless boolean, {tail}")
+    return in_small_batches(rows).mapInArrow(run, f"doc_id long, n_pieces long, lossless boolean, {tail}")
 
 
 def decoded(rows: DataFrame, pieces: str = "pieces", model: str = DEFAULT_MODEL) -> DataFrame:
@@ -329,6 +329,6 @@ def decoded(rows: DataFrame, pieces: str = "pieces", model: str = DEFAULT_MODEL)
 
     packed = rows.select(whole_row(rows).alias("row"), column(pieces).alias("ids"))
     schema = packed.drop("ids").withColumn("text", F.lit(None).cast("string")).schema
-    out = packed.mapInArrow(run, schema)
+    out = in_small_batches(packed).mapInArrow(run, schema)
     names = [n for n in rows.columns if n != "text"]
     return out.select(*[F.col("row").getField(n).alias(n) for n in names], "text")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import column, keep, unwrapped, whole_row
+from presslens.llm.common import column, in_small_batches, keep, unwrapped, whole_row
 from presslens.llm.components import connected, forest
 
 WIDTH = 64
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wo
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(found.view(np.int64))], ["doc_id", "text_key", "fp"]
             )
 
-    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
+    return in_small_batches(rows).mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def gray_rank(fp: Column) -> Column:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import column, join_hot, keep
+from presslens.llm.common import column, in_small_batches, join_hot, keep
 
 WINDOW, GRAM = 400, 128
 #: Bytes of a shard, and kinds of segments beyond which an owner is settled by halving.
@@ -320,7 +320,7 @@ def repeated_ranges(
         F.coalesce(column(text), F.lit("")).alias("text"),
     )
     place = "id long, key long, anchor long, seg long, lo long, n long, shift long"
-    every = keep(rows.mapInArrow(_segment_rows(window, gram), place), "segments")
+    every = keep(in_small_batches(rows).mapInArrow(_segment_rows(window, gram), place), "segments")
     met = keep(every.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1"), "met-owners")
     meeting = keep(join_hot(every, met, ["anchor"], "rows").drop("rows"), "meeting")
     first = [F.first(c).alias(c) for c in ("id", "key", "lo", "n", "shift")]

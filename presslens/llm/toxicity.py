@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import column, fit_part, keep, unwrapped, whole_row
+from presslens.llm.common import column, fit_part, in_small_batches, keep, unwrapped, whole_row
 from presslens.llm.decontaminate import words_of
 
 FIT_ROWS = 20_000
@@ -39,7 +39,7 @@ THRESHOLD = 0.3
 _SENTENCE = re.compile(r"[^.!?\n]+")
 #: Lengths of the beginnings used beside whole words.
 _BEGINNINGS = (3, 4, 5)
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 
 
 def features_of(word: bytes) -> tuple[int, ...]:
@@ -146,7 +146,7 @@ def train(
     a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
     chi = (n0 + n1) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / ((a + b) * (n0 + n1 - a - b) * n0 * n1)
     picked = (
-        sample.mapInArrow(_counts, "f long, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        in_small_batches(sample).mapInArrow(_counts, "f long, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .where((F.col("n1") >= 3) & (F.col("n1") * n0 > 2 * F.col("n0") * n1) & (F.col("n0") + F.col("n1") < n0 + n1))
         .withColumn("chi", chi).where("chi >= 10.83").orderBy(F.desc("chi"), "f").limit(features)
     )
@@ -200,14 +200,18 @@ def score(docs: DataFrame, model: Model, text: str = "text", offending: float =
             spans = [[{"start": a, "end": z, "p": p} for a, z, p in found if p >= offending] for _, found in scored]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([s for s, _ in scored], pa.float64()), pa.array(spans, kind)], ["row", "score", "offending"]
+                [batch.column("rest"), batch.column("text"), pa.array([s for s, _ in scored], pa.float64()), pa.array(spans, kind)],
+                ["rest", "text", "score", "offending"],
             )
 
-    rows = docs.select(whole_row(docs).alias("row"), column(text).alias("text"))
-    schema = rows.drop("text").withColumns({
+    # The text travels once, beside a struct of the other columns.
+    others = docs.drop(text)
+    rows = docs.select((whole_row(others) if others.columns else F.struct(F.lit(0))).alias("rest"), column(text).cast("string").alias("text"))
+    schema = rows.withColumns({
         "score": F.lit(0.0), "offending": F.expr("cast(array() as array<struct<start:bigint,end:bigint,p:double>>)"),
     }).schema
-    return rows.mapInArrow(run, schema)
+    whole = F.struct(*[F.col("text").alias(c) if c == text else F.col("rest").getField(c).alias(c) for c in docs.columns])
+    return in_small_batches(rows).mapInArrow(run, schema).select(whole.alias("row"), "score", "offending")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
