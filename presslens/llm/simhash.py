@@ -19,7 +19,7 @@ unless all ids are null; other columns are carried along or ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -221,12 +221,14 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     return rows.join(grouped, "fp")
 
 
-def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", groups: Callable[..., DataFrame] = near_groups, **options) -> DataFrame:
     """One document of each group: the one with the smallest id, with all its columns.
 
+    ``groups`` says what a group is: fingerprints within some bits, or ``near_texts.similar_groups``.
+
     Rows that repeat that id with the same text stay together; the exact stage removes those.
     """
-    found = near_groups(docs, text, doc_id, **options)
+    found = groups(docs, text, doc_id, **options)
     gone = found.where("doc_id <> component_id or doc_id is null and component_id is not null").select("doc_id", "text_key")
     gone = keep(gone.distinct(), "near-copies").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
     rows = docs.select(whole_row(docs).alias("row"), column(doc_id).cast("long").alias("id"), F.xxhash64(column(text)).alias("key"))
