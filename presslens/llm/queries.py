@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, exact_dedup, language_id, license_scan, pieces, secret_scan, simhash, substring_dedup, toxicity, url_filter
+from presslens.llm import decontaminate, divergence, exact_dedup, hard_negatives, language_id, license_scan, multi_index, pieces, secret_scan, simhash, substring_dedup, toxicity, url_filter
 from presslens.llm.common import Query, fit_part, table
 
 QUERIES: dict[str, Query] = {}
@@ -127,3 +127,26 @@ ORACLES["op9_url_filter"] = url_filter.oracle()
 @query
 def op10_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), digest=True)
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_source_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+ORACLES["op12_hard_negatives"] = hard_negatives.ORACLE
+
+
+@query
+def op13_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)

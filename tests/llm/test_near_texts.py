@@ -4,25 +4,7 @@ import random
 
 import corpus_pipeline
 from presslens.llm import near_texts, simhash
-from text_rows import AWKWARD, frame
-
-
-def brute(rows):
-    """doc_id of the least member of every component, by all pairs."""
-    sets = []
-    for _, t in rows:
-        w = (t or "").lower().split()
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
-    label = [d for d, _ in rows]
-    changed = True
-    while changed:
-        changed = False
-        for i, a in enumerate(sets):
-            for j in range(i):
-                if label[i] != label[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
-                    label[i] = label[j] = min(label[i], label[j])
-                    changed = True
-    return {(d, c) for (d, _), c in zip(rows, label)}
+from text_rows import AWKWARD, frame, similar
 
 
 def test_groups_equal_brute_force(spark):
@@ -36,7 +18,7 @@ def test_groups_equal_brute_force(spark):
             for _ in range(rng.randint(0, 1 + len(base) // 40)):
                 own[rng.randrange(len(own))] = word()
             rows.append((len(rows), " ".join(own)))
-    want = brute(rows)
+    want = similar(rows)
     got = {(r.doc_id, r.component_id) for r in near_texts.similar_groups(frame(spark, rows, False)).collect()}
     assert got == want and len({c for _, c in want}) < len(rows)
     kept = corpus_pipeline.near_stage(spark, frame(spark, rows), "")
@@ -58,4 +40,4 @@ def test_pipeline_by_similarity(spark):
         docs = stage(spark, docs, folder)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     got = corpus_pipeline.near_stage(spark, docs, folder)
-    assert {r.doc_id for r in got.collect()} == {c for _, c in brute(rows)}
+    assert {r.doc_id for r in got.collect()} == {c for _, c in similar(rows)}

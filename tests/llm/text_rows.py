@@ -19,3 +19,21 @@ def frame(spark, rows, extra=True):
         "lang": F.lit("en"), "source": F.lit(None).cast("string"), "row": F.lit("r"), "key": F.lit(1), "h": F.lit(2), "id": F.lit("x"),
         "score": F.lit(0.5), "kept": F.lit(True), "a.b": F.lit(3), "maybe": F.lit(4), "fp": F.lit(5), "n": F.lit(6), "spans": F.lit("s"),
     })
+
+
+def similar(rows):
+    """(doc_id, least doc_id of its component) by all pairs of five-word Jaccard similarity 0.8 or more."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    label = [d for d, _ in rows]
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if label[i] != label[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+                    changed = True
+    return {(d, c) for (d, _), c in zip(rows, label)}
