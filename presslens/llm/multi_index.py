@@ -54,7 +54,7 @@ def _centroids(rows: np.ndarray, k: int, turns: int = 10) -> np.ndarray:
     """k-means from the first ``k`` rows, which are in the order of a hash."""
     centers = rows[:k].copy()
     for _ in range(turns if k else 0):
-        own = distances(rows, centers).argmin(axis=1)
+        own = nearest(rows, centers)
         sizes = np.bincount(own, minlength=len(centers))
         sums = np.zeros_like(centers)
         np.add.at(sums, own, rows)
@@ -67,6 +67,12 @@ def distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return (centers**2).sum(axis=1) - 2 * rows @ centers.T
 
 
+def nearest(rows: np.ndarray, centers: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    """The centroid next to each row; a slice of the rows is looked at at a time."""
+    parts = [distances(rows[a : a + at_once], centers).argmin(axis=1) for a in range(0, len(rows), at_once)]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
 def walk(first: np.ndarray, second: np.ndarray) -> Iterator[tuple[int, int]]:
     """Pairs of centroids by rising sum of their distances to the two halves of a query."""
     by_first, by_second = first.argsort(kind="stable").tolist(), second.argsort(kind="stable").tolist()
@@ -88,29 +94,28 @@ class Index:
     def __init__(self, sample: np.ndarray, n: int, many: int, recall: float):
         units = unit(sample)
         # About 36 entries to a cell, as far as the centroids go.
-        k = min(MOST, len(units), max(4, 1 << round(np.log2(max(n, 1) ** 0.5 / 6)))) if n else 0
+        k = min(MOST, len(units), max(4, 1 << max(0, round(np.log2(n**0.5 / 6))))) if n else 0
         self.centers = [_centroids(h, k) for h in halves(units)]
         self.share = self._share(units, many, recall) if k else 0.0
 
     def cells(self, units: np.ndarray) -> list[np.ndarray]:
-        return [distances(h, c).argmin(axis=1) for h, c in zip(halves(units), self.centers)]
+        return [nearest(h, c) for h, c in zip(halves(units), self.centers)]
 
     def _share(self, units: np.ndarray, many: int, recall: float) -> float:
         k = len(self.centers[0])
         first, second = self.cells(units)
         cell = first * k + second
         sizes = np.bincount(cell, minlength=k * k)
-        tried = units[:TRIALS]
-        scores = tried @ units.T
-        scores[np.arange(len(tried)), np.arange(len(tried))] = -np.inf
-        found = np.argsort(-scores, axis=1, kind="stable")[:, : min(many, len(units) - 1)]
-        far = [distances(h, c) for h, c in zip(halves(tried), self.centers)]
+        far = [distances(h, c) for h, c in zip(halves(units[:TRIALS]), self.centers)]
         passed = []
-        for q in range(len(tried)):
+        for q in range(min(TRIALS, len(units))):
+            scores = units @ units[q]
+            scores[q] = -np.inf
+            found = np.argpartition(-scores, min(many, len(units) - 1) - 1)[: min(many, len(units) - 1)]
             order = np.argsort((far[0][q][:, None] + far[1][q]).ravel(), kind="stable")
             before = np.empty(k * k)
             before[order] = np.cumsum(sizes[order]) - sizes[order]
-            passed.append(before[cell[found[q]]])
+            passed.append(before[cell[found]])
         passed = np.concatenate(passed)
         return float(np.quantile(passed, recall, method="higher")) / len(units) if len(passed) else 0.0
 
