@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presslens.catalog.daily import browser_day_table, event_table, pageviews, user_day_table
+from presslens.catalog.daily import event_table, pageviews, user_day_table
 from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
 from presslens.catalog.registry import TABLES, load, query
 from presslens.functions.labels import ACCEPTED_STATUSES
@@ -12,6 +12,8 @@ from presslens.operators.pivot import profile_pivot
 from presslens.operators.rolling import AGGREGATES, rolling_features
 from presslens.operators.spine import date_spine, spine_join
 from presslens.plans import daily, outcomes, profiles
+from presslens.session import scratch_dir
+from presslens.sources import sinks
 from presslens.spec import (
     CATEGORIES,
     DEVICE_TYPES,
@@ -173,9 +175,9 @@ TABLES["b_profile"] = profile_sql(
 
 
 # ---- inputs ------------------------------------------------------------------------------------
-def expiring(spark, sf):
+def expiring(spark, sf, start=FIRST_DAY, end=LAST_DAY):
     return outcomes.expiring_users(
-        load(spark, sf, "fx_subscriptions"), load(spark, sf, "fx_payments"), FIRST_DAY, LAST_DAY
+        load(spark, sf, "fx_subscriptions"), load(spark, sf, "fx_payments"), start, end
     )
 
 
@@ -197,28 +199,23 @@ def brands_of(spark, sf) -> list[str]:
 
 
 def devices_of_users(spark, sf):
-    views = pageviews(spark, sf)
-    return profiles.user_devices(daily.browsers_dim(views), daily.browser_users(views), brands_of(spark, sf))
+    return profiles.devices_by_user(daily.agents_of_users(pageviews(spark, sf)), brands_of(spark, sf))
 
 
 def user_profile(spark, sf, start=FIRST_DAY, end=LAST_DAY, n=USER_WINDOW, spine_start=FIRST_DAY):
-    return profiles.user_profile(
-        user_day_table(spark, sf),
-        long_table(spark, sf, "user_id", "referer_mediums"),
-        long_table(spark, sf, "user_id", "categories"),
-        expiring(spark, sf),
-        start, end, n, devices_of_users(spark, sf), spec=SPECS["u"], spine_start=spine_start,
-    )
+    counts = daily.log_counts(pageviews(spark, sf), "user_id", load(spark, sf, "fx_timespent"))
+    points = sinks.stored(expiring(spark, sf, start, end), scratch_dir(spark, "expiring"))
+    return profiles.user_profile_of_log(
+        counts, points, start, end, n, devices_of_users(spark, sf), spec=SPECS["u"], spine_start=spine_start
+    )
 
 
 def browser_profile(spark, sf, start=FIRST_DAY, end=LAST_DAY, n=BROWSER_WINDOW):
-    return profiles.browser_profile(
-        browser_day_table(spark, sf),
-        long_table(spark, sf, "browser_id", "referer_mediums"),
-        long_table(spark, sf, "browser_id", "categories"),
-        daily.browsers_dim(pageviews(spark, sf)),
-        start, end, n, spine_start=FIRST_DAY,
-    )
+    views = pageviews(spark, sf)
+    counts = daily.log_counts(views, "browser_id", load(spark, sf, "fx_timespent"), load(spark, sf, "fx_commerce"))
+    return profiles.browser_profile_of_log(
+        counts, daily.browsers_dim(views), start, end, n, spec=SPECS["b"], spine_start=FIRST_DAY
+    )
 
 
 def spined(spark, sf):

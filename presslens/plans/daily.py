@@ -13,7 +13,7 @@ tags (optional), time, session_id, user_agent, event_id (file order, breaks ties
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.functions.agents import FIELDS, AgentRules, agent_fields
@@ -60,8 +60,8 @@ def tag_keys(views: DataFrame) -> Column:
     return F.filter(F.split(F.coalesce("tags", F.lit("")), ","), lambda t: t != "")
 
 
-def facet_counts(pageviews: DataFrame, id_col: str, facets: tuple[str, ...] | None = None) -> DataFrame:
-    """``(date, id, facet, key, pageviews, is_direct)`` over the pageviews that count for the id."""
+def _facet_pairs(pageviews: DataFrame, id_col: str, facets: tuple[str, ...] | None = None) -> DataFrame:
+    """One row per pageview that counts for the id and pair of facet and key."""
     views = views_for(pageviews, id_col)
     other = _COUNTERPART[id_col]
     keys = {
@@ -77,18 +77,51 @@ def facet_counts(pageviews: DataFrame, id_col: str, facets: tuple[str, ...] | No
         return F.transform(keys[facet], lambda k: F.struct(F.lit(facet).alias("facet"), k.alias("key")))
 
     pairs = F.concat(*[pairs_of(f) for f in facets or tuple(keys)])
+    return views.select(
+        "date",
+        id_col,
+        (F.col("derived_referer_medium") == "direct").alias("direct"),
+        F.explode(pairs).alias("pair"),
+    ).select("date", id_col, "pair.facet", "pair.key", "direct")
+
+
+def facet_counts(pageviews: DataFrame, id_col: str, facets: tuple[str, ...] | None = None) -> DataFrame:
+    """``(date, id, facet, key, pageviews, is_direct)`` over the pageviews that count for the id."""
     return (
-        views.select(
-            "date",
-            id_col,
-            (F.col("derived_referer_medium") == "direct").alias("direct"),
-            F.explode(pairs).alias("pair"),
-        )
-        .groupBy("date", id_col, F.col("pair.facet").alias("facet"), F.col("pair.key").alias("key"))
+        _facet_pairs(pageviews, id_col, facets)
+        .groupBy("date", id_col, "facet", "key")
         .agg(F.count("*").alias("pageviews"), F.max("direct").alias("is_direct"))
     )
 
 
+#: Facets that profiles read; ``timespent`` and ``commerce`` come from logs of their own.
+PROFILE_FACETS = ("hours", "sessions", "referer_mediums", "categories")
+
+
+def log_counts(
+    pageviews: DataFrame, id_col: str, timespent: DataFrame | None = None, commerce: DataFrame | None = None,
+) -> DataFrame:
+    """All that a profile needs from the logs: ``(date, id, facet, key, pageviews, is_direct)``.
+
+    Each log is scanned once and the counts of all of them meet in one shuffle, on the fine key.
+    Facet ``timespent`` holds seconds, facet ``commerce`` steps.
+    """
+    rows = _facet_pairs(pageviews, id_col, PROFILE_FACETS).withColumn("n", F.lit(1).cast("long"))
+    more = {}
+    if timespent is not None:
+        known = timespent.where(F.col(id_col) != "") if id_col == "user_id" else timespent
+        more["timespent"] = known, F.lit(""), F.col("timespent").cast("long")
+    if commerce is not None:
+        more["commerce"] = _known_steps(commerce), F.col("step"), F.lit(1).cast("long")
+    for facet, (log, key, n) in more.items():
+        rows = rows.unionByName(
+            log.select("date", id_col, F.lit(facet).alias("facet"), key.alias("key"), F.lit(False).alias("direct"), n.alias("n"))
+        )
+    return rows.groupBy("date", id_col, "facet", "key").agg(
+        F.sum("n").alias("pageviews"), F.max("direct").alias("is_direct")
+    )
+
+
 def key_counts(pageviews: DataFrame, id_col: str, key: str) -> DataFrame:
     """Long day table ``(date, id, <key>, pageviews)`` for tags, categories or referer_mediums."""
     if key not in LONG_TABLES:
@@ -176,16 +209,20 @@ def user_days(pageviews: DataFrame, timespent: DataFrame | None = None) -> DataF
     return with_timespent(day_table(facet_counts(pageviews, "user_id"), "user_id"), timespent, "user_id")
 
 
-def commerce_steps(commerce: DataFrame) -> DataFrame:
-    """Counts of the four commerce steps per (date, browser).  An unknown step is an error."""
+def _known_steps(commerce: DataFrame) -> DataFrame:
+    """Commerce rows of known browsers.  An unknown step is an error."""
     checked = F.when(F.col("step").isin(*COMMERCE_STEPS), F.col("step")).otherwise(
         F.raise_error(
             F.concat(F.lit("unknown commerce step: "), F.coalesce("step", F.lit("null")),
                      F.lit(" for browser_id: "), F.col("browser_id"))
         ).cast("string")
     )
-    rows = with_date(commerce).where(F.col("browser_id") != "").withColumn("step", checked)
-    return rows.groupBy("date", "browser_id").agg(
+    return with_date(commerce).where(F.col("browser_id") != "").withColumn("step", checked)
+
+
+def commerce_steps(commerce: DataFrame) -> DataFrame:
+    """Counts of the four commerce steps per (date, browser)."""
+    return _known_steps(commerce).groupBy("date", "browser_id").agg(
         *[
             F.count_if(F.col("step") == step).alias(name)
             for step, name in zip(COMMERCE_STEPS, COMMERCE_COLUMNS, strict=True)
@@ -209,6 +246,21 @@ def browsers_dim(pageviews: DataFrame, rules: AgentRules | None = None) -> DataF
     return agent_columns(_last_agent(with_date(pageviews)), rules)
 
 
+def agents_of_users(pageviews: DataFrame, rules: AgentRules | None = None) -> DataFrame:
+    """``browsers`` joined with ``browser_users``, from one scan and without the join.
+
+    The last agent of each (day, browser, user) is an aggregate; the last of the browser is the
+    last of those.
+    """
+    at = F.struct("time", "event_id")
+    pairs = with_date(pageviews).groupBy("date", "browser_id", "user_id").agg(
+        F.max(at).alias("__at"), F.max_by(F.struct("user_agent"), at).alias("__agent")
+    )
+    last = F.max_by("__agent", "__at").over(Window.partitionBy("date", "browser_id"))
+    rows = pairs.withColumn("user_agent", last["user_agent"]).where(F.col("user_id") != "")
+    return agent_columns(rows.drop("__at", "__agent"), rules)
+
+
 def browser_users(pageviews: DataFrame) -> DataFrame:
     """``browser_users``: distinct (date, browser, user) pairs with a known user."""
     rows = with_date(pageviews).where(F.col("user_id") != "")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions.calendar import day_number
 from presslens.functions.flags import is_true
+from presslens.functions.labels import COMMERCE_STEPS
 from presslens.functions.text import name, ratio, relative_change
 from presslens.operators.joins import range_left_join
 from presslens.operators.latest import latest_by
@@ -74,14 +75,19 @@ def user_devices(
     browsers: DataFrame, browser_users: DataFrame, brands: Sequence[str] = ()
 ) -> DataFrame:
     """Browsers per device type and brand for each (user, day)."""
+    return devices_by_user(browsers.join(browser_users, ["browser_id", "date"]), brands)
+
+
+def devices_by_user(used: DataFrame, brands: Sequence[str] = ()) -> DataFrame:
+    """The same from rows of (user, browser, day) that carry the device fields."""
 
     def hits(test: Column, name: str) -> Column:
         return F.sum(F.when(test, 1.0).otherwise(0.0)).alias(name)
 
-    used = browsers.select(
-        "browser_id", "date", F.lower("device_brand").alias("brand"),
+    used = used.select(
+        "user_id", "date", F.lower("device_brand").alias("brand"),
         *[is_true(F.col(f"is_{d}")).alias(f"is_{d}") for d in DEVICE_TYPES],
-    ).join(browser_users, ["browser_id", "date"])
+    )
     return used.groupBy("user_id", "date").agg(
         *[hits(F.col(f"is_{d}"), f"{d}_device") for d in DEVICE_TYPES],
         *[hits(F.col("brand") == b, f"{sanitize(b)}_device_brand") for b in brands],
@@ -154,6 +160,57 @@ def stack_days(
     return stacked.repartition(id_col).groupBy(id_col, "date").agg(*aggs)
 
 
+def stack_counts(
+    counts: DataFrame,
+    id_col: str,
+    pivots: Mapping[str, Sequence[str]],
+    devices: DataFrame | None = None,
+    points: DataFrame | None = None,
+) -> DataFrame:
+    """What ``stack_days`` returns, straight from ``daily.log_counts``.
+
+    The counts are long already, so day measures, pivots, seconds and commerce steps are conditional sums
+    over one frame.  With ``points`` only their ids are kept, by one semi-join over everything.
+    """
+    stacked, device_columns, extra = counts, [], []
+    if devices is not None:
+        device_columns = [c for c in devices.columns if c not in (id_col, "date")]
+        stacked = stacked.unionByName(devices.withColumn("facet", F.lit("device")), allowMissingColumns=True)
+    if points is not None:
+        extra = [c for c in points.columns if c not in (id_col, "date")]
+        stacked = stacked.join(points.select(id_col).distinct(), id_col, "left_semi")
+        stacked = stacked.unionByName(points.withColumn("facet", F.lit("point")), allowMissingColumns=True)
+
+    def views(facet: str, test: str = "TRUE") -> str:
+        return f"sum(CASE WHEN facet = '{facet}' THEN CASE WHEN {test} THEN pageviews ELSE 0 END END)"
+
+    # Seconds and steps of days without a pageview do not count, nor do they make a row.
+    active = "max(facet = 'hours')"
+    measures = {
+        "timespent": f"coalesce({views('timespent')}, 0)",
+        "sessions": "count_if(facet = 'sessions')",
+        "sessions_without_ref": "count_if(facet = 'sessions' AND is_direct)",
+    }
+    if id_col == "browser_id":
+        steps = zip(COMMERCE_MEASURES, COMMERCE_STEPS[:2], strict=True)
+        measures |= {c: f"coalesce({views('commerce', f"key = '{step}'")}, 0)" for c, step in steps}
+    aggs = [F.expr(f"{views('hours')} AS pageviews")]
+    aggs += [F.expr(f"CASE WHEN {active} THEN {sql} END AS {c}") for c, sql in measures.items()]
+    for a, b in HOUR_RANGES:
+        hours = ", ".join(f"'{h}'" for h in range(a, b))
+        aggs.append(F.expr(f"{views('hours', f'key IN ({hours})')} AS {range_column(a, b, 'pvs')}"))
+    for key_col, keys in pivots.items():
+        aggs += key_sums("key", "pageviews", keys, key_col, where=f"facet = '{key_col}'")
+    aggs += [F.sum(c).alias(c) for c in device_columns]
+    aggs.append(F.expr(f"{active} AS has_activity"))
+    aggs.append(F.expr("max(facet NOT IN ('point', 'timespent', 'commerce')) AS has_data"))
+    if points is not None:
+        aggs.append(F.expr("max(facet = 'point') AS is_point"))
+        aggs += [F.max(c).alias(c) for c in extra]
+    rows = stacked.repartition(id_col).groupBy(id_col, "date").agg(*aggs)
+    return rows.where("has_data OR is_point" if points is not None else "has_data")
+
+
 def derived_metrics(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Ratios of rolled columns for the full window and both halves, 0 where undefined."""
     ratios = [
@@ -228,6 +285,41 @@ def user_profile(
         devices = devices.where(period).join(wanted, "user_id", "left_semi")
         sums = {f"{c}_sum": c for c in devices.columns if c not in ("user_id", "date")}
     stacked = stack_days(rows, "user_id", pivots, devices, points)
+    return _user_features(stacked, spec, start, end, n, sums, aggs, dow_base, spine_start)
+
+
+def user_profile_of_log(
+    counts: DataFrame,
+    expiring: DataFrame,
+    start: dt.date | str,
+    end: dt.date | str,
+    n: int = 30,
+    devices: DataFrame | None = None,
+    aggs: Mapping[str, Rolled] = DEFAULT_AGGREGATES,
+    spec: FeatureSpec | None = None,
+    dow_base: int = 1,
+    spine_start: dt.date | str | None = None,
+) -> DataFrame:
+    """``user_profile`` from the counts of the logs instead of day tables.
+
+    ``expiring`` is read twice, so it should be stored or cheap.
+    """
+    spec = spec or FeatureSpec("user", tuple(aggs))
+    period = F.col("date").between(F.date_sub(_date(start), n), _date(end))
+    sums: dict[str, str] = {}
+    if devices is not None:
+        devices = devices.where(period)
+        sums = {f"{c}_sum": c for c in devices.columns if c not in ("user_id", "date")}
+    points = expiring.where(F.col("date").between(_date(start), _date(end)))
+    stacked = stack_counts(counts.where(period), "user_id", _pivots(spec), devices, points)
+    return _user_features(stacked, spec, start, end, n, sums, aggs, dow_base, spine_start)
+
+
+def _pivots(spec: FeatureSpec) -> dict[str, Sequence[str]]:
+    return {"referer_mediums": spec.mediums, "categories": spec.categories}
+
+
+def _user_features(stacked, spec, start, end, n, sums, aggs, dow_base, spine_start) -> DataFrame:
     rolled = _roll(stacked, "user_id", start, end, n, spec, aggs, sums, dow_base, spine_start)
     rolled = rolled.where(F.col("is_point") & (F.col("days_active_count") > 0))
     return _tidy(_finish(rolled, spec), spec, ["outcome_date"])
@@ -251,6 +343,28 @@ def browser_profile(
     rows = window_input(days, "browser_id", start, end, n)
     pivots = _long_tables(spec, mediums, categories, start, end, n)
     stacked = stack_days(rows, "browser_id", pivots)
+    return _browser_features(stacked, browsers, spec, start, end, n, aggs, dow_base, spine_start)
+
+
+def browser_profile_of_log(
+    counts: DataFrame,
+    browsers: DataFrame,
+    start: dt.date | str,
+    end: dt.date | str,
+    n: int = 30,
+    aggs: Mapping[str, Rolled] = DEFAULT_AGGREGATES,
+    spec: FeatureSpec | None = None,
+    dow_base: int = 1,
+    spine_start: dt.date | str | None = None,
+) -> DataFrame:
+    """``browser_profile`` from the counts of the logs instead of day tables."""
+    spec = spec or FeatureSpec("browser", tuple(aggs))
+    period = F.col("date").between(F.date_sub(_date(start), n), _date(end))
+    stacked = stack_counts(counts.where(period), "browser_id", _pivots(spec))
+    return _browser_features(stacked, browsers, spec, start, end, n, aggs, dow_base, spine_start)
+
+
+def _browser_features(stacked, browsers, spec, start, end, n, aggs, dow_base, spine_start) -> DataFrame:
     rolled = _roll(stacked, "browser_id", start, end, n, spec, aggs, {}, dow_base, spine_start)
     rolled = rolled.where(F.col("pageviews") > 0)
     devices = browser_devices(browsers).where(F.col("date").between(_date(start), _date(end)))
