@@ -245,27 +245,30 @@ def subscription_features(spark, sf):
     return _feature_columns(features(spark, sf, expiring(spark, sf)))
 
 
-_BEHAVIOUR = ("outcome", "outcome_date", "is_active_on_date", "days_since_last_active", "pageviews_avg",
-              "timespent_avg_last_window_half")
-
-
 @query(
     "churn_profile",
-    f"""SELECT s.* EXCLUDE (as_of) REPLACE ({_AMOUNTS}), s.as_of AS date,
-      {', '.join('o.' + c for c in _BEHAVIOUR)}
+    f"""SELECT s.* EXCLUDE (as_of) REPLACE ({_AMOUNTS}), s.as_of AS date, o.* EXCLUDE (user_id, date)
     FROM daily_sub_features s LEFT JOIN u_outcome o ON s.user_id = o.user_id AND s.as_of = o.date""",
 )
 def churn_profile(spark, sf):
     """Profiles of every day of the month, each with the subscription history known on that day."""
-    behavioural = user_outcomes(spark, sf).select("user_id", "date", *_BEHAVIOUR)
-    history_of_days = subs.subscription_data(
+    points = sinks.stored(expiring(spark, sf), scratch_dir(spark, "expiring"))
+    behavioural = user_outcomes(spark, sf, points)
+    known = features_of_days(spark, sf, points)
+    joined = subs.churn_profile(known, behavioural)
+    more = [c for c in behavioural.columns if c not in ("user_id", "date")]
+    return _feature_columns(joined, "date", *more)
+
+
+def features_of_days(spark, sf, points):
+    """Subscription features of every point (date, user_id), each as known on its day."""
+    days = subs.Days(FIRST_DAY, LAST_DAY)
+    versions = subs.subscription_versions(
         load(spark, sf, "fx_subscriptions"), load(spark, sf, "fx_payments"),
-        load(spark, sf, "fx_subscription_types"), load(spark, sf, "fx_subscription_upgrades"), subs.Days(FIRST_DAY, LAST_DAY),
+        load(spark, sf, "fx_subscription_types"), load(spark, sf, "fx_subscription_upgrades"), days,
     )
-    stored = sinks.stored(history_of_days, scratch_dir(spark, "daily_sub_data"))
-    points = expiring(spark, sf).select("user_id", F.col("date").alias(subs.AS_OF))
-    joined = subs.churn_profile(subs.subscription_features(stored, None, points), behavioural)
-    return _feature_columns(joined, "date", *_BEHAVIOUR)
+    stored = sinks.stored(versions, scratch_dir(spark, "sub_versions"))
+    return subs.features_by_day(stored, days, points.select("user_id", F.col("date").alias(subs.AS_OF)))
 
 
 # ---- context -----------------------------------------------------------------------------------

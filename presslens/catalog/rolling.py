@@ -202,9 +202,11 @@ def devices_of_users(spark, sf):
     return profiles.devices_by_user(daily.agents_of_users(pageviews(spark, sf)), brands_of(spark, sf))
 
 
-def user_profile(spark, sf, start=FIRST_DAY, end=LAST_DAY, n=USER_WINDOW, spine_start=FIRST_DAY):
+def user_profile(spark, sf, start=FIRST_DAY, end=LAST_DAY, n=USER_WINDOW, spine_start=FIRST_DAY, points=None):
+    """``points`` are the stored expiring users, if there are any yet."""
     counts = daily.log_counts(pageviews(spark, sf), "user_id", load(spark, sf, "fx_timespent"))
-    points = sinks.stored(expiring(spark, sf, start, end), scratch_dir(spark, "expiring"))
+    if points is None:
+        points = sinks.stored(expiring(spark, sf, start, end), scratch_dir(spark, "expiring"))
     return profiles.user_profile_of_log(
         counts, points, start, end, n, devices_of_users(spark, sf), spec=SPECS["u"], spine_start=spine_start
     )
@@ -414,8 +416,8 @@ TABLES["login_counts"] = """
     GROUP BY 1, 2"""
 
 
-def user_outcomes(spark, sf):
-    return outcomes.churn_outcome(user_profile(spark, sf), event_table(spark, sf))
+def user_outcomes(spark, sf, points=None):
+    return outcomes.churn_outcome(user_profile(spark, sf, points=points), event_table(spark, sf))
 
 
 def browser_outcomes(spark, sf):

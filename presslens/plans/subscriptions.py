@@ -23,12 +23,12 @@ HISTORY_START = "2015-01-01"
 _BLOCK_SECONDS = 90 * 86_400
 
 
-#: The day a row of a day-by-day history is known on; steps group by it wherever it is present.
+#: The day a row of the history is known on; steps group by it wherever it is present.
 AS_OF = "as_of"
 
 
 class Days(NamedTuple):
-    """A period; given instead of one last day it asks for the state on each of its days."""
+    """A period whose days each have a state of the history of their own."""
 
     start: dt.date | str
     end: dt.date | str
@@ -39,19 +39,10 @@ def _by(df: DataFrame) -> list[str]:
 
 
 def created_between(df: DataFrame, upto, after=None) -> DataFrame:
-    """Rows created after the day ``after`` (open when None) and up to the day ``upto``.
-
-    For ``Days`` a row comes once for every day of the period it is known on, with that day as
-    ``as_of``: each day sees what was created up to it and nothing later.
-    """
+    """Rows created after the day ``after`` (open when None) and up to the day ``upto``."""
     day = F.to_date("created_at")
-    last = upto.end if isinstance(upto, Days) else upto
-    kept = df.where(day <= F.lit(str(last)).cast("date"))
-    kept = kept if after is None else kept.where(day > F.lit(str(after)).cast("date"))
-    if not isinstance(upto, Days):
-        return kept
-    first, last = (F.lit(str(d)).cast("date") for d in upto)
-    return kept.withColumn(AS_OF, F.explode(F.sequence(F.greatest(day, first), last)))
+    kept = df.where(day <= F.lit(str(upto)).cast("date"))
+    return kept if after is None else kept.where(day > F.lit(str(after)).cast("date"))
 
 
 def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame:
@@ -61,8 +52,7 @@ def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame
     from counts and no task collects the payments of a busy subscription.
     """
     rows = created_between(payments, upto, after).where(F.col("subscription_id").isNotNull())
-    by = _by(rows)
-    by_status = rows.groupBy(*by, "subscription_id", "status").agg(
+    by_status = rows.groupBy("subscription_id", "status").agg(
         F.count("id").alias("n"),
         F.sum("amount").alias("amount"),
         F.sum("additional_amount").alias("additional_amount"),
@@ -70,7 +60,7 @@ def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame
     )
     statuses = F.array_sort(F.collect_list(F.struct("status", F.col("n").cast("int").alias("n"))))
     repeated = F.flatten(F.transform(statuses, lambda s: F.array_repeat(s["status"], s["n"])))
-    return by_status.groupBy(*by, "subscription_id").agg(
+    return by_status.groupBy("subscription_id").agg(
         F.sum("n").alias("payment_count"),
         F.sum("amount").alias("amount"),
         F.sum("additional_amount").alias("additional_amount"),
@@ -82,14 +72,14 @@ def payments_by_subscription(payments: DataFrame, upto, after=None) -> DataFrame
 def upgrade_flags(upgrades: DataFrame, upto, after=None) -> DataFrame:
     """``(base_subscription_id, is_upgraded)`` for subscriptions that were upgraded."""
     rows = created_between(upgrades, upto, after)
-    return rows.groupBy(*_by(rows), "base_subscription_id").agg((F.count("id") > 0).alias("is_upgraded"))
+    return rows.groupBy("base_subscription_id").agg((F.count("id") > 0).alias("is_upgraded"))
 
 
 def upgrade_links(upgrades: DataFrame, upto, after=None) -> DataFrame:
     """Distinct (base, upgraded, type) with ``is_upgrade``."""
     rows = created_between(upgrades, upto, after)
     return rows.groupBy(
-        *_by(rows), "base_subscription_id", "upgraded_subscription_id", F.col("type").alias("upgrade_type")
+        "base_subscription_id", "upgraded_subscription_id", F.col("type").alias("upgrade_type")
     ).agg((F.count("id") > 0).alias("is_upgrade"))
 
 
@@ -98,7 +88,7 @@ def subscription_data(
     payments: DataFrame,
     types: DataFrame,
     upgrades: DataFrame,
-    upto: dt.date | str | Days,
+    upto: dt.date | str,
     after: dt.date | str | None = None,
     statuses: Sequence[str] = ACCEPTED_STATUSES,
     keep_unpaid: bool = False,
@@ -107,51 +97,60 @@ def subscription_data(
 
     Kept are subscriptions whose payments all have an accepted status, that start in the usable
     history and do not end at their start.  ``keep_unpaid`` also keeps those without a payment.
-    Three joins are on the subscription id, one is on the type.  For ``Days`` there is a row per
-    subscription and day, as known on that day.
+    Three joins are on the subscription id, one is on the type.
     """
     paid = payments_by_subscription(payments, upto, after)
-    kinds = types.where(~F.coalesce(F.col("no_subscription"), F.lit(False))).select(
-        F.col("id").alias("subscription_type_id"),
-        F.col("name").alias("sub_type_name"),
-        F.col("code").alias("sub_type_code"),
-        F.col("length").alias("sub_type_length"),
-        F.col("price").alias("sub_type_price"),
-        F.col("web").alias("sub_web_access"),
-        F.col("mobile").alias("sub_standard_access"),
-        F.col("club").alias("sub_club_access"),
-        F.col("print").alias("sub_print_access"),
-        F.col("print_friday").alias("sub_print_friday_access"),
-    )
     upgraded = upgrade_flags(upgrades, upto, after).withColumnRenamed(
         "base_subscription_id", "subscription_id"
     )
     links = upgrade_links(upgrades, upto, after).withColumnRenamed(
         "upgraded_subscription_id", "subscription_id"
     )
-    base = (
-        created_between(subscriptions, upto, after)
-        .where(F.col("start_time") != F.col("end_time"))
+    joined = (
+        _usable(created_between(subscriptions, upto, after))
+        .join(paid, "subscription_id", "left")
+        .where(_accepted(statuses, keep_unpaid))
+        .join(upgraded, "subscription_id", "left")
+        .join(links, "subscription_id", "left")
+    )
+    return _described(joined, types)
+
+
+def _usable(subscriptions: DataFrame) -> DataFrame:
+    """Subscriptions of the usable history that do not end at their start."""
+    return (
+        subscriptions.where(F.col("start_time") != F.col("end_time"))
         .where(F.col("start_time") >= F.lit(HISTORY_START).cast("timestamp_ntz"))
         .withColumnsRenamed({"id": "subscription_id", "type": "subscription_type"})
     )
-    by = _by(base)
+
+
+def _accepted(statuses: Sequence[str], keep_unpaid: bool) -> Column:
+    """All payments of the row have an accepted status."""
     allowed = F.array(*[F.lit(s) for s in statuses])
-    all_accepted = (
+    accepted = (
         F.size(F.array_except(F.split("payment_status", ","), allowed)) == 0
     ) & F.col("payment_status").isNotNull()
-    if keep_unpaid:
-        all_accepted = all_accepted | F.col("payment_status").isNull()
-    joined = (
-        base.join(paid, [*by, "subscription_id"], "left")
-        .where(all_accepted)
-        .join(upgraded, [*by, "subscription_id"], "left")
-        .join(links, [*by, "subscription_id"], "left")
-        .join(kinds, "subscription_type_id", "left")
+    return accepted | F.col("payment_status").isNull() if keep_unpaid else accepted
+
+
+def _described(joined: DataFrame, types: DataFrame, *more: str) -> DataFrame:
+    """The columns of the subscription data, with the attributes of its type."""
+    kinds = types.where(~F.coalesce(F.col("no_subscription"), F.lit(False))).select(
+        F.col("id").alias("subscription_type_id"),
+        F.col("name").alias("sub_type_name"),
+        F.col("code").alias("sub_type_code"),
+        F.col("length").alias("sub_type_length"),
+        F.col("price").alias("sub_type_price"),
+        F.col("web").alias("sub_web_access"),
+        F.col("mobile").alias("sub_standard_access"),
+        F.col("club").alias("sub_club_access"),
+        F.col("print").alias("sub_print_access"),
+        F.col("print_friday").alias("sub_print_friday_access"),
     )
     flags = ("is_recurrent", "is_paid", "is_recurrent_charge", "is_upgraded", "is_upgrade")
-    return joined.select(
-        *by, "user_id", "subscription_id", "subscription_type_id", "subscription_type",
+    return joined.join(kinds, "subscription_type_id", "left").select(
+        *more, "user_id", "subscription_id", "subscription_type_id", "subscription_type",
         "created_at", "start_time", "end_time",
         F.col("length").cast("int").alias("length"),
         *[bool_to_int(F.col(f)).cast("double").alias(f) for f in flags],
@@ -169,6 +168,150 @@ def subscription_data(
     )
 
 
+# ---- the history of a period, from its changes ----------------------------------------------------
+def _since(days: Days) -> Column:
+    """Day from which a row is known, not before the period: earlier changes are one."""
+    return F.greatest(F.to_date("created_at"), F.lit(str(days.start)).cast("date"))
+
+
+def _paid_by_day(payments: DataFrame, days: Days) -> DataFrame:
+    """``(subscription_id, paid)``: what each day of the period added, oldest first.
+
+    Sums and status counts of a day are aggregated before a subscription's days come together, so
+    a list has an entry per day with payments and no more.
+    """
+    rows = created_between(payments, days.end).where(F.col("subscription_id").isNotNull())
+    by_status = rows.groupBy("subscription_id", _since(days).alias("day"), "status").agg(
+        F.count("id").alias("n"),
+        F.sum("amount").cast("double").alias("amount"),
+        F.sum("additional_amount").cast("double").alias("additional_amount"),
+        F.sum("recurrent_charge").alias("charges"),
+    )
+    status = F.struct("status", F.col("n").cast("int").alias("n"))
+    by_day = by_status.groupBy("subscription_id", "day").agg(
+        F.collect_list(status).alias("statuses"),
+        *[F.sum(c).alias(c) for c in ("n", "amount", "additional_amount", "charges")],
+    )
+    entry = F.struct("day", "statuses", "n", "amount", "additional_amount", "charges")
+    return by_day.groupBy("subscription_id").agg(F.array_sort(F.collect_list(entry)).alias("paid"))
+
+
+def subscription_versions(
+    subscriptions: DataFrame,
+    payments: DataFrame,
+    types: DataFrame,
+    upgrades: DataFrame,
+    days: Days,
+    statuses: Sequence[str] = ACCEPTED_STATUSES,
+    keep_unpaid: bool = False,
+) -> DataFrame:
+    """``subscription_data`` of every day of a period, as rows that hold from ``valid_from`` to ``valid_to``.
+
+    A subscription has a new version on the days something about it changes: a payment, an
+    upgrade, a link to the subscription it came from.  The number of rows follows the changes within
+    the period, not its length, and each day sees what was created up to it and nothing later.
+    """
+    last = F.lit(str(days.end)).cast("date")
+    known = created_between(upgrades, days.end)
+    counted = F.min(F.when(F.col("id").isNotNull(), _since(days)))
+    upgraded = known.groupBy(F.col("base_subscription_id").alias("subscription_id")).agg(
+        F.min(_since(days)).alias("upgrade_known"), counted.alias("upgraded_since")
+    )
+    linked = known.groupBy(
+        "base_subscription_id", F.col("upgraded_subscription_id").alias("subscription_id"), "type"
+    ).agg(F.min(_since(days)).alias("since"), counted.alias("yes"))
+    link = F.struct(F.col("base_subscription_id").alias("base"), F.col("type").alias("kind"), "since", "yes")
+    links = linked.groupBy("subscription_id").agg(F.collect_list(link).alias("links"))
+    own = _usable(created_between(subscriptions, days.end)).withColumn("__since", _since(days))
+    rows = (
+        own.join(_paid_by_day(payments, days), "subscription_id", "left")
+        .join(upgraded, "subscription_id", "left")
+        .join(links, "subscription_id", "left")
+    )
+    # Until its first link a subscription stands alone, from then on there is a row per link.
+    alone = F.struct(
+        F.lit(None).cast(dict(linked.dtypes)["base_subscription_id"]).alias("base"), F.lit(None).cast("string").alias("kind"),
+        F.col("__since").alias("since"), F.lit(None).cast("date").alias("yes"), F.array_min(F.col("links.since")).alias("until"),
+    )
+    joined = F.transform("links", lambda k: F.struct(
+        k["base"].alias("base"), k["kind"].alias("kind"), F.greatest(k["since"], F.col("__since")).alias("since"),
+        k["yes"].alias("yes"), F.lit(None).cast("date").alias("until"),
+    ))
+    rows = rows.withColumn("__link", F.explode(F.concat(F.array(alone), F.coalesce(joined, F.array().cast(f"array<{_link_type(linked)}>")))))
+    since, until = F.col("__link.since"), F.col("__link.until")
+    changes = F.concat(
+        F.coalesce(F.col("paid.day"), F.array().cast("array<date>")), F.array("upgrade_known", "upgraded_since", "__link.yes")
+    )
+    inside = F.filter(changes, lambda d: (d > since) & (until.isNull() | (d < until)))
+    rows = rows.where(until.isNull() | (since < until)).withColumn(
+        "__days", F.array_sort(F.array_distinct(F.concat(F.array(since), inside)))
+    )
+    version = F.transform("__days", lambda d, i: F.struct(
+        d.alias("valid_from"), F.coalesce(F.date_sub(F.get("__days", i + 1), 1), F.date_sub(until, 1), last).alias("valid_to"),
+    ))
+    rows = rows.withColumn("__version", F.explode(version)).withColumns({"valid_from": F.col("__version.valid_from"), "valid_to": F.col("__version.valid_to")})
+    # An empty list is as good as none: the subscription has no payment yet.
+    rows = rows.withColumn("__paid", F.filter("paid", lambda p: p["day"] <= F.col("valid_from")))
+
+    def total(column: str, kind: str) -> Column:
+        def add(held: Column, entry: Column) -> Column:
+            return F.when(entry[column].isNull(), held).otherwise(F.coalesce(held, F.lit(0).cast(kind)) + entry[column].cast(kind))
+
+        return F.aggregate("__paid", F.lit(None).cast(kind), add)
+
+    repeated = F.flatten(F.transform(F.flatten(F.col("__paid.statuses")), lambda s: F.array_repeat(s["status"], s["n"])))
+    state = rows.withColumns({
+        "payment_count": total("n", "long"),
+        "amount": total("amount", "double"),
+        "additional_amount": total("additional_amount", "double"),
+        "is_recurrent_charge": total("charges", "double") > 0,
+        "payment_status": F.when(F.size("__paid") > 0, F.array_join(F.array_sort(repeated), ",")),
+        "is_upgraded": F.when(F.col("upgrade_known") <= F.col("valid_from"), F.coalesce(F.col("upgraded_since") <= F.col("valid_from"), F.lit(False))),
+        "is_upgrade": F.when(F.col("__link.base").isNotNull(), F.coalesce(F.col("__link.yes") <= F.col("valid_from"), F.lit(False))),
+        "base_subscription_id": F.col("__link.base"),
+        "upgrade_type": F.col("__link.kind"),
+    })
+    return _described(state.where(_accepted(statuses, keep_unpaid)), types, "valid_from", "valid_to")
+
+
+def _link_type(linked: DataFrame) -> str:
+    base = dict(linked.dtypes)["base_subscription_id"]
+    return f"struct<base: {base}, kind: string, since: date, yes: date, until: date>"
+
+
+def bands_by_day(versions: DataFrame, days: Days) -> DataFrame:
+    """``price_bands`` of every day, from prefix sums of what each day added to a band or took from it.
+
+    Prices are added as decimals, so taking one away leaves what was there before it.
+    """
+    first, last = (F.lit(str(d)).cast("date") for d in days)
+    price = F.col("daily_price").cast("decimal(38,18)")
+    one = F.when(price.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    begins = F.struct(F.col("valid_from").alias("day"), price.alias("price"), one.alias("n"), F.lit(1).cast("long").alias("rows"))
+    ends = F.struct(F.date_add("valid_to", 1).alias("day"), (-price).cast("decimal(38,18)").alias("price"), (-one).alias("n"), F.lit(-1).cast("long").alias("rows"))
+    moved = with_price(versions).select(*BAND_KEYS, F.explode(F.array(begins, ends)).alias("c")).where(F.col("c.day") <= last)
+    by_day = moved.groupBy(*BAND_KEYS, F.col("c.day").alias("day")).agg(
+        F.sum("c.price").alias("price"), F.sum("c.n").alias("n"), F.sum("c.rows").alias("rows")
+    )
+    order = Window.partitionBy(*BAND_KEYS).orderBy("day")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = by_day.select(
+        *BAND_KEYS, "day", F.date_sub(F.coalesce(F.lead("day").over(order), F.date_add(last, 1)), 1).alias("to"),
+        *[F.sum(c).over(running).alias(c) for c in ("price", "n", "rows")],
+    )
+    average = F.when(F.col("n") > 0, F.col("price").cast("double") / F.col("n"))
+    return state.where("rows > 0").select(
+        F.explode(F.sequence(F.greatest("day", first), F.col("to"))).alias(AS_OF), *BAND_KEYS, average.alias("average_price")
+    )
+
+
+def known_on(versions: DataFrame, points: DataFrame) -> DataFrame:
+    """The history of each (user_id, as_of) of ``points`` as known on that day."""
+    wanted = points.select(F.col("user_id").cast("string").alias("user_id"), AS_OF).distinct()
+    rows = versions.withColumn("user_id", F.col("user_id").cast("string")).join(wanted, "user_id")
+    return rows.where(F.col(AS_OF).between(F.col("valid_from"), F.col("valid_to"))).drop("valid_from", "valid_to")
+
+
 def with_price(data: DataFrame) -> DataFrame:
     """Add ``web_access_level`` and ``daily_price``."""
     level = web_access_level(*[F.col(f"sub_{k}_access") for k in ("web", "standard", "club")])
@@ -308,17 +451,29 @@ def subscription_features(
 ) -> DataFrame:
     """History measures and last-versus-previous columns per user (id as text).
 
-    ``users`` restricts the result to a list of user ids, or of ids and days for a day-by-day
-    history.  Price bands come from everybody, all else only from the histories asked for.
+    ``users`` restricts the result to a list of user ids.  Price bands come from everybody, all
+    else only from the histories asked for.
     """
-    keys = [*_by(data), "user_id"]
     bands = price_bands(data)
     rows = data.withColumn("user_id", F.col("user_id").cast("string"))
     if users is not None:
-        wanted = users.select(*[F.col(k).cast("string") if k == "user_id" else F.col(k) for k in keys])
-        rows = rows.join(wanted.distinct(), keys, "left_semi")
+        wanted = users.select(F.col("user_id").cast("string").alias("user_id"))
+        rows = rows.join(wanted.distinct(), "user_id", "left_semi")
+    return _features_of(rows, max_date, bands)
+
+
+def features_by_day(versions: DataFrame, days: Days, points: DataFrame) -> DataFrame:
+    """The same for every (user_id, as_of) of ``points``, each with the history known on its day.
+
+    ``versions`` are read twice, so they should be stored.  Only the histories of the points are laid
+    out by day; bands of all days come from the versions themselves.
+    """
+    return _features_of(known_on(versions, points), None, bands_by_day(versions, days))
+
+
+def _features_of(rows: DataFrame, max_date: dt.date | str | None, bands: DataFrame) -> DataFrame:
     stats = user_subscription_stats(rows, max_date, bands)
-    return stats.join(last_vs_previous(rows, max_date, bands=bands), keys)
+    return stats.join(last_vs_previous(rows, max_date, bands=bands), [*_by(rows), "user_id"])
 
 
 def churn_profile(transactional: DataFrame, behavioural: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Outcome labels, subscriptions and payment history."""
 
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from presslens.plans import context, outcomes
 from presslens.plans import subscriptions as subs
@@ -128,39 +130,92 @@ def test_payment_history_join(spark):
     assert context.with_payment_history(p, None).first().days_since_last_subscription == 0.0
 
 
-def test_a_later_subscription_leaves_earlier_profiles_unchanged(spark):
-    """Features of a day come from what was created up to that day."""
-    import datetime as dt
+def _at(day):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(days=day)
 
-    from pyspark.sql import functions as F
 
-    from presslens.plans import subscriptions as subs
+def _history(spark, subscriptions, payments=None, upgrades=()):
+    """Frames of a subscription history; by default each subscription is paid when it is made."""
+    made = spark.createDataFrame(subscriptions, "id long, user_id long, subscription_type_id long, created_at timestamp_ntz, start_time timestamp_ntz, end_time timestamp_ntz")
+    made = made.withColumns({
+        "type": F.lit("t"), "length": F.datediff("end_time", "start_time"), "is_recurrent": F.lit(True), "is_paid": F.lit(True),
+    })
+    if payments is None:
+        payments = [(s[0], s[0], "paid", s[0] * 10.0, 0.0, 0, s[3]) for s in subscriptions]
+    paid = spark.createDataFrame(payments, "id long, subscription_id long, status string, amount double, additional_amount double, recurrent_charge int, created_at timestamp_ntz")
+    kinds = spark.range(1, 3).select(
+        "id", F.lit("n").alias("name"), F.lit("c").alias("code"), F.lit(30).alias("length"), F.lit(5.0).alias("price"), F.lit(False).alias("no_subscription"),
+        *[F.lit(1).alias(c) for c in ("web", "mobile", "club", "print", "print_friday")],
+    )
+    linked = spark.createDataFrame(list(upgrades), "id long, base_subscription_id long, upgraded_subscription_id long, type string, created_at timestamp_ntz")
+    return made, paid, kinds, linked
 
-    def at(day):
-        return dt.datetime(2024, 1, 1) + dt.timedelta(days=day)
 
-    rows = [(1, 7, 1, at(-60), at(-60), at(-30)), (2, 7, 1, at(-30), at(-30), at(20)), (3, 8, 1, at(-40), at(-40), at(-10)), (4, 8, 1, at(-10), at(-10), at(20))]
-    later = [*rows, (5, 7, 1, at(10), at(10), at(40)), (6, 9, 1, at(10), at(10), at(40))]
+def test_a_later_subscription_leaves_earlier_profiles_unchanged(spark):
+    """Features of a day come from what was created up to that day."""
+    rows = [(1, 7, 1, _at(-60), _at(-60), _at(-30)), (2, 7, 1, _at(-30), _at(-30), _at(20)), (3, 8, 1, _at(-40), _at(-40), _at(-10)), (4, 8, 1, _at(-10), _at(-10), _at(20))]
+    later = [*rows, (5, 7, 1, _at(10), _at(10), _at(40)), (6, 9, 1, _at(10), _at(10), _at(40))]
+    days = subs.Days("2024-01-05", "2024-01-15")
+    points = spark.createDataFrame([(str(u), _at(d).date()) for u in (7, 8, 9) for d in range(4, 15)], "user_id string, as_of date")
 
     def features(listed):
-        made = spark.createDataFrame(listed, "id long, user_id long, subscription_type_id long, created_at timestamp_ntz, start_time timestamp_ntz, end_time timestamp_ntz")
-        made = made.withColumns({
-            "type": F.lit("t"), "length": F.datediff("end_time", "start_time"), "is_recurrent": F.lit(True), "is_paid": F.lit(True),
-        })
-        paid = made.select(
-            F.col("id"), F.col("id").alias("subscription_id"), F.lit("paid").alias("status"), (F.col("id") * 10.0).alias("amount"),
-            F.lit(0.0).alias("additional_amount"), F.lit(0).alias("recurrent_charge"), "created_at",
-        )
-        kinds = spark.range(1, 2).select(
-            "id", F.lit("n").alias("name"), F.lit("c").alias("code"), F.lit(30).alias("length"), F.lit(5.0).alias("price"), F.lit(False).alias("no_subscription"),
-            *[F.lit(1).alias(c) for c in ("web", "mobile", "club", "print", "print_friday")],
-        )
-        upgrades = spark.createDataFrame([], "id long, base_subscription_id long, upgraded_subscription_id long, type string, created_at timestamp_ntz")
-        data = subs.subscription_data(made, paid, kinds, upgrades, subs.Days("2024-01-05", "2024-01-15"))
-        found = subs.subscription_features(data, None)
-        return {(r.user_id, r.as_of.day): r.asDict() for r in found.collect()}
+        versions = subs.subscription_versions(*_history(spark, listed), days)
+        return {(r.user_id, r.as_of.day): r.asDict() for r in subs.features_by_day(versions, days, points).collect()}
 
     before, after = features(rows), features(later)
     early = {k: v for k, v in before.items() if k[1] <= 10}
     assert len(early) == 12 and early == {k: after[k] for k in early}
     assert before["7", 12]["subscription_id_last"] == 2 and after["7", 12]["subscription_id_last"] == 5
+
+
+def _busy_history(seed):
+    """Subscriptions with late and refused payments, late and repeated upgrades, and gaps in the data."""
+    rng = random.Random(seed)
+    made = [(k, rng.randint(1, 6), rng.randint(1, 3), at, _at(rng.randint(-400, 30)), _at(rng.randint(31, 90))) for k in range(1, 40) for at in [_at(rng.randint(-300, 25))]]
+    paid, upgrades = [], []
+    for k, *_, at, _, _ in made:
+        for _ in range(rng.randint(0, 4)):
+            status = rng.choice(["paid", "paid", "prepaid", "form", "refund"] if rng.random() < 0.3 else ["paid", "prepaid"])
+            amount = None if rng.random() < 0.1 else rng.randint(1, 900) / 7
+            paid.append((len(paid) + 1, k, status, amount, rng.choice([0.0, 1.5, None]), rng.choice([0, 0, 1, None]), at + dt.timedelta(days=rng.randint(0, 60))))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            upgrades.append((rng.choice([None, k]), k, rng.randint(1, 40), rng.choice(["paid", "free"]), at + dt.timedelta(days=rng.randint(0, 40))))
+    return made, paid, upgrades
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_versions_hold_the_state_of_every_day(spark, seed):
+    """A version that is valid on a day is the row that day's history has."""
+    frames = _history(spark, *_busy_history(seed))
+    days = subs.Days("2024-01-03", "2024-01-24")
+    for keep_unpaid in (False, True):
+        versions = subs.subscription_versions(*frames, days, keep_unpaid=keep_unpaid).collect()
+        names = [c for c in versions[0].asDict() if c not in ("valid_from", "valid_to")]
+        plain = lambda rows: sorted((tuple(round(r[c], 9) if isinstance(r[c], float) else r[c] for c in names) for r in rows), key=repr)
+        for day in (3, 11, 24):
+            date = dt.date(2024, 1, day)
+            want = subs.subscription_data(*frames, date, keep_unpaid=keep_unpaid)
+            assert plain(want.collect()) == plain([v for v in versions if v.valid_from <= date <= v.valid_to]), date
+
+
+def test_bands_of_days_are_the_bands_of_each_day(spark):
+    frames = _history(spark, *_busy_history(3))
+    days = subs.Days("2024-01-03", "2024-01-24")
+    versions = subs.subscription_versions(*frames, days)
+    found = {(r.as_of, *[r[k] for k in subs.BAND_KEYS]): r.average_price for r in subs.bands_by_day(versions, days).collect()}
+    seen = 0
+    for day in (3, 11, 24):
+        date = dt.date(2024, 1, day)
+        for r in subs.price_bands(subs.subscription_data(*frames, date)).collect():
+            assert found[(date, *[r[k] for k in subs.BAND_KEYS])] == (r.average_price if r.average_price is None else pytest.approx(r.average_price, rel=1e-12))
+            seen += 1
+    assert seen == sum(k[0].day in (3, 11, 24) for k in found)
+
+
+def test_versions_follow_changes_and_not_days(spark):
+    """A period ten times as long in which nothing more happens has the same rows."""
+    frames = _history(spark, *_busy_history(4))
+    short = subs.subscription_versions(*frames, subs.Days("2024-01-01", "2024-05-01")).count()
+    assert short == subs.subscription_versions(*frames, subs.Days("2024-01-01", "2027-05-01")).count() > 0
+    nothing = _history(spark, [], [], [])
+    assert subs.subscription_versions(*nothing, subs.Days("2024-01-01", "2024-05-01")).count() == 0
