@@ -20,7 +20,7 @@ END = f"{LAST_DAY} 23:59:59"
 _GAP = "date_diff('day', CAST(previous_end_time AS DATE), CAST(start_time AS DATE))"
 _FLAG = """CASE WHEN average_price = 0 THEN 0.0 WHEN 1 - daily_price / average_price >= 0.2
     THEN 1.0 ELSE 0.0 END::DOUBLE"""
-_SHOWN = ("subscription_id", "amount", "length", "web_access_level", "payment_status", "is_discount")
+_SHOWN = ("subscription_id", *subs.COMPARED, "is_discount")
 _BAND = "web_access_level, length, is_paid, sub_print_access, sub_print_friday_access"
 
 
@@ -213,22 +213,22 @@ def kth_last_subscription(spark, sf):
     return rows.select("user_id", "subscription_id", "base_subscription_id", "start_time", "is_discount")
 
 
-_PAIR_COLUMNS = [f"{c}_{s}" for c in _SHOWN for s in ("last", "previous")]
-_DIFF_COLUMNS = [f"{c}_diff" for c in (*subs.NUMERIC_DIFFS, *subs.PLAIN_DIFFS)]
+PAIR_COLUMNS = [f"{c}_{s}" for c in _SHOWN for s in ("last", "previous")]
+DIFF_COLUMNS = [f"{c}_diff" for c in (*subs.NUMERIC_DIFFS, *subs.PLAIN_DIFFS)]
 _AMOUNTS = ", ".join(f"round(amount_{s}, 2) AS amount_{s}" for s in ("last", "previous"))
 
 
 @query("last_vs_previous", f"SELECT * REPLACE ({_AMOUNTS}) FROM last_two")
 def last_vs_previous(spark, sf):
     pairs = subs.last_vs_previous(stored_sub_data(spark, sf), UPTO)
-    return rounded(pairs.select("user_id", *_PAIR_COLUMNS, *_DIFF_COLUMNS))
+    return rounded(pairs.select("user_id", *PAIR_COLUMNS, *DIFF_COLUMNS))
 
 
 def features(spark, sf, users):
     return subs.subscription_features(stored_sub_data(spark, sf), UPTO, users)
 
 
-_STAT_COLUMNS = [
+STAT_COLUMNS = [
     "total_amount", "average_amount", "count_subs", "paid_subs", "free_subs",
     "number_of_days_since_the_first_paid_sub", "average_gap", "max_gap",
     "total_days_paid_sub", "total_days_free_sub", "upgraded_subs", "discount_subs",
@@ -236,7 +236,7 @@ _STAT_COLUMNS = [
 
 
 def _feature_columns(df, *more):
-    kept = df.select("user_id", *more, *_STAT_COLUMNS, *_PAIR_COLUMNS, *_DIFF_COLUMNS)
+    kept = df.select("user_id", *more, *STAT_COLUMNS, *PAIR_COLUMNS, *DIFF_COLUMNS)
     return rounded(kept.withColumn("total_amount", F.round("total_amount", 2)))
 
 
@@ -252,23 +252,22 @@ def subscription_features(spark, sf):
 )
 def churn_profile(spark, sf):
     """Profiles of every day of the month, each with the subscription history known on that day."""
-    points = sinks.stored(expiring(spark, sf), scratch_dir(spark, "expiring"))
-    behavioural = user_outcomes(spark, sf, points)
-    known = features_of_days(spark, sf, points)
-    joined = subs.churn_profile(known, behavioural)
-    more = [c for c in behavioural.columns if c not in ("user_id", "date")]
-    return _feature_columns(joined, "date", *more)
+    rows = user_rows(spark, sf, FIRST_DAY, LAST_DAY)
+    more = [c for c in rows.columns if c not in ("user_id", "date") and not c.endswith(("_last", "_previous")) and c not in STAT_COLUMNS]
+    return _feature_columns(rows, "date", *[c for c in more if c not in DIFF_COLUMNS])
 
 
-def features_of_days(spark, sf, points):
-    """Subscription features of every point (date, user_id), each as known on its day."""
-    days = subs.Days(FIRST_DAY, LAST_DAY)
+def user_rows(spark, sf, start, end):
+    """Complete user profiles of a period: subscription history, behaviour and outcome."""
+    points = sinks.stored(expiring(spark, sf, start, end), scratch_dir(spark, "expiring"))
+    days = subs.Days(start, end)
     versions = subs.subscription_versions(
         load(spark, sf, "fx_subscriptions"), load(spark, sf, "fx_payments"),
         load(spark, sf, "fx_subscription_types"), load(spark, sf, "fx_subscription_upgrades"), days,
     )
     stored = sinks.stored(versions, scratch_dir(spark, "sub_versions"))
-    return subs.features_by_day(stored, days, points.select("user_id", F.col("date").alias(subs.AS_OF)))
+    known = subs.features_by_day(stored, days, points.select("user_id", F.col("date").alias(subs.AS_OF)))
+    return subs.churn_profile(known, user_outcomes(spark, sf, points, start, end))
 
 
 # ---- context -----------------------------------------------------------------------------------

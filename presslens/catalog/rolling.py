@@ -416,8 +416,8 @@ TABLES["login_counts"] = """
     GROUP BY 1, 2"""
 
 
-def user_outcomes(spark, sf, points=None):
-    return outcomes.churn_outcome(user_profile(spark, sf, points=points), event_table(spark, sf))
+def user_outcomes(spark, sf, points=None, start=FIRST_DAY, end=LAST_DAY):
+    return outcomes.churn_outcome(user_profile(spark, sf, start, end, points=points), event_table(spark, sf))
 
 
 def browser_outcomes(spark, sf):

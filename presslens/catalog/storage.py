@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from presslens.catalog.daily import event_table, pageviews, user_day_table
 from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
 from presslens.catalog.registry import TABLES, load, query
-from presslens.catalog.rolling import SPECS, browser_outcomes, browser_profile, rounded
+from presslens.catalog.crm import DIFF_COLUMNS, PAIR_COLUMNS, STAT_COLUMNS, user_rows
+from presslens.catalog.rolling import SPECS, USER_WINDOW, browser_outcomes, browser_profile, rounded
 from presslens.functions.ids import parse_pg_array
 from presslens.functions.labels import CONVERSION_LABELS, labels_of
 from presslens.plans import daily, outcomes, packing
+from presslens.plans.store import ProfileStore
 from presslens.session import scratch_dir
 from presslens.sources import files, relational, sinks
-from presslens.spec import HOUR_COLUMNS, RANGE_COLUMNS
+from presslens.spec import HOUR_COLUMNS, RANGE_COLUMNS, WINDOW_SUFFIXES, change_column
 
 DAYS = files.date_range(dt.date.fromisoformat(FIRST_DAY), dt.date.fromisoformat(LAST_DAY))
 
@@ -150,7 +152,8 @@ TABLES["b_stored"] = f"""
 
 
 def packed_profiles(spark, sf):
-    rows = browser_outcomes(spark, sf)
+    # Written once: hundreds of columns packed in the plan that computes them are one huge expression.
+    rows = sinks.stored(browser_outcomes(spark, sf), scratch_dir(spark, "wide"))
     created = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     return packing.pack_features(rows, SPECS["b"], WINDOW, VERSION, created)
 
@@ -237,3 +240,50 @@ def profile_retrieval(spark, sf):
 )
 def latest_profile(spark, sf):
     return packing.retrieve_profiles(labelled(spark, sf), "browser_id", 30, "2024-01-15", "2024-01-25")
+
+
+# ---- the user level, through the store ---------------------------------------------------------
+USER_VERSION = "2.00"
+
+
+def _stored_sql(spec, present: set[str]) -> str:
+    """Every stored column of a level as it comes back: numbers, or texts with the default of their set."""
+    cells = {"0.0": "round(coalesce(CAST({c} AS DOUBLE), 0.0), 6)", "False": "coalesce(CAST({c} AS VARCHAR), 'False')", "": "coalesce(CAST({c} AS VARCHAR), '')"}
+    absent = {"0.0": "0.0::DOUBLE", "False": "'False'", "": "''"}
+    return ", ".join(
+        f"{(cells[default].format(c=c) if c in present else absent[default])} AS {c}"
+        for default, names in spec.feature_sets().values()
+        for c in names
+    )
+
+
+_HISTORY_COLUMNS = {*STAT_COLUMNS, *PAIR_COLUMNS, *DIFF_COLUMNS}
+_PROFILE_COLUMNS = {
+    "day_of_week", "is_active_on_date", "days_since_last_active", *SPECS["u"].device_columns(),
+    *[f"{stem}{s}" for stem in SPECS["u"].windowed_stems() for s in WINDOW_SUFFIXES], *map(change_column, SPECS["u"].windowed_stems()),
+}
+TABLES["u_full"] = """SELECT s.* RENAME (as_of AS date), o.* EXCLUDE (user_id, date)
+    FROM daily_sub_features s LEFT JOIN u_outcome o ON s.user_id = o.user_id AND s.as_of = o.date"""
+TABLES["u_stored"] = f"""SELECT user_id, date, outcome, outcome_date,
+    {_stored_sql(SPECS["u"], _HISTORY_COLUMNS | _PROFILE_COLUMNS)} FROM u_full"""
+
+
+def user_store(spark, version=USER_VERSION):
+    """A new store of user profiles."""
+    return ProfileStore(spark, scratch_dir(spark, "user_profiles"), SPECS["u"], USER_WINDOW, version, dt.datetime(2024, 2, 1))
+
+
+@query("user_backfill", "SELECT * FROM u_stored")
+def user_backfill(spark, sf):
+    """All days but the last in one pass; the resumed run adds the last day on its own and nothing else."""
+    store, last = user_store(spark), dt.date.fromisoformat(LAST_DAY)
+
+    def build(start, end):
+        return user_rows(spark, sf, start, end)
+
+    store.backfill(build, FIRST_DAY, last - dt.timedelta(1))
+    if store.backfill(build, FIRST_DAY, LAST_DAY) != [(last, last)]:
+        raise RuntimeError("the resumed run built more than the missing day")
+    rows = packing.unpack_features(store.read(), store.spec)
+    names = [c for _, columns in store.spec.feature_sets().values() for c in columns]
+    return rounded(rows.select("user_id", "date", "outcome", "outcome_date", *names))

@@ -114,7 +114,7 @@ def sync_stored(
     is the newest time itself and such rows arrive with the next run.
     """
     spark = source.sparkSession
-    target = spark.read.parquet(path) if _exists(spark, path) else None
+    target = spark.read.parquet(path) if exists(spark, path) else None
     if by_day or target is None:
         fresh = incremental_rows(source, target, max_date, column)
     else:
@@ -130,11 +130,17 @@ def _path(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     place, files = _path(spark, path)
     return files.exists(place)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty partition: it was computed and has no rows."""
+    place, files = _path(spark, path)
+    files.mkdirs(place)
+
+
 def drop_expired(spark: SparkSession, path: str, today: dt.date | str, days: int = 365, column: str = "date") -> list[str]:
     """Remove the day partitions of a table that have expired; returns their days.
 
@@ -154,7 +160,7 @@ def drop_expired(spark: SparkSession, path: str, today: dt.date | str, days: int
 def append_unique(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Append rows to a table with a unique index: keys that are stored already are left out."""
     rows, spark = unique_rows(df, keys), df.sparkSession
-    if _exists(spark, path):
+    if exists(spark, path):
         stored_keys = spark.read.parquet(path).select(*keys)
         rows = rows.join(stored_keys, list(keys), "left_anti").select(*df.columns)
     append(rows, path)
