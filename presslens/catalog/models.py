@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from presslens.catalog.audience import predictions
-from presslens.catalog.crm import history, publisher_context
+from presslens.catalog.crm import history, publisher_context, user_rows
 from presslens.catalog.daily import pageviews, user_day_table
 from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
 from presslens.catalog.registry import TABLES, load, query
 from presslens.catalog.rolling import BROWSER_WINDOW, SPECS, browser_outcomes, long_table, rounded
+from presslens.catalog.storage import user_store
 from presslens.functions.flags import bool_to_int
+from presslens.functions.labels import CHURN_LABELS, labels_of
 from presslens.operators import encoding, sampling
 from presslens.operators.metrics import class_metrics
 from presslens.operators.pivot import profile_pivot
 from presslens.plans import context, daily, packing, training
 from presslens.session import scratch_dir
 from presslens.sources import sinks
-from presslens.spec import HOUR_RANGES, REFERER_MEDIUMS, range_column, sanitize
+from presslens.spec import HOUR_RANGES, REFERER_MEDIUMS, FeatureSpec, range_column, sanitize
 
 CATEGORICAL = ("derived_referer_medium", "category")
 SEED = 42
@@ -243,18 +247,25 @@ def stored_model(spark, sf):
     return training.OutcomeModel.load(spark, folder), spark.read.parquet(table)
 
 
-_HASH = f"md5(concat_ws(':', browser_id, CAST(date AS VARCHAR), outcome, '{SEED}'))"
-TABLES["b_balanced"] = f"""
+def _balanced_sql(source: str, keys: list[str]) -> dict[str, str]:
+    """Oracle tables: rows of every outcome down to the rarest one, then split by time at 70 %."""
+    name = source[0]
+    draw = f"md5(concat_ws(':', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)}, '{SEED}'))"
+    balanced = f"""
     SELECT * EXCLUDE (h, r, cut) FROM (
       SELECT *, max(CASE WHEN r = smallest THEN h END) OVER (PARTITION BY outcome) AS cut FROM (
-        SELECT *, {_HASH} AS h, row_number() OVER (PARTITION BY outcome ORDER BY {_HASH}) AS r,
-          (SELECT min(n) FROM (SELECT count(*) AS n FROM b_outcome GROUP BY outcome)) AS smallest FROM b_outcome))
+        SELECT *, {draw} AS h, row_number() OVER (PARTITION BY outcome ORDER BY {draw}) AS r,
+          (SELECT min(n) FROM (SELECT count(*) AS n FROM {source} GROUP BY outcome)) AS smallest FROM {source}))
     WHERE h <= cut"""
-TABLES["b_split"] = f"""
+    split = f"""
     SELECT * EXCLUDE (h, r, cut), h <= max(CASE WHEN r = cut THEN h END) OVER () AS is_train FROM (
-      SELECT *, CAST(date AS VARCHAR) || ':' || {_HASH} AS h,
-        row_number() OVER (ORDER BY CAST(date AS VARCHAR) || ':' || {_HASH}) AS r,
-        round_even(count(*) OVER () * 0.7, 0) AS cut FROM b_balanced)"""
+      SELECT *, CAST(date AS VARCHAR) || ':' || {draw} AS h,
+        row_number() OVER (ORDER BY CAST(date AS VARCHAR) || ':' || {draw}) AS r,
+        round_even(count(*) OVER () * 0.7, 0) AS cut FROM {name}_balanced)"""
+    return {f"{name}_balanced": balanced, f"{name}_split": split}
+
+
+TABLES.update(_balanced_sql("b_outcome", _KEYS))
 
 
 @query(
@@ -320,3 +331,61 @@ def model_registry(spark, sf):
     row = training.registry_row(spark, model, SPECS["b"], {"model_type": "conversion", "window_days": BROWSER_WINDOW, "train_date": day})
     names = F.json_object_keys("importances__numeric_columns")
     return row.select("model_type", "window_days", "train_date", F.size(names).cast("long").alias("n_numeric"))
+
+
+# ---- the user level: profiles come from the store ----------------------------------------------
+_USER_KEYS = ["user_id", "date", "outcome_date", "outcome"]
+#: The first day written by the newer pipeline version, and the period of outcomes to learn from.
+NEWER, OUTCOMES = "2024-01-15", ("2024-01-20", "2024-02-20")
+TABLES["u_retrieved"] = f"""
+    SELECT user_id, date, outcome_date, outcome FROM u_full WHERE outcome_date <= DATE '{OUTCOMES[1]}'
+    AND (outcome_date >= DATE '{OUTCOMES[0]}' OR outcome = 'churn') AND outcome IS NOT NULL"""
+TABLES.update(_balanced_sql("u_retrieved", _USER_KEYS))
+
+
+def user_model_rows(spark, sf):
+    """Profiles of two pipeline versions, the older without device brands, read back for training.
+
+    All churns of the past are kept next to the period, then outcomes are balanced and split by time.
+    """
+    newer = user_store(spark)
+    older = replace(newer, version="1.00", spec=FeatureSpec("user"))
+    rows = sinks.stored(user_rows(spark, sf, FIRST_DAY, LAST_DAY), scratch_dir(spark, "user_rows"))
+    older.write(rows.where(F.col("date") < F.lit(NEWER).cast("date")), FIRST_DAY, "2024-01-14")
+    newer.write(rows.where(F.col("date") >= F.lit(NEWER).cast("date")), NEWER, LAST_DAY)
+    found = newer.profiles(*OUTCOMES, history_labels=labels_of(CHURN_LABELS, "negative"))
+    found = context.with_context(found.where(F.col("outcome").isNotNull()), publisher_context(spark, sf))
+    prepared = sinks.stored(training.prepare(found, newer.spec), scratch_dir(spark, "prepared"))
+    balanced = sampling.undersample(prepared, "outcome", _USER_KEYS, SEED)
+    return sinks.stored(sampling.time_split(balanced, _USER_KEYS, 0.7), scratch_dir(spark, "balanced")), newer.spec
+
+
+@query(
+    "churn_train_predict",
+    """SELECT user_id, date, outcome_date, outcome, is_train, 1.0::DOUBLE AS probability_sum, TRUE AS is_most_likely,
+    TRUE AS beats_constant FROM u_split""",
+)
+def churn_train_predict(spark, sf):
+    """The churn model from stored profiles: retrieved, unpacked, fitted, stored, loaded, applied.
+
+    ``beats_constant`` tells whether the model is right on more of its training rows than any
+    constant answer would be, by a fifth at least.
+    """
+    rows, spec = user_model_rows(spark, sf)
+    fitted = training.train(
+        rows.where("is_train"), spec.numeric_features(context=True), spec.categorical_features(), spec.bool_features()
+    )
+    folder = scratch_dir(spark, "churn_model")
+    fitted.save(folder)
+    model = training.OutcomeModel.load(spark, folder)
+    found = sinks.stored(training.predict(model, rows, [*_USER_KEYS, "is_train"]), scratch_dir(spark, "churn_predictions"))
+    right = F.avg((F.col("outcome") == F.col("predicted_outcome")).cast("double"))
+    learned = found.where("is_train")
+    share = learned.groupBy("outcome").count().agg((F.max("count") / F.sum("count")).alias("share"))
+    beats = learned.agg(right.alias("right")).first()[0] > 1.2 * share.first()[0]
+    chances = [F.col(f"{label}_probability") for label in model.labels]
+    own = F.coalesce(*[F.when(F.col("predicted_outcome") == label, c) for label, c in zip(model.labels, chances)])
+    return found.select(
+        *_USER_KEYS, "is_train", F.round(sum(chances[1:], chances[0]), 6).alias("probability_sum"),
+        (own >= F.array_max(F.array(*chances))).alias("is_most_likely"), F.lit(beats).alias("beats_constant"),
+    )

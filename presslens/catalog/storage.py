@@ -134,20 +134,31 @@ def idempotent_write(spark, sf):
 # ---- profiles ----------------------------------------------------------------------------------
 VERSION = "1.01"
 WINDOW = 7
-_SHOWN = ("pageviews_avg", "visit_avg", "timespent_avg", "days_active_count", "days_since_last_active",
-          "pageviews_per_visit_avg", "desktop_device_avg")
-_VARIANTS = ("pageviews_avg_first_window_half", "visit_avg_last_window_half",
-             "relative_timespent_avg_change_first_and_second_half")
-_PIVOTS = ("referer_mediums_direct_avg", "categories__avg", "categories_rodina_a_vztahy_avg")
-_NUMBERS = (*_SHOWN, *_VARIANTS, *_PIVOTS, "dow_0_avg", "pvs_4h_8h_avg", "shared_account_logins_past_30_days")
-_SQL_NUMBERS = {
-    "desktop_device_avg": "0.0::DOUBLE",
-    "shared_account_logins_past_30_days": "coalesce(c.shared_account_logins_past_30_days, 0)::DOUBLE",
-    "days_since_last_active": "o.days_since_last_active::DOUBLE",
-}
+def _stored_sql(spec, present: set[str]) -> str:
+    """Every stored column of a level as it comes back: numbers, or texts with the default of their set."""
+    cells = {"0.0": "round(coalesce(CAST({c} AS DOUBLE), 0.0), 6)", "False": "coalesce(CAST({c} AS VARCHAR), 'False')", "": "coalesce(CAST({c} AS VARCHAR), '')"}
+    absent = {"0.0": "0.0::DOUBLE", "False": "'False'", "": "''"}
+    return ", ".join(
+        f"{(cells[default].format(c=c) if c in present else absent[default])} AS {c}"
+        for default, names in spec.feature_sets().values()
+        for c in names
+    )
+
+
+def _profile_columns(spec) -> set[str]:
+    """Columns that a computed profile of a level has."""
+    stems = spec.windowed_stems()
+    own = {"day_of_week", "is_active_on_date", "days_since_last_active", *spec.device_columns(), *spec.categorical_columns(), *spec.bool_columns()}
+    return own | {f"{stem}{s}" for stem in stems for s in WINDOW_SUFFIXES} | set(map(change_column, stems))
+
+
+def _feature_names(spec) -> list[str]:
+    return [c for _, names in spec.feature_sets().values() for c in names]
+
+
 TABLES["b_stored"] = f"""
-    SELECT o.browser_id, o.date, o.outcome, o.outcome_date, o.device, o.day_of_week, o.is_desktop,
-      {', '.join(f'{_SQL_NUMBERS.get(c, f"coalesce(o.{c}, 0.0)")} AS {c}' for c in _NUMBERS)}
+    SELECT o.browser_id, o.date, o.outcome, o.outcome_date,
+      {_stored_sql(SPECS["b"], _profile_columns(SPECS["b"]) | {"shared_account_logins_past_30_days"})}
     FROM b_outcome o LEFT JOIN login_counts c ON o.browser_id = c.browser_id AND o.date = c.date"""
 
 
@@ -158,21 +169,22 @@ def packed_profiles(spark, sf):
     return packing.pack_features(rows, SPECS["b"], WINDOW, VERSION, created)
 
 
-def _shown(unpacked):
-    text = ("browser_id", "date", "outcome", "outcome_date", "device", "day_of_week")
-    flag = (F.lower("is_desktop") == "true").alias("is_desktop")
-    return rounded(unpacked.select(*text, flag, *_NUMBERS))
+def _shown(unpacked, spec=SPECS["b"]):
+    return rounded(unpacked.select(spec.id_column, "date", "outcome", "outcome_date", *_feature_names(spec)))
+
+
+_PACKED = SPECS["b"].numeric_columns()
 
 
 @query(
     "pack_features",
     f"""SELECT browser_id, date, outcome, outcome_date, '{VERSION}' AS pipeline_version, {WINDOW} AS window_days,
-    'avg' AS feature_aggregation_functions, device, {', '.join(_SHOWN)} FROM b_stored""",
+    'avg' AS feature_aggregation_functions, device, {', '.join(_PACKED)} FROM b_stored""",
 )
 def pack_features(spark, sf):
     packed = packed_profiles(spark, sf)
     numbers = [
-        F.get_json_object("features__numeric_columns", f"$.{c}").cast("double").alias(c) for c in _SHOWN
+        F.get_json_object("features__numeric_columns", f"$.{c}").cast("double").alias(c) for c in _PACKED
     ]
     return rounded(
         packed.select(
@@ -246,26 +258,11 @@ def latest_profile(spark, sf):
 USER_VERSION = "2.00"
 
 
-def _stored_sql(spec, present: set[str]) -> str:
-    """Every stored column of a level as it comes back: numbers, or texts with the default of their set."""
-    cells = {"0.0": "round(coalesce(CAST({c} AS DOUBLE), 0.0), 6)", "False": "coalesce(CAST({c} AS VARCHAR), 'False')", "": "coalesce(CAST({c} AS VARCHAR), '')"}
-    absent = {"0.0": "0.0::DOUBLE", "False": "'False'", "": "''"}
-    return ", ".join(
-        f"{(cells[default].format(c=c) if c in present else absent[default])} AS {c}"
-        for default, names in spec.feature_sets().values()
-        for c in names
-    )
-
-
 _HISTORY_COLUMNS = {*STAT_COLUMNS, *PAIR_COLUMNS, *DIFF_COLUMNS}
-_PROFILE_COLUMNS = {
-    "day_of_week", "is_active_on_date", "days_since_last_active", *SPECS["u"].device_columns(),
-    *[f"{stem}{s}" for stem in SPECS["u"].windowed_stems() for s in WINDOW_SUFFIXES], *map(change_column, SPECS["u"].windowed_stems()),
-}
 TABLES["u_full"] = """SELECT s.* RENAME (as_of AS date), o.* EXCLUDE (user_id, date)
     FROM daily_sub_features s LEFT JOIN u_outcome o ON s.user_id = o.user_id AND s.as_of = o.date"""
 TABLES["u_stored"] = f"""SELECT user_id, date, outcome, outcome_date,
-    {_stored_sql(SPECS["u"], _HISTORY_COLUMNS | _PROFILE_COLUMNS)} FROM u_full"""
+    {_stored_sql(SPECS["u"], _HISTORY_COLUMNS | _profile_columns(SPECS["u"]))} FROM u_full"""
 
 
 def user_store(spark, version=USER_VERSION):
@@ -284,6 +281,4 @@ def user_backfill(spark, sf):
     store.backfill(build, FIRST_DAY, last - dt.timedelta(1))
     if store.backfill(build, FIRST_DAY, LAST_DAY) != [(last, last)]:
         raise RuntimeError("the resumed run built more than the missing day")
-    rows = packing.unpack_features(store.read(), store.spec)
-    names = [c for _, columns in store.spec.feature_sets().values() for c in columns]
-    return rounded(rows.select("user_id", "date", "outcome", "outcome_date", *names))
+    return _shown(packing.unpack_features(store.read(), store.spec), store.spec)
