@@ -51,20 +51,28 @@ def param_query(spark, sf):
 def incremental_sync(spark, sf):
     """The stored target holds the first years; the sync appends everything newer up to the last day."""
     source, path = load(spark, sf, "fx_subscriptions"), scratch_dir(spark, "synced")
-    sinks.sync_stored(source, path, "2021-06-30")
-    return sinks.sync_stored(source, path, LAST_DAY)
+    sinks.sync_stored(source.where("id % 2 = 0"), path, "2021-06-30", ids=["id"])
+    # Half of the rows were late; those of the mark's day arrive with the next run, once.
+    late = source.where(F.to_date("created_at") < F.lit("2021-06-30").cast("date")).where("id % 2 = 1")
+    sinks.append(late, path)
+    return sinks.sync_stored(source, path, LAST_DAY, ids=["id"])
 
 
-@query("prediction_tables", """SELECT browser_id, date, count(*) AS n_predictions, 1::BIGINT AS n_stored
+@query("prediction_tables", """SELECT browser_id, date, count(*) AS n_predictions, 1::BIGINT AS n_stored,
+    arg_max(event_id, (created_at, event_id)) AS event_id, arg_max(predicted_outcome, (created_at, event_id)) AS predicted_outcome
     FROM fx_predictions GROUP BY 1, 2""")
 def prediction_tables(spark, sf):
-    """The log takes every prediction; the table with a unique index takes one per browser and day, twice offered."""
-    rows = load(spark, sf, "fx_predictions").select("browser_id", "date", "predicted_outcome", "model_version")
+    """The log takes every prediction; the table with a unique index keeps the newest per browser and day, twice offered."""
+    rows = load(spark, sf, "fx_predictions").select("browser_id", "date", "predicted_outcome", "model_version", "created_at", "event_id")
     log, table = scratch_dir(spark, "predictions_log"), scratch_dir(spark, "predictions")
     sinks.append(rows, log)
     keys = ["browser_id", "date"]
-    sinks.append_unique(rows, table, keys)
-    held = sinks.append_unique(rows, table, keys).groupBy(*keys).agg(F.count("*").alias("n_stored"))
+    newest = ["created_at", "event_id"]
+    sinks.upsert(rows.where("event_id % 2 = 0"), table, keys, newest, ["date"])
+    sinks.upsert(rows, table, keys, newest, ["date"])
+    held = sinks.upsert(rows, table, keys, newest, ["date"]).groupBy(*keys).agg(
+        F.count("*").alias("n_stored"), F.max("event_id").alias("event_id"), F.max("predicted_outcome").alias("predicted_outcome")
+    )
     return spark.read.parquet(log).groupBy(*keys).agg(F.count("*").alias("n_predictions")).join(held, keys)
 
 

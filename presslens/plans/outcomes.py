@@ -13,6 +13,7 @@ from presslens.functions.labels import (
     CONVERSION_LABELS,
     labels_of,
 )
+from presslens.functions.text import name
 from presslens.operators.joins import range_left_join
 from presslens.operators.ordered import next_distinct, time_block
 
@@ -99,10 +100,10 @@ def churn_outcome(
         features, churn_labels(events), ["user_id"], "date", "event_date", lookahead, within
     )
     kept = [c for c in features.columns if c != "outcome_date"]
-    return pairs.select(
-        *[F.col(f"l.{c}").alias(c) for c in kept],
-        F.col("r.outcome").alias("outcome"),
-        F.coalesce("r.event_date", "l.outcome_date").alias("outcome_date"),
+    return pairs.selectExpr(
+        *[f"l.{name(c)} AS {name(c)}" for c in kept],
+        "r.outcome AS outcome",
+        "coalesce(r.event_date, l.outcome_date) AS outcome_date",
     )
 
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from presslens.functions.text import name, text
 from presslens.operators.latest import ranked
 from presslens.spec import FeatureSpec
 
@@ -28,13 +28,14 @@ def pack_features(
     """
     present = set(df.columns)
 
-    def text(name: str, default: str) -> Column:
-        if name not in present:
-            return F.lit(default).alias(name)
-        return F.coalesce(F.col(name).cast("string"), F.lit(default)).alias(name)
+    # SQL text: hundreds of column objects take longer to make than the rows to pack.
+    def cell(column: str, default: str) -> str:
+        if column not in present:
+            return f"{text(column)}, {text(default)}"
+        return f"{text(column)}, coalesce(CAST({name(column)} AS STRING), {text(default)})"
 
     packed = [
-        F.to_json(F.struct(*[text(n, default) for n in names])).alias(f"features__{set_name}")
+        F.expr(f"to_json(named_struct({', '.join(cell(n, default) for n in names)}))").alias(f"features__{set_name}")
         for set_name, (default, names) in spec.feature_sets().items()
         if names
     ]
@@ -57,27 +58,17 @@ def unpack_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     sets = spec.feature_sets()
     stored = {f"features__{n}": (default, names) for n, (default, names) in sets.items() if names}
     kept = [c for c in df.columns if c not in stored]
-    parsed = df.select(
-        *kept,
-        *[
-            F.from_json(F.col(c), T.StructType([T.StructField(n, T.StringType()) for n in names])).alias(c)
-            for c, (_, names) in stored.items()
-            if c in df.columns
-        ],
-    )
+    found = [c for c in stored if c in df.columns]
+    fields = {c: ", ".join(f"{name(n)} STRING" for n in stored[c][1]) for c in found}
+    parsed = df.selectExpr(*map(name, kept), *[f"from_json({name(c)}, {text(fields[c])}) AS {name(c)}" for c in found])
 
-    def field(column: str, name: str, default: str) -> Column:
-        value = F.col(f"{column}.`{name}`") if column in df.columns else F.lit(None).cast("string")
-        if default == "0.0":
-            return F.coalesce(value.try_cast("double"), F.lit(0.0)).alias(name)
-        return F.coalesce(value, F.lit(default)).alias(name)
+    def field(column: str, feature: str, default: str) -> str:
+        value = f"{name(column)}.{name(feature)}" if column in found else "CAST(NULL AS STRING)"
+        cell = f"coalesce(try_cast({value} AS DOUBLE), 0.0D)" if default == "0.0" else f"coalesce({value}, {text(default)})"
+        return f"{cell} AS {name(feature)}"
 
-    columns = [
-        field(column, name, default)
-        for column, (default, names) in stored.items()
-        for name in names
-    ]
-    return parsed.select(*kept, *columns)
+    columns = [field(column, n, default) for column, (default, names) in stored.items() for n in names]
+    return parsed.selectExpr(*map(name, kept), *columns)
 
 
 def retrieve_profiles(

@@ -404,4 +404,4 @@ def _tidy(df: DataFrame, spec: FeatureSpec, extra: Sequence[str]) -> DataFrame:
     features = [f"{stem}{suffix}" for stem in spec.windowed_stems() for suffix in WINDOW_SUFFIXES]
     features += [change_column(stem) for stem in spec.windowed_stems()]
     sums = [c for c in df.columns if c.endswith(("_device_sum", "_device_brand_sum"))]
-    return df.select(*head, "days_since_last_active", *sums, *features)
+    return df.selectExpr(*map(name, [*head, "days_since_last_active", *sums, *features]))

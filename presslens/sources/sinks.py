@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.plans.packing import PROFILE_KEYS
+from presslens.session import scratch_dir
 
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str], rebalance: bool = True) -> int:
@@ -105,22 +106,28 @@ def incremental_sync(
 
 
 def sync_stored(
-    source: DataFrame, path: str, max_date: dt.date | str, column: str = "created_at", by_day: bool = True
-) -> DataFrame:
+    source: DataFrame, path: str, max_date: dt.date | str, column: str = "created_at", by_day: bool = True,
+    ids: Sequence[str] | None = None,
+) -> DataFrame:
     """Append what is newer than the stored target at ``path`` and return the target as read back.
 
-    The first run writes everything.  The mark is the newest day of the target, as in the daily
-    job; rows that are created later on that day are missed then.  With ``by_day=False`` the mark
-    is the newest time itself and such rows arrive with the next run.
+    The first run writes everything.  With ``ids``, a unique key of the rows, the mark is the newest day of the
+    target *with the ids it has of that day*: rows that were created later on that day arrive
+    with the next run, once.  Only that day is compared, whatever the size of the target.  Without
+    ``ids`` the mark is the day alone, and such rows are missed; with ``by_day=False`` it is the
+    newest time itself, and rows with an earlier time that arrive late are missed.
     """
     spark = source.sparkSession
     target = spark.read.parquet(path) if exists(spark, path) else None
-    if by_day or target is None:
-        fresh = incremental_rows(source, target, max_date, column)
-    else:
-        mark = high_water_mark(target, column)
-        fresh = source.where(F.to_date(column) <= F.lit(str(max_date)).cast("date"))
-        fresh = fresh if mark is None else fresh.where(F.col(column) > F.lit(mark))
+    mark = high_water_mark(target, column)
+    fresh = incremental_rows(source, target, max_date, column)
+    if not by_day and mark is not None:
+        fresh = source.where((F.to_date(column) <= F.lit(str(max_date)).cast("date")) & (F.col(column) > F.lit(mark)))
+    elif ids and mark is not None:
+        day = F.lit(str(mark.date() if isinstance(mark, dt.datetime) else mark)).cast("date")
+        of_day = (F.to_date(column) == day) & (day <= F.lit(str(max_date)).cast("date"))
+        held = target.where(F.to_date(column) == day).select(*ids)
+        fresh = fresh.unionByName(source.where(of_day).join(held, list(ids), "left_anti").select(*fresh.columns))
     append(fresh, path)
     return spark.read.parquet(path)
 
@@ -157,9 +164,9 @@ def drop_expired(spark: SparkSession, path: str, today: dt.date | str, days: int
     return sorted(gone)
 
 
-def append_unique(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+def append_unique(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
     """Append rows to a table with a unique index: keys that are stored already are left out."""
-    rows, spark = unique_rows(df, keys), df.sparkSession
+    rows, spark = unique_rows(df, keys, newest), df.sparkSession
     if exists(spark, path):
         stored_keys = spark.read.parquet(path).select(*keys)
         rows = rows.join(stored_keys, list(keys), "left_anti").select(*df.columns)
@@ -167,14 +174,41 @@ def append_unique(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def upsert(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Merge rows into a table with a unique index: of a key's rows, old and new, the newest is kept.
+
+    ``newest`` orders the rows of a key, whole rows break its ties, so the stored row does not depend on
+    partitioning and a re-run changes nothing.  The columns ``by`` are part of the key; only
+    the partitions that occur in ``df`` are read and rewritten, through a copy in the scratch folder.
+    """
+    if not set(by) <= set(keys):
+        raise ValueError(f"partition columns {by} have to be part of the key {keys}")
+    spark = df.sparkSession
+    rows = df
+    if exists(spark, path):
+        touched = df.select(*by).distinct()
+        rows = rows.unionByName(spark.read.parquet(path).join(touched, list(by), "left_semi").select(*df.columns))
+    merged = stored(unique_rows(rows, keys, newest), scratch_dir(spark, "merged"))
+    write_partitions(merged, path, by)
+    return spark.read.parquet(path)
+
+
 def retained(df: DataFrame, today: dt.date | str, days: int = 365, column: str = "date") -> DataFrame:
     """Rows of day partitions that have not expired."""
     return df.where(F.col(column) >= F.date_sub(F.lit(str(today)).cast("date"), days))
 
 
-def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, for tables with a unique index."""
-    return df.dropDuplicates(list(keys))
+def unique_rows(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """One row per key, for tables with a unique index: the last by ``newest``, ties by the whole row.
+
+    An aggregate, so a key with many rows is combined before the shuffle.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    order = F.struct(*newest, *[F.col(c) for c in rest if c not in newest])
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+    return picked.select(*[c if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
