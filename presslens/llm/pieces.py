@@ -1,11 +1,14 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
 Segmentation merges pairs of the best score first, from an agenda.  With dropout a candidate
-merge that comes up is skipped when a keyed hash of its place falls below ``dropout``, which gives
-other, equally valid segmentations of the same text.  The key is made of the seed, the chunk and one of ``variants``
-numbers that a hash of (seed, document, chunk number) picks for every occurrence; so an
-occurrence always gets the same pieces again, on any partitioning, and a chunk that was seen
-before with the same number is looked up.
+merge that comes up is skipped when a keyed hash of it falls below ``dropout``, which gives
+other, equally valid segmentations of the same text.  The key is made of the seed, the document and the
+number of the chunk in it, and the candidate adds its place in the chunk and its length; so every
+occurrence of a word draws for itself, and always gets the same pieces again, on any partitioning.
+
+The merges of a chunk without dropout are remembered.  An occurrence that skips none of them has the
+remembered pieces, as what is not merged in the end does not matter; all other occurrences run
+their own agenda, side by side.
 
 Chunks are a run of blanks with the text up to the next blank: no piece goes on after it.
 Characters that no longer piece contains are cut off as well.
@@ -105,8 +108,11 @@ def _skipped(key: np.ndarray, place: np.ndarray, size: np.ndarray, limit: int) -
 _NEVER = np.int64(1 << 62)
 
 
-def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
-    """Packed ids of every chunk after all merges of its agenda.
+Merges = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> tuple[list[bytes], Merges]:
+    """Packed ids of every chunk after all merges of its agenda, and the merges (chunk, place, length).
 
     The chunks go side by side: in each turn every chunk merges its best candidate, the leftmost of
     the best score.  Whether a candidate is skipped depends only on the key of the chunk and its
@@ -142,6 +148,7 @@ def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> l
         target[at] = pieces.pair_symbol[found]
 
     look(slot)
+    done: list[tuple[np.ndarray, np.ndarray]] = []
     active = np.arange(len(chunks))
     where, bounds = slot, starts  # slots of the chunks that still merge, and where each of them begins
     while len(active):
@@ -161,6 +168,7 @@ def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> l
         gone = after[left]
         symbol[left] = target[left]
         size[left] += size[gone]
+        done.append((left, size[left]))
         alive[gone], best[gone] = False, _NEVER
         after[left] = after[gone]
         follows = after[left]
@@ -182,65 +190,101 @@ def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> l
             ids[k : k + len(x)] = x
     ends = np.cumsum(np.bincount(chunk[held], many, len(chunks)).astype(np.int64)) * 4
     packed = ids.astype("<i4").tobytes()
-    return [packed[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist())]
+    at, length = (np.concatenate([d[k] for d in done] or [np.empty(0, np.int64)]) for k in (0, 1))
+    return [packed[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist())], (chunk[at], at - starts[chunk[at]], length)
 
 
-class Coder:
-    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = 0, variants: int = 4):
-        self.pieces, self.seed, self.variants = pieces, seed, variants if dropout else 1
-        self.limit = min(_M, int(dropout * 2**64))
-        self.known: dict[tuple[int, str], bytes] = {}
+class _Known:
+    """Pieces and merges of chunks without dropout."""
 
-    def _learn(self, wanted: list[tuple[int, str]]) -> None:
-        """Packed ids of chunks that are not known yet."""
-        keys = [xxhash.xxh64_intdigest(c.encode(), (self.seed * 0x9E3779B97F4A7C15 + v) & _M) for v, c in wanted]
+    def __init__(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.packed: list[bytes] = []
+        self.starts = np.zeros(1, np.int64)
+        self.places = self.lengths = np.empty(0, np.int64)
+
+    def learn(self, pieces: Pieces, chunks: list[str]) -> None:
         # U+2581 in a text is no blank; such a chunk stands alone.
-        plain = [k for k, (_, c) in enumerate(wanted) if c != BLANK]
-        found = merged(self.pieces, [wanted[k][1] for k in plain], np.array([keys[k] for k in plain], np.uint64), self.limit) if plain else []
-        for k, ids in zip(plain, found):
-            self.known[wanted[k]] = ids
-        for key in wanted:
-            if key[1] == BLANK:
-                self.known[key] = np.array([self.pieces.bytes[b] for b in BLANK.encode()], "<i4").tobytes()
-
-    def _places(self, doc_key: int, start: int, n: int) -> list[int]:
-        """Variant of the chunks ``start`` to ``start + n`` of a document."""
-        if self.variants == 1:
-            return [0] * n
-        place = np.arange(start, start + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        place += np.uint64((doc_key ^ self.seed * 0xD6E8FEB86659FD93) & _M)
-        place ^= place >> np.uint64(31)
-        place *= np.uint64(0xBF58476D1CE4E5B9)
-        place ^= place >> np.uint64(29)
-        return (place % np.uint64(self.variants)).tolist()
+        plain = [c for c in chunks if c != BLANK]
+        packed, (chunk, place, length) = merged(pieces, plain, np.zeros(len(plain), np.uint64), 0) if plain else ([], (np.empty(0, np.int64),) * 3)
+        counts = np.bincount(chunk, minlength=len(plain))
+        if len(plain) < len(chunks):
+            plain, counts = [*plain, BLANK], np.r_[counts, 0]
+            packed = [*packed, np.array([pieces.bytes[b] for b in BLANK.encode()], "<i4").tobytes()]
+        order = np.argsort(chunk, kind="stable")
+        self.places, self.lengths = np.r_[self.places, place[order]], np.r_[self.lengths, length[order]]
+        self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(counts)]
+        self.slots.update(zip(plain, range(len(self.packed), len(self.packed) + len(plain))))
+        self.packed += packed
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Finalised 64-bit hashes."""
+    values = (values ^ values >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ values >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return values ^ values >> np.uint64(31)
+
+
+class Coder:
+    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = 0):
+        self.pieces, self.seed = pieces, seed
+        self.limit = min(_M, int(dropout * 2**64))
+        self.known = _Known()
+
+    def keys(self, doc_key: int, start: int, n: int) -> np.ndarray:
+        """Keys of the chunks ``start`` to ``start + n`` of a document."""
+        base = xxhash.xxh64_intdigest((doc_key & _M).to_bytes(8, "little"), self.seed & _M)
+        return _mixed(np.uint64(base) + np.arange(start + 1, start + n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+    def _segmented(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
+        """Packed ids of occurrences of chunks."""
+        if len(self.known.slots) > REMEMBERED:
+            self.known = _Known()
+        known = self.known
+        missing = set(chunks) - known.slots.keys()
+        if missing:
+            known.learn(self.pieces, sorted(missing))
+        slots = np.fromiter(map(known.slots.__getitem__, chunks), np.int64, len(chunks))
+        out = [known.packed[s] for s in slots.tolist()]
+        if not self.limit:
+            return out
+        many = known.starts[slots + 1] - known.starts[slots]
+        occurrence = np.repeat(np.arange(len(chunks)), many)
+        merge = np.arange(many.sum()) + np.repeat(known.starts[slots] - np.cumsum(many) + many, many)
+        skipped = _skipped(keys[occurrence], known.places[merge], known.lengths[merge], self.limit)
+        other = np.unique(occurrence[skipped])
+        if len(other):
+            own, _ = merged(self.pieces, [chunks[k] for k in other.tolist()], keys[other], self.limit)
+            for k, ids in zip(other.tolist(), own):
+                out[k] = ids
+        return out
 
     def encode_many(self, texts: list[str | None], doc_keys: list[int]) -> list[bytes | None]:
         """Ids of texts as packed 32-bit numbers; a slice of bounded size is looked at at a time."""
         out: list[list[bytes] | None] = [None if t is None else [] for t in texts]
-        held: list[tuple[int, list[tuple[int, str]]]] = []
-        waiting = 0
+        held: list[tuple[int, int]] = []
+        chunks: list[str] = []
+        keys: list[np.ndarray] = []
 
         def flush() -> None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            missing = set().union(*(chunks for _, chunks in held)) - self.known.keys()
-            if missing:
-                self._learn(list(missing))
-            known = self.known
-            for k, chunks in held:
-                out[k].append(b"".join([known[c] for c in chunks]))
-            held.clear()
+            if chunks:
+                found, at = self._segmented(chunks, np.concatenate(keys)), 0
+                for k, n in held:
+                    out[k].append(b"".join(found[at : at + n]))
+                    at += n
+            for x in (held, chunks, keys):
+                x.clear()
 
         for k, (text, doc_key) in enumerate(zip(texts, doc_keys)):
             count = 0
             for part in sliced(" " + text) if text else ():
                 found = self.pieces.chunks(part)
-                held.append((k, list(zip(self._places(doc_key, count, len(found)), found))))
+                held.append((k, len(found)))
+                chunks += found
+                keys.append(self.keys(doc_key, count, len(found)))
                 count += len(found)
-                waiting += len(found)
-                if waiting >= CHUNKS_AT_ONCE:
+                if len(chunks) >= CHUNKS_AT_ONCE:
                     flush()
-                    waiting = 0
         flush()
         return [None if parts is None else b"".join(parts) for parts in out]
 
@@ -268,18 +312,18 @@ def sliced(text: str, size: int = 1_000_000) -> Iterator[str]:
 _CODERS: dict[tuple, Coder] = {}
 
 
-def _coder(shared, dropout: float, seed: int, variants: int) -> Coder:
+def _coder(shared, dropout: float, seed: int) -> Coder:
     """One coder per worker and setting, so that chunks stay known from task to task."""
     pieces = shared.value
-    key = (id(pieces), dropout, seed, variants)
+    key = (id(pieces), dropout, seed)
     if key not in _CODERS:
         _CODERS.clear()
-        _CODERS[key] = Coder(pieces, dropout, seed, variants)
+        _CODERS[key] = Coder(pieces, dropout, seed)
     return _CODERS[key]
 
 
 def encoded(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dropout: float = 0.1, seed: int = 17, variants: int = 4,
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dropout: float = 0.1, seed: int = 17,
     model: str = DEFAULT_MODEL, digest: bool = False,
 ) -> DataFrame:
     """doc_id, pieces (ids), n_pieces and lossless (the pieces decode to the very text) for every row.
@@ -292,7 +336,7 @@ def encoded(
     sha = lambda data: hashlib.sha256(data).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shared, dropout, seed, variants)
+        coder = _coder(shared, dropout, seed)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(at, ROWS_OUT)
@@ -321,7 +365,7 @@ def decoded(rows: DataFrame, pieces: str = "pieces", model: str = DEFAULT_MODEL)
     shared = rows.sparkSession.sparkContext.broadcast(Pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shared, 0.0, 0, 1)
+        coder = _coder(shared, 0.0, 0)
         for batch in batches:
             ids = batch.column("ids").to_pylist()
             texts = [None if i is None else coder.decode(np.array(i, "<i4").tobytes()) for i in ids]

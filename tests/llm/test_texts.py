@@ -285,7 +285,7 @@ def test_dropout_agenda_matches_one_at_a_time(model):
     keys = np.array([rng.getrandbits(64) for _ in chunks], np.uint64)
     for dropout in (0.0, 0.1, 0.5, 0.999):
         limit = int(dropout * 2**64)
-        for chunk, key, packed in zip(chunks, keys.tolist(), pieces.merged(model, chunks, keys, limit)):
+        for chunk, key, packed in zip(chunks, keys.tolist(), pieces.merged(model, chunks, keys, limit)[0]):
             want = [i for s in slow_agenda(model, chunk, key, limit) for i in ([model.ids[s]] if s in model.ids else [model.bytes[b] for b in s.encode()])]
             assert np.frombuffer(packed, "<i4").tolist() == want
 
@@ -316,3 +316,30 @@ def test_long_texts_are_coded_in_slices(model, monkeypatch):
     monkeypatch.setattr(pieces.sliced, "__defaults__", (100,))
     coder = pieces.Coder(model, 0.2, 3)
     assert coder.encode(text, 5) == whole and coder.decode(whole) == text and "".join(pieces.sliced(text)) == text
+
+
+def test_every_occurrence_draws_for_itself(model, monkeypatch):
+    """Repeated words in several documents and places, each by an agenda of its own and its own key."""
+    monkeypatch.setattr(pieces, "CHUNKS_AT_ONCE", 50)
+    rng = random.Random(12)
+    words = ["understanding", "international", "of", "a", "représentation", "日本語", "(e.g.)", "▁", "2024"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 40))) for _ in range(30)]
+    for dropout in (0.1, 0.5, 1.0):
+        coder = pieces.Coder(model, dropout, 7)
+        for text, packed, doc in zip(texts, coder.encode_many(texts, list(range(30))), range(30)):
+            want, chunks = [], model.chunks(" " + text)
+            for chunk, key in zip(chunks, coder.keys(doc, 0, len(chunks)).tolist()):
+                found = [pieces.BLANK] if chunk == pieces.BLANK else slow_agenda(model, chunk, key, coder.limit)
+                for s in found:
+                    want += [model.ids[s]] if s in model.ids and chunk != pieces.BLANK else [model.bytes[b] for b in s.encode()]
+            assert np.frombuffer(packed, "<i4").tolist() == want and coder.decode(packed) == text
+
+
+def test_segmentations_grow_with_occurrences(model):
+    coder = pieces.Coder(model, 0.1, 17)
+    seen = lambda n: len(set(coder._segmented([" understanding"] * n, coder.keys(1, 0, n))))
+    assert 4 < seen(100) < seen(1000) < seen(10_000)
+    whole = coder.known.packed[coder.known.slots[" understanding"]]
+    share = sum(x == whole for x in coder._segmented([" understanding"] * 10_000, coder.keys(2, 0, 10_000))) / 10_000
+    merges = coder.known.starts[1] - coder.known.starts[0]
+    assert 0.9**merges < share < 1  # no merge is skipped, or the skipped ones are made up for
