@@ -363,13 +363,13 @@ def user_model_rows(spark, sf):
 @query(
     "churn_train_predict",
     """SELECT user_id, date, outcome_date, outcome, is_train, 1.0::DOUBLE AS probability_sum, TRUE AS is_most_likely,
-    TRUE AS beats_constant FROM u_split""",
+    CASE WHEN count(*) FILTER (is_train) OVER () >= 20 THEN TRUE END AS beats_constant FROM u_split""",
 )
 def churn_train_predict(spark, sf):
     """The churn model from stored profiles: retrieved, unpacked, fitted, stored, loaded, applied.
 
     ``beats_constant`` tells whether the model is right on more of its training rows than any
-    constant answer would be, by a fifth at least.
+    constant answer would be, by a fifth at least; null below 20 training rows, which tell nothing.
     """
     rows, spec = user_model_rows(spark, sf)
     fitted = training.train(
@@ -382,10 +382,11 @@ def churn_train_predict(spark, sf):
     right = F.avg((F.col("outcome") == F.col("predicted_outcome")).cast("double"))
     learned = found.where("is_train")
     share = learned.groupBy("outcome").count().agg((F.max("count") / F.sum("count")).alias("share"))
-    beats = learned.agg(right.alias("right")).first()[0] > 1.2 * share.first()[0]
+    n, hit = learned.agg(F.count("*"), right).first()
+    beats = hit > 1.2 * share.first()[0] if n >= 20 else None
     chances = [F.col(f"{label}_probability") for label in model.labels]
     own = F.coalesce(*[F.when(F.col("predicted_outcome") == label, c) for label, c in zip(model.labels, chances)])
     return found.select(
         *_USER_KEYS, "is_train", F.round(sum(chances[1:], chances[0]), 6).alias("probability_sum"),
-        (own >= F.array_max(F.array(*chances))).alias("is_most_likely"), F.lit(beats).alias("beats_constant"),
+        (own >= F.array_max(F.array(*chances))).alias("is_most_likely"), F.lit(beats).cast("boolean").alias("beats_constant"),
     )

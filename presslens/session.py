@@ -43,8 +43,8 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one named by ``spark.checkpoint.dir``.
 
-    Without that setting the folder lies below ``spark.sql.warehouse.dir``, which executors and
-    driver share as well; a machine-local temporary folder is never used.
+    Without that setting the folder lies below ``spark.sql.warehouse.dir``.  On a cluster one of the
+    two has to name a folder that driver and executors share.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
