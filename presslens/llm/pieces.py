@@ -35,6 +35,8 @@ from presslens.llm.common import column, in_small_batches, whole_row
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 _M = (1 << 64) - 1
+#: Factor of the hash of a pair, odd.
+_FIRST = np.uint64(0x9E3779B97F4A7C15)
 #: Chunks a worker remembers, and chunks it looks up at once.
 REMEMBERED, CHUNKS_AT_ONCE = 300_000, 60_000
 _CUT = re.compile("(?<=[^ ]) ")
@@ -96,13 +98,54 @@ class Pieces:
         merges.sort()
         self.width = width
         self.pairs, self.pair_rank, self.pair_symbol = (np.array(x, np.int64) for x in zip(*merges))
+        self._place_pairs()
+
+    def _place_pairs(self, bits: int = 20) -> None:
+        """Two hash tables over the pairs; what meets another pair in the first one is in the second."""
+        self.shift = np.uint64(64 - bits)
+        keys = self.pairs.astype(np.uint64)
+        at = (keys * _FIRST) >> self.shift
+        self.first = np.zeros(1 << bits, np.int32)
+        self.first[at] = np.arange(len(keys))
+        others = np.flatnonzero(self.first[at] != np.arange(len(keys)))
+        self.shared = np.zeros(1 << bits, bool)
+        self.shared[at[others]] = True
+        factor = int(_FIRST)
+        while True:
+            factor = (5 * factor + 2) & _M
+            self.factor = np.uint64(factor)
+            spot = (keys[others] * self.factor) >> self.shift
+            if len(np.unique(spot)) == len(others):
+                break
+        self.second = np.zeros(1 << bits, np.int32)
+        self.second[spot] = others
+
+    def find(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of every pair of symbols among the merges, and whether it is one."""
+        keys = pair.astype(np.uint64)
+        spot = (keys * _FIRST) >> self.shift
+        found = self.first[spot]
+        good = self.pairs[found] == pair
+        again = np.flatnonzero(self.shared[spot] & ~good)
+        if len(again):
+            found[again] = self.second[(keys[again] * self.factor) >> self.shift]
+            good[again] = self.pairs[found[again]] == pair[again]
+        return found, good
+
+
+def _candidate(place: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Place and length of a candidate in one number."""
+    return place.astype(np.uint64) << np.uint64(32) | size.astype(np.uint64)
 
 
-def _skipped(key: np.ndarray, place: np.ndarray, size: np.ndarray, limit: int) -> np.ndarray:
+def _skipped(key: np.ndarray, candidate: np.ndarray, limit: int) -> np.ndarray:
     """Whether the keyed hash of a candidate falls below the limit."""
-    h = (key ^ (place.astype(np.uint64) << np.uint64(32) | size.astype(np.uint64))) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-    return (h ^ h >> np.uint64(32)) < np.uint64(limit)
+    h = key ^ candidate
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h < np.uint64(limit)
 
 
 _NEVER = np.int64(1 << 62)
@@ -130,7 +173,8 @@ def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> t
     before = np.where(slot > np.repeat(starts, lengths), slot - 1, -1)
     size, alive = np.ones(n, np.int64), np.ones(n, bool)
     best, target = np.full(n, _NEVER), np.zeros(n, np.int64)
-    keys = keys.astype(np.uint64)
+    key_of = np.repeat(keys.astype(np.uint64), lengths) if limit else None
+    place_of = slot - np.repeat(starts, lengths)
 
     def look(at: np.ndarray) -> None:
         """Candidates of the slots ``at`` with what follows them."""
@@ -140,11 +184,13 @@ def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> t
         best[at[~fits]] = _NEVER
         at, right = at[fits], right[fits]
         pair = symbol[at] * pieces.width + symbol[right]
-        found = np.minimum(np.searchsorted(pieces.pairs, pair), len(pieces.pairs) - 1)
-        good = pieces.pairs[found] == pair
+        found, good = pieces.find(pair)
+        best[at[~good]] = _NEVER
+        at, right, found = at[good], right[good], found[good]
+        rank = pieces.pair_rank[found] << 32 | at
         if limit:
-            good &= ~_skipped(keys[chunk[at]], at - starts[chunk[at]], size[at] + size[right], limit)
-        best[at] = np.where(good, pieces.pair_rank[found] << 32 | at, _NEVER)
+            rank[_skipped(key_of[at], _candidate(place_of[at], size[at] + size[right]), limit)] = _NEVER
+        best[at] = rank
         target[at] = pieces.pair_symbol[found]
 
     look(slot)
@@ -191,7 +237,7 @@ def merged(pieces: Pieces, chunks: list[str], keys: np.ndarray, limit: int) -> t
     ends = np.cumsum(np.bincount(chunk[held], many, len(chunks)).astype(np.int64)) * 4
     packed = ids.astype("<i4").tobytes()
     at, length = (np.concatenate([d[k] for d in done] or [np.empty(0, np.int64)]) for k in (0, 1))
-    return [packed[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist())], (chunk[at], at - starts[chunk[at]], length)
+    return [packed[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist())], (chunk[at], place_of[at], length)
 
 
 class _Known:
@@ -201,7 +247,7 @@ class _Known:
         self.slots: dict[str, int] = {}
         self.packed: list[bytes] = []
         self.starts = np.zeros(1, np.int64)
-        self.places = self.lengths = np.empty(0, np.int64)
+        self.candidates = np.empty(0, np.uint64)
 
     def learn(self, pieces: Pieces, chunks: list[str]) -> None:
         # U+2581 in a text is no blank; such a chunk stands alone.
@@ -212,7 +258,7 @@ class _Known:
             plain, counts = [*plain, BLANK], np.r_[counts, 0]
             packed = [*packed, np.array([pieces.bytes[b] for b in BLANK.encode()], "<i4").tobytes()]
         order = np.argsort(chunk, kind="stable")
-        self.places, self.lengths = np.r_[self.places, place[order]], np.r_[self.lengths, length[order]]
+        self.candidates = np.r_[self.candidates, _candidate(place[order], length[order])]
         self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(counts)]
         self.slots.update(zip(plain, range(len(self.packed), len(self.packed) + len(plain))))
         self.packed += packed
@@ -241,18 +287,24 @@ class Coder:
         if len(self.known.slots) > REMEMBERED:
             self.known = _Known()
         known = self.known
-        missing = set(chunks) - known.slots.keys()
-        if missing:
-            known.learn(self.pieces, sorted(missing))
-        slots = np.fromiter(map(known.slots.__getitem__, chunks), np.int64, len(chunks))
-        out = [known.packed[s] for s in slots.tolist()]
+        numbers = list(map(known.slots.get, chunks))
+        if None in numbers:
+            known.learn(self.pieces, sorted({c for c, s in zip(chunks, numbers) if s is None}))
+            numbers = list(map(known.slots.__getitem__, chunks))
+        out = list(map(known.packed.__getitem__, numbers))
         if not self.limit:
             return out
-        many = known.starts[slots + 1] - known.starts[slots]
-        occurrence = np.repeat(np.arange(len(chunks)), many)
-        merge = np.arange(many.sum()) + np.repeat(known.starts[slots] - np.cumsum(many) + many, many)
-        skipped = _skipped(keys[occurrence], known.places[merge], known.lengths[merge], self.limit)
-        other = np.unique(occurrence[skipped])
+        slots = np.array(numbers, np.int64)
+        begins = known.starts[slots]
+        many = known.starts[slots + 1] - begins
+        ends = np.cumsum(many)
+        merge = np.repeat(begins - ends + many, many)
+        merge += np.arange(len(merge))
+        skipped = np.flatnonzero(_skipped(np.repeat(keys, many), known.candidates[merge], self.limit))
+        # The occurrence that each skipped merge belongs to.
+        hit = np.zeros(len(chunks), bool)
+        hit[np.searchsorted(ends, skipped, "right")] = True
+        other = np.flatnonzero(hit)
         if len(other):
             own, _ = merged(self.pieces, [chunks[k] for k in other.tolist()], keys[other], self.limit)
             for k, ids in zip(other.tolist(), own):
