@@ -70,6 +70,32 @@ def test_removal_keeps_clean_texts(spark, nothing):
     assert decontaminate.decontaminate(nothing, bench).count() == 0 and decontaminate.contamination(nothing, bench).count() == 0
 
 
+def test_blocks_are_bounded(spark):
+    """Many items, one of them far longer than a block: no block is larger, and no window is lost."""
+    rng = random.Random(5)
+    make = lambda n: ",".join(rng.choice("abcdefgh") * rng.choice([1, 2]) for _ in range(n))
+    items = [(k, make(rng.randint(1, 40))) for k in range(200)] + [(900, make(1000)), (901, make(5) + " " + "w" * 1000 + " " + make(5))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    packed = decontaminate.blocks(bench, "item_id", "text", 6, 100).collect()
+    sizes = [sum(len(decontaminate.words_of(t)) for t in r.texts) for r in packed]
+    assert max(sizes) <= 100 and len(packed) < 2 * sum(sizes) / 100 + 8
+    windows = lambda rows: {(k, tuple(w[i : i + 6])) for k, t in rows for w in [decontaminate.words_of(t)] for i in range(max(1, len(w) - 5))}
+    assert windows((k, t) for r in packed for k, t in zip(r.ids, r.texts)) == windows(items)
+    assert list(decontaminate.pieces_of(None, 6, 100)) == list(decontaminate.pieces_of("?!", 6, 100)) == []
+
+
+def test_removal_in_rounds_is_removal_at_once(spark):
+    rng = random.Random(6)
+    make = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    bench = spark.createDataFrame([(k, make(rng.choice([4, 7, 30]))) for k in range(6)], "item_id long, text string")
+    docs = [(k, "X " * rng.randint(0, 30) + make(rng.randint(0, 40)) + " Y" * rng.randint(0, 30)) for k in range(60)] + AWKWARD
+    once, rounds = (
+        Counter(map(tuple, decontaminate.decontaminate(frame(spark, docs), bench, size=5, block_words=n).collect())) for n in (100_000, 25)
+    )
+    assert once == rounds and 0 < sum(once.values()) < len(docs)
+    assert any("\n" in (r[1] or "") for r in once)
+
+
 def test_removal_of_awkward_rows(spark, awkward):
     bench = spark.createDataFrame([(1, "two three four")], "item_id long, text string")
     got = decontaminate.decontaminate(awkward, bench, max_coverage=0.9)
