@@ -7,8 +7,9 @@ grouped is the 64-digit hash and the id, never the text.
 
 Hot copies: counts of bits, of (hash, id) and of hashes are all combined before they are shuffled,
 and the largest groups are joined with their ids by a broadcast of at most 1,000 rows.
-The broadcast filter has at most ``max_bits`` bits whatever the input; beyond about
-``max_bits / 16`` rows it fills up and more rows are shuffled, with the same result.
+A broadcast filter has at most ``max_bits`` bits whatever the input.  Where the rows need more, hashes
+are cut into ranges with a filter each; a range is tested and stored before the filter of the next one
+is built, so every filter keeps its share of bits a row and unique rows still pass without a shuffle.
 
 Defined cases: a null text counts as empty; a null id is smaller than any other; of rows that
 repeat both text and id exactly one stays; an empty table gives an empty result; other columns are
@@ -17,6 +18,8 @@ never looked at.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +38,22 @@ def _bit(bitmap: Column, position: Column) -> Column:
 
 
 def with_suspicion(rows: DataFrame, n_rows: int, bits_per_row: int = 16, max_bits: int = MAX_BITS) -> DataFrame:
-    """``rows`` (with a 64-bit column ``h``) plus ``maybe``: false only for values of ``h`` that are unique."""
+    """``rows`` (with a 64-bit column ``h``) plus ``maybe``: false only for values of ``h`` that are unique.
+
+    Every range of hashes reads the input once, and is written once when there are several.
+    """
+    ranges = max(1, -(-bits_per_row * n_rows // max_bits))
+    if ranges == 1:
+        return _tested(rows, bits_per_row * max(1, n_rows))
+    number = F.pmod(F.xxhash64("h"), F.lit(ranges))
+    parts = [keep(_tested(rows.where(number == k), max_bits), f"tested-{k}") for k in range(ranges)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _tested(rows: DataFrame, bits: int) -> DataFrame:
+    """``rows`` with ``maybe`` from one filter of at least ``bits`` bits, rounded up to a power of two of blocks."""
     blocks = 1
-    while blocks * BLOCK < min(max_bits, bits_per_row * max(1, n_rows)):
+    while blocks * BLOCK < bits:
         blocks *= 2
     h = F.col("h")
     placed = {
