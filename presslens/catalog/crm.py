@@ -8,6 +8,7 @@ from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
 from presslens.catalog.registry import TABLES, load, query
 from presslens.catalog.rolling import expiring, rounded, user_outcomes
 from presslens.functions.labels import ACCEPTED_STATUSES
+from presslens.operators import numbering
 from presslens.plans import context, daily, packing
 from presslens.plans import subscriptions as subs
 from presslens.session import scratch_dir
@@ -347,6 +348,38 @@ def profile_user_ids(spark, sf):
     return rows_with_users(spark, sf).withColumn("user_ids", F.array_join("user_ids", ","))
 
 
+#: Users of one cell; small, so that browsers of the test tables have several chunks.
+CHUNK = 5
+
+TABLES["browser_user_chunks"] = f"""SELECT browser_id, (k // {CHUNK})::BIGINT AS chunk, count(*)::BIGINT AS n,
+      string_agg(user_id, ',' ORDER BY user_id) AS values
+    FROM (SELECT *, row_number() OVER (PARTITION BY browser_id ORDER BY user_id) - 1 AS k
+          FROM (SELECT DISTINCT browser_id, user_id FROM dim_browser_users))
+    GROUP BY 1, 2"""
+
+
+def user_chunks(spark, sf):
+    return numbering.chunked(daily.browser_users(load(spark, sf, "fx_pageviews")), "browser_id", "user_id", CHUNK)
+
+
+@query("browser_user_lists", "SELECT * FROM browser_user_chunks")
+def browser_user_lists(spark, sf):
+    return user_chunks(spark, sf).withColumn("values", F.array_join("values", ","))
+
+
+@query(
+    "profile_user_chunks",
+    """SELECT b.browser_id, b.date, coalesce(u.n, 0)::BIGINT AS n, coalesce(u.n_chunks, 0)::BIGINT AS n_chunks, head
+    FROM b_days b LEFT JOIN (
+        SELECT browser_id, sum(n) AS n, count(*) AS n_chunks, max(values) FILTER (chunk = 0) AS head
+        FROM browser_user_chunks GROUP BY 1) u USING (browser_id)""",
+)
+def profile_user_chunks(spark, sf):
+    pairs = daily.browser_users(load(spark, sf, "fx_pageviews"))
+    rows = packing.profile_user_chunks(browser_rows(spark, sf), pairs, FIRST_DAY, LAST_DAY, CHUNK)
+    return rows.withColumn("head", F.array_join("head", ","))
+
+
 @query(
     "payment_history_join",
     """SELECT b.browser_id, b.date,

@@ -15,7 +15,7 @@ from presslens.catalog.rolling import BROWSER_WINDOW, SPECS, browser_outcomes, l
 from presslens.catalog.storage import user_store
 from presslens.functions.flags import bool_to_int
 from presslens.functions.labels import CHURN_LABELS, labels_of
-from presslens.operators import encoding, sampling
+from presslens.operators import dictionary, encoding, sampling
 from presslens.operators.metrics import class_metrics
 from presslens.operators.pivot import profile_pivot
 from presslens.plans import context, daily, packing, training
@@ -56,6 +56,44 @@ def category_dict(spark, sf):
     return encoding.category_values(pageviews(spark, sf), CATEGORICAL)
 
 
+#: A wide column next to the narrow ones.
+WIDE = (*CATEGORICAL, "browser_id")
+#: Dictionaries are learned up to this day and applied to all, so that unseen values occur.
+LEARNED_UNTIL = "2024-01-01"
+
+TABLES["category_index"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, value, (row_number() OVER (ORDER BY value) - 1)::BIGINT AS "index", n
+    FROM (SELECT {c} AS value, count(*)::BIGINT AS n FROM fx_pageviews
+          WHERE date <= DATE '{LEARNED_UNTIL}' AND {c} IS NOT NULL GROUP BY 1)"""
+    for c in WIDE
+)
+
+
+def wide_dictionary(spark, sf):
+    return dictionary.fit_dictionary(pageviews(spark, sf).where(F.col("date") <= F.lit(LEARNED_UNTIL).cast("date")), WIDE)
+
+
+@query("category_table", "SELECT * FROM category_index")
+def category_table(spark, sf):
+    return wide_dictionary(spark, sf)
+
+
+@query(
+    "category_encode",
+    "SELECT event_id, "
+    + ", ".join(
+        f"""coalesce(k_{c}.value, 'Unknown') AS {c}_known,
+        coalesce(k_{c}.index, (SELECT count(*) FROM category_index WHERE feature = '{c}'))::BIGINT AS {c}_index"""
+        for c in WIDE
+    )
+    + " FROM fx_pageviews p "
+    + " ".join(f"LEFT JOIN category_index k_{c} ON k_{c}.feature = '{c}' AND k_{c}.value = p.{c}" for c in WIDE),
+)
+def category_encode(spark, sf):
+    rows = pageviews(spark, sf).select("event_id", *WIDE)
+    return dictionary.with_indexes(rows, wide_dictionary(spark, sf), WIDE).drop(*WIDE)
+
+
 _VALUES = {
     "derived_referer_medium": ("", "direct", "email", "external", "internal", "search", "social"),
     "category": ("", "blog", "rodina-a-vztahy", "sport", "svet"),

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from presslens.functions.text import name, text
 from presslens.operators.latest import ranked
+from presslens.operators.numbering import chunk_summary, chunked
 from presslens.spec import FeatureSpec
 
-PROFILE_KEYS = ("date", "window_days", "feature_aggregation_functions", "pipeline_version")
-
 
 def pack_features(
     df: DataFrame,
@@ -124,3 +123,17 @@ def profile_user_ids(
     pairs = browser_users.where(F.col("date").between(first, last))
     users = pairs.groupBy("browser_id").agg(F.array_sort(F.collect_set("user_id")).alias("user_ids"))
     return profiles.join(users, "browser_id", "left")
+
+
+def profile_user_chunks(
+    profiles: DataFrame, browser_users: DataFrame, start: dt.date | str, end: dt.date | str, size: int = 1000
+) -> DataFrame:
+    """Profiles with ``n`` users of their browser in a period, ``n_chunks`` and ``head``, the first ``size`` of them.
+
+    The other users stay in the chunk table (``numbering.chunked``), so no cell grows with a busy browser.
+    """
+    first, last = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+    chunks = chunked(browser_users.where(F.col("date").between(first, last)), "browser_id", "user_id", size)
+    zero = F.lit(0).cast("long")
+    joined = profiles.join(chunk_summary(chunks, "browser_id"), "browser_id", "left")
+    return joined.withColumns({c: F.coalesce(c, zero) for c in ("n", "n_chunks")})

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from presslens.plans import packing
 from presslens.session import scratch_dir
 from presslens.sources import sinks
-from presslens.spec import FeatureSpec
+from presslens.spec import PROFILE_KEYS, FeatureSpec
 
 Day = dt.date | str
 #: Profiles of a period, both days included, as wide rows.
@@ -39,7 +39,7 @@ class ProfileStore:
 
     def _folder(self, day: dt.date) -> str:
         values = (day, self.window_days, ",".join(self.spec.aliases), self.version)
-        keys = (f"{k}={str(v).replace(',', '%2C')}" for k, v in zip(packing.PROFILE_KEYS, values, strict=True))
+        keys = (f"{k}={str(v).replace(',', '%2C')}" for k, v in zip(PROFILE_KEYS, values, strict=True))
         return f"{self.path.rstrip('/')}/{'/'.join(keys)}"
 
     def missing(self, start: Day, end: Day) -> list[tuple[dt.date, dt.date]]:

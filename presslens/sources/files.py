@@ -140,3 +140,23 @@ def _first_line(spark: SparkSession, path: str) -> str:
 def read_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
     """JSON lines with a declared schema (arrays stay arrays)."""
     return spark.read.schema(schema).json(path)
+
+
+def stored_period(spark: SparkSession, paths: str | list[str], column: str = "date") -> tuple:
+    """First and last value of a column of stored Parquet files; raises when there is none.
+
+    Dates, numbers and flags are answered from the footers of the files (``PushedAggregation`` in the
+    plan), so no data page is read.  Other types read their one column.  The settings this
+    takes belong to a session of its own; the caller's stays as it is.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    first, last = period_plan(own, paths, column).first()
+    if first is None:
+        raise ValueError(f"no {column} in {paths}: there is no period to process")
+    return first, last
+
+
+def period_plan(spark: SparkSession, paths: str | list[str], column: str) -> DataFrame:
+    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths)).agg(F.min(column).alias("first"), F.max(column).alias("last"))

@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.plans.packing import PROFILE_KEYS
 from presslens.session import scratch_dir
+from presslens.spec import PROFILE_KEYS
 
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str], rebalance: bool = True) -> int:

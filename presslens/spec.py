@@ -15,6 +15,8 @@ DEVICE_TYPES = ("desktop", "mobile", "tablet")
 HOURS = tuple(range(24))
 HOUR_RANGES = tuple((h, h + 4) for h in range(0, 24, 4))
 WEEKDAYS = tuple(range(7))
+# The keys that stored profiles are replaced by.
+PROFILE_KEYS = ("date", "window_days", "feature_aggregation_functions", "pipeline_version")
 
 # Window variants and how their columns are named.
 FULL, RECENT_HALF, OLDER_HALF = "", "_first_window_half", "_last_window_half"
