@@ -200,6 +200,9 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, size: int, block_words
         if held:
             yield block()
 
+    # A task packs some 16 bytes for each word of a block, so that few blocks stay partly filled.
+    n_bytes = benchmark.agg(F.sum(F.octet_length(column(text)))).first()[0] or 0
+    items = items.coalesce(1 + n_bytes // (16 * block_words))
     return keep(in_small_batches(items).mapInArrow(pack, "block string, ids array<bigint>, texts array<string>"), "benchmark-blocks")
 
 

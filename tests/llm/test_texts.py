@@ -76,6 +76,8 @@ def test_blocks_are_bounded(spark):
     make = lambda n: ",".join(rng.choice("abcdefgh") * rng.choice([1, 2]) for _ in range(n))
     items = [(k, make(rng.randint(1, 40))) for k in range(200)] + [(900, make(1000)), (901, make(5) + " " + "w" * 1000 + " " + make(5))]
     bench = spark.createDataFrame(items, "item_id long, text string")
+    # However many partitions the items lie in, small items share a block.
+    assert decontaminate.blocks(bench.where("item_id < 20").repartition(50), "item_id", "text", 6, 100_000).count() == 1
     packed = decontaminate.blocks(bench, "item_id", "text", 6, 100).collect()
     sizes = [sum(len(decontaminate.words_of(t)) for t in r.texts) for r in packed]
     assert max(sizes) <= 100 and len(packed) < 2 * sum(sizes) / 100 + 8
