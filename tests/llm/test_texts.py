@@ -122,6 +122,130 @@ def test_license_rules(spark, awkward, nothing):
     assert license_scan.scan(nothing).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2019 Some Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Copyright (c) 2005, The Example Foundation
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT OWNER OR CONTRIBUTORS BE LIABLE FOR
+ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON
+ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+ENDORSE = """3. Neither the name of The Example Foundation nor the names of its contributors
+   may be used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+APACHE = """# Copyright 2020 The Authors
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+
+import os
+"""
+GPL = """/*
+ * {0} is free software{1} you can redistribute it and/or modify
+ * it under the terms of the GNU {2}General Public License as published by
+ * the Free Software Foundation{3} either version {4} of the License, or
+ * (at your option) any later version.
+ *
+ * {0} is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU {2}General Public License for more details.
+ *
+ * You should have received a copy of the GNU {2}General Public License
+ * along with this program.  If not, see <http://www.gnu.org/licenses/>.
+ */
+"""
+ISC = """Copyright (c) 2004 Some Person <some@example.org>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES.
+"""
+MPL = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_licenses_of_wrapped_texts(spark, tmp_path):
+    """Texts as they stand in files: wrapped, in comments, with Windows line ends, or on one line."""
+    import duckdb
+
+    gpl3 = GPL.format("This program", ":", "", ",", "3")
+    texts = {
+        "MIT": MIT, "BSD-2-Clause": BSD.format(""), "BSD-3-Clause": BSD.format(ENDORSE), "Apache-2.0": APACHE, "ISC": ISC, "MPL-2.0": MPL,
+        "GPL-3.0-or-later": gpl3, "GPL-2.0-or-later": GPL.format("Foobar", ";", "", ";", "2"),
+        "LGPL-2.1-or-later": GPL.format("This library", ";", "Lesser ", ";", "2.1"), "AGPL-3.0-or-later": GPL.format("This program", ":", "Affero ", ",", "3"),
+    }
+    rows = [(k, f"Intro of some kind.\n\n{t}\nint x = 1;\n") for k, t in enumerate(texts.values())]
+    rows += [(20, MIT.replace("\n", "\r\n")), (21, re.sub("(?<!\n)\n(?!\n)", " ", MIT)), (22, "// SPDX-License-Identifier: MIT\n#include <a>\n")]
+    rows += [(23, APACHE + "\n" + MIT), (24, "A title about a licence\nReleased under the MIT License.\nversion 2.0.1 license 3.4.5"), (25, "Copyright (c) 2001 A\nmore")]
+    docs = frame(spark, rows)
+    got = {r.doc_id: (r.licenses, r.sentence_ids) for r in license_scan.scan(docs).collect()}
+    for k, name in enumerate(texts):
+        assert got[k][0] == [name] and "Unknown" not in got[k][1], (name, got[k])
+    assert [got[k][0] for k in (20, 21, 22, 23, 25)] == [["MIT"], ["MIT"], ["MIT"], ["MIT", "Apache-2.0"], []]
+    assert got[24][0] == ["MIT", "Unrecognised"]
+    # The SQL reads the same texts the same way.
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    sql = {d: (names, ids) for d, _, ids, names in con.sql(license_scan.oracle()).fetchall()}
+    assert sql == {d: (" AND ".join(n), " ".join(i)) for d, (n, i) in got.items()}
+
+
 def brute_spans(text):
     text = text or ""
     found = []
