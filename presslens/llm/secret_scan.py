@@ -2,9 +2,10 @@
 
 Base kinds are found by their patterns.  Other long mixed tokens are candidates: whether one looks
 live depends on who has it.  Hashes of all values are counted by distinct repositories and owners
-over the whole corpus; a value that several owners have is an example that was copied around, one
-that a single owner has and that looks random is a live credential.  Live tokens are added to the
-spans as kind ``owned``; the classes of the base values are reported beside them.
+over the whole corpus, and so are the different texts that hold it.  A value that several owners have,
+or one owner in several repositories or in many texts, is an example that was copied around; one that
+stays in its place and looks random is a live credential.  Live tokens are added to the spans as kind
+``owned``; the classes of the base values are reported beside them.
 
 Only hashes leave the row, never a value.  Owners and repositories are made distinct in steps that
 are combined before each shuffle, and the most frequent values are joined by a bounded broadcast.
@@ -29,6 +30,10 @@ KINDS = ("assign", "access", "hex", "owned")
 SHORTEST_VALUE = 12
 #: A value in the hands of at most so many owners can be live.
 MOST_OWNERS = 1
+#: In more repositories than these a value is a copied example, whoever owns them.
+MOST_REPOSITORIES = 2
+#: In more different texts than these it is one too, even in a single repository.
+MOST_TEXTS = 50
 #: Different characters a live value has at least.
 LEAST_CHARACTERS = 10
 
@@ -75,17 +80,21 @@ def _found(docs: DataFrame, text: str, doc_id: str, owner: Column, repository: C
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """hash, n_owners, n_repositories, n_rows over (hash, owner, repository) rows, one per occurrence."""
-    by_place = candidates.groupBy("hash", "owner", "repository").agg(F.count("*").alias("n"))
-    by_owner = by_place.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.sum("n").alias("n"))
+    """hash, n_owners, n_repositories, n_texts, n_rows over (hash, owner, repository, text_key) rows, one per occurrence.
+
+    Counts are made distinct from the finest key up, so a value that is everywhere is combined before every shuffle.
+    """
+    by_text = candidates.groupBy("hash", "owner", "repository", "text_key").agg(F.count("*").alias("n"))
+    by_place = by_text.groupBy("hash", "owner", "repository").agg(F.count("*").alias("texts"), F.sum("n").alias("n"))
+    by_owner = by_place.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.sum("texts").alias("texts"), F.sum("n").alias("n"))
     return by_owner.groupBy("hash").agg(
-        F.count("*").alias("n_owners"), F.sum("repositories").alias("n_repositories"), F.sum("n").alias("n_rows")
+        F.count("*").alias("n_owners"), F.sum("repositories").alias("n_repositories"), F.sum("texts").alias("n_texts"), F.sum("n").alias("n_rows")
     )
 
 
 def scan(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: Column | None = None, repository: Column | None = None,
-    most_owners: int = MOST_OWNERS,
+    most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES, most_texts: int = MOST_TEXTS,
 ) -> DataFrame:
     """doc_id, base and all spans (start, kind number, end), n_live and n_example of the base values.
 
@@ -99,12 +108,13 @@ def scan(
     every = every.select("doc_id", "text_key", "owner", "repository", "span", F.col("span.hash").alias("hash"))
     owned = keep(ownership(every), "secret-owners")
     looked = join_hot(every, owned, ["hash"], "n_rows")
-    live = F.col("span.live") & (F.col("n_owners") <= most_owners)
+    copied = (F.col("n_owners") > most_owners) | (F.col("n_repositories") > most_repositories) | (F.col("n_texts") > most_texts)
+    live = F.col("span.live") & ~copied
     base = F.col("span.kind") < 3
     judged = looked.groupBy("doc_id", "text_key", "owner", "repository").agg(
         F.collect_set(F.when(~base & live, F.struct("span.start", "span.kind", "span.end"))).alias("added"),
         F.collect_set(F.when(base & live, F.struct("span.start", "span.kind"))).alias("live"),
-        F.collect_set(F.when(base & (F.col("n_owners") > most_owners), F.struct("span.start", "span.kind"))).alias("examples"),
+        F.collect_set(F.when(base & copied, F.struct("span.start", "span.kind"))).alias("examples"),
     )
     # One row for each set of equal rows above, so this join cannot multiply.
     keys = ["doc_id", "text_key", "owner", "repository"]
@@ -166,13 +176,14 @@ WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS
      every AS (
          SELECT * FROM judged t WHERE kind < 3 OR (live AND NOT EXISTS (
              SELECT 1 FROM judged b WHERE b.r = t.r AND b.kind < 3 AND b.start < t.stop AND t.start < b.stop))),
-     owners AS (SELECT hash, count(DISTINCT owner) AS n_owners FROM every JOIN docs USING (r) GROUP BY hash),
+     owners AS (SELECT hash, count(DISTINCT owner) > 1 OR count(DISTINCT (owner, repository)) > 2 OR count(DISTINCT (owner, repository, text)) > 50 AS copied
+                FROM every JOIN docs USING (r) GROUP BY hash),
      known AS (SELECT *, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop AS span FROM every JOIN owners USING (hash)),
      out AS (
          SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
                 string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS base,
-                string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < 3 OR n_owners <= 1) AS spans,
-                count(*) FILTER (kind < 3 AND live AND n_owners <= 1) AS n_live, count(*) FILTER (kind < 3 AND n_owners > 1) AS n_example
+                string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < 3 OR NOT copied) AS spans,
+                count(*) FILTER (kind < 3 AND live AND NOT copied) AS n_live, count(*) FILTER (kind < 3 AND copied) AS n_example
          FROM known GROUP BY r)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example

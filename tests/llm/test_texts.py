@@ -275,6 +275,17 @@ def test_secret_spans_and_owners(spark, awkward, nothing):
     assert secret_scan.scan(awkward).count() == len(AWKWARD) and secret_scan.scan(nothing).count() == 0
 
 
+def test_secrets_copied_within_one_owner(spark):
+    """One owner: a value in two repositories is live, in three an example; as is one in too many different texts."""
+    two, three, many, again = "tZ9kQ2mVb7Xw4LrT8pYc", "nB5vC3xZ1qW8eR7tY6uI", "hJ4gF2dS9aP0oI8uY7tR", "mK3jH5gF7dS1aQ2wE4rT"
+    rows = [("a", two), ("b", two), ("a", three), ("b", three), ("c", three)]
+    rows += [("a", f"{many} {k}") for k in range(5)] + [("a", again)] * 9
+    docs = spark.createDataFrame([(k, t, lang, "one") for k, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = secret_scan.digest(secret_scan.scan(docs, most_texts=4)).collect()
+    assert {r.doc_id for r in got if r.spans} == {0, 1} | set(range(10, 19))
+    assert sum(bool(r.spans) for r in secret_scan.digest(secret_scan.scan(docs)).collect()) == 16
+
+
 def test_noisy_or_gradient_and_location(spark):
     rng = random.Random(4)
     make = lambda: " ".join(rng.choice(["tree", "stone", "river", "cloud", "house", "light"]) for _ in range(6)).capitalize() + "."
