@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import keep
+from presslens.llm.common import join_hot, keep
 
 
 def forest(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -28,13 +28,17 @@ def forest(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _round(edges: DataFrame, large: bool) -> DataFrame:
-    """One star operation on links (a, b) with a > b; minima are combined before the shuffle."""
+    """One star operation on stored links (a, b) with a > b.
+
+    Minima are combined before the shuffle; the centres of large stars meet their links by broadcast.
+    """
     if large:
         sides = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:
         sides = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    least = sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    linked = sides.join(least, "u")
+    least = sides.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size"))
+    least = keep(least.select("u", F.least("u", "m").alias("m"), "size"), "star-centres")
+    linked = join_hot(sides, least, ["u"], "size")
     if large:
         moved = linked.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -57,7 +61,7 @@ def connected(links: DataFrame, rounds: int = 64) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        edges = keep(_round(_round(edges, True), False), "stars")
+        edges = keep(_round(keep(_round(edges, True), "large-stars"), False), "stars")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
