@@ -13,7 +13,7 @@ from their counted sequences.
 
 A text goes to the language with the lowest cross-entropy per letter.  ``score`` is the posterior
 of that choice, softened by the length of the text.  The rejection limit of a language is taken
-from its own texts: beyond ``mean + 4 sd`` of their cross-entropy a text is marked ``rejected``.
+from all of its own texts that were learned from: beyond ``mean + 4 sd`` of their cross-entropy a text is marked ``rejected``.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; ties go to
 the language that sorts first; without any labelled text everything is ``und``; repeated rows are
@@ -34,8 +34,6 @@ from presslens.llm.common import column, in_small_batches, join_hot, keep
 ORDER = 4
 #: Entries (16 bytes each) of all languages up to which models are broadcast.
 IN_MEMORY = 2_000_000
-#: Rows the rejection limits are taken from, those with the least hash of their text.
-CALIBRATION_ROWS = 4_000
 UNKNOWN = "und"
 _MASK = [np.uint64((1 << 16 * n) - 1) for n in range(ORDER + 1)]
 
@@ -163,25 +161,26 @@ class Models:
         at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
         return np.where(known[at] == grams, values[at], default)
 
-    def costs(self, grams: np.ndarray) -> np.ndarray:
-        """Nats of the last letter of every sequence, a row per language."""
+    def costs(self, grams: np.ndarray, langs: list[str] | None = None) -> np.ndarray:
+        """Nats of the last letter of every sequence, a row per language; ``langs`` restricts these."""
+        langs = self.langs if langs is None else langs
         ends = {n: (grams & _MASK[n]).view(np.int64) for n in range(1, ORDER + 1)}
         before = {n: ((grams & _MASK[n]) >> np.uint64(16)).view(np.int64) for n in range(1, ORDER + 1)}
-        out = np.empty((len(self.langs), len(grams)))
-        for k, lang in enumerate(self.langs):
+        out = np.empty((len(langs), len(grams)))
+        for k, lang in enumerate(langs):
             p = np.full(len(grams), 1.0 / (1 + len(self.tables[lang, 1, "seen"][0])))
             for n in range(1, ORDER + 1):
                 p = self._lookup((lang, n, "seen"), ends[n], 0.0) + self._lookup((lang, n, "below"), before[n], 1.0) * p
             out[k] = -np.log(np.maximum(p, 1e-12))
         return out
 
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def entropies(self, texts: list[str | None], langs: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per letter, a row per language, and the number of letters of every text."""
         flat, text_of = letters(texts)
         n_letters = np.bincount(text_of[flat != 32], minlength=len(texts))
         grams, owner = sequences(flat, text_of)
         found, where = np.unique(grams, return_inverse=True)
-        cost = self.costs(found)
+        cost = self.costs(found, langs)
         length = np.bincount(owner, minlength=len(texts))
         total = np.stack([np.bincount(owner, c[where], len(texts)) for c in cost]) if len(cost) else np.zeros((0, len(texts)))
         return total / np.maximum(length, 1), n_letters
@@ -245,10 +244,8 @@ class StoredModels:
         return join_hot(counted, costs, ["gram"], "size").groupBy("text_key").agg(F.array(*sums).alias("total"))
 
 
-def train(
-    docs: DataFrame, text: str = "text", lang: str = "lang", in_memory: int = IN_MEMORY, calibration_rows: int = CALIBRATION_ROWS
-) -> Models | StoredModels:
-    """Models of all languages of ``docs``, every row of which is learned from."""
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", in_memory: int = IN_MEMORY) -> Models | StoredModels:
+    """Models and rejection limits of all languages of ``docs``, every row of which is learned from."""
     terms = keep(entries(counts(docs, text, lang)), "language-models")
     sizes = {(r["lang"], r["level"], r["kind"]): r["n"] for r in terms.groupBy("lang", "level", "kind").agg(F.count("*").alias("n")).collect()}
     if sum(sizes.values()) > in_memory:
@@ -257,49 +254,52 @@ def train(
         arrays = terms.groupBy("lang", "level", "kind").agg(F.array_sort(F.collect_list(F.struct("gram", "value"))).alias("e"))
         packed = arrays.select("lang", "level", "kind", F.col("e.gram").alias("gram"), F.col("e.value").alias("value")).toPandas()
         models = Models({(r.lang, r.level, r.kind): (np.array(r.gram, np.int64), np.array(r.value, np.float64)) for r in packed.itertuples()})
-    models.limits = _limits(docs, models, text, lang, calibration_rows)
+    models.limits = _limits(docs, models, text, lang)
     return models
 
 
 def _entropies(rows: DataFrame, models: Models | StoredModels) -> tuple[DataFrame, Callable]:
-    """Rows for the task, and what gives it (cross-entropies, letters) of a batch; ``rows`` has a column text."""
+    """Rows for the task, and what gives it (cross-entropies, letters) of a batch; ``rows`` has a column text.
+
+    A second argument, a list of languages, restricts the cross-entropies to these.
+    """
     if isinstance(models, Models):
         shared = rows.sparkSession.sparkContext.broadcast(models)
-        return rows, lambda batch: shared.value.entropies(batch.column("text").to_pylist())
+        return rows, lambda batch, langs=None: shared.value.entropies(batch.column("text").to_pylist(), langs)
     n_langs = len(models.langs)
+    place = {x: k for k, x in enumerate(models.langs)}
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
     totals = models.totals(keyed.select("text_key", "text").where("text is not null"))
 
-    def found(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def found(batch: pa.RecordBatch, langs: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
         texts = batch.column("text").to_pylist()
         flat, text_of = letters(texts)
         length = np.bincount(sequences(flat, text_of)[1], minlength=len(texts))
         total = np.array([t or [0.0] * n_langs for t in batch.column("total").to_pylist()]).reshape(-1, n_langs).T
+        total = total if langs is None else total[[place[x] for x in langs]]
         return total / np.maximum(length, 1), np.bincount(text_of[flat != 32], minlength=len(texts))
 
     return keyed.join(totals, "text_key", "left").drop("text_key"), found
 
 
-def _limits(docs: DataFrame, models: Models | StoredModels, text: str, lang: str, rows: int) -> dict[str, float]:
-    """Rejection limit of each language from its own texts in a bounded sample."""
+def _limits(docs: DataFrame, models: Models | StoredModels, text: str, lang: str, rows_at_once: int = 1000) -> dict[str, float]:
+    """Rejection limit of each language from all texts it was learned from, each judged by its own model only."""
     known = docs.select(column(lang).cast("string").alias("lang"), column(text).alias("text")).where("lang is not null and text is not null")
-    known = known.withColumn("h", F.xxhash64("text"))
-    last = known.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    if last is None:
-        return {}
-    place = {x: k for k, x in enumerate(models.langs)}
-    sample, entropies = _entropies(known.where(F.col("h") <= last).select("lang", "text"), models)
+    known, entropies = _entropies(known, models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ce, n = entropies(batch)
-            langs = batch.column("lang").to_pylist()
-            own = [float(ce[place[x], k]) if n[k] else None for k, x in enumerate(langs)]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(own, pa.float64())], ["lang", "ce"])
-
-    own = sample.mapInArrow(run, "lang string, ce double")
-    found = own.groupBy("lang").agg((F.avg("ce") + 4 * F.coalesce(F.stddev_pop("ce"), F.lit(0.0))).alias("top")).collect()
-    return {r["lang"]: r["top"] for r in found if r["top"] is not None}
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows_at_once):
+                batch = whole.slice(at, rows_at_once)
+                langs = np.array(batch.column("lang").to_pylist(), object)
+                for one in sorted(set(langs)):
+                    ce, n = entropies(batch.filter(pa.array(langs == one)), [one])
+                    own = ce[0, n > 0]
+                    yield pa.RecordBatch.from_arrays([pa.array([one] * len(own), pa.string()), pa.array(own)], ["lang", "ce"])
+
+    own = in_small_batches(known).mapInArrow(run, "lang string, ce double")
+    found = own.groupBy("lang").agg((F.avg("ce") + 4 * F.stddev_pop("ce")).alias("top")).collect()
+    return {r["lang"]: r["top"] for r in found}
 
 
 def identify(docs: DataFrame, models: Models | StoredModels, text: str = "text", doc_id: str = "doc_id", rows_at_once: int = 1000) -> DataFrame:
