@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,12 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with five-word Jaccard similarity 0.8 or more the smallest doc_id stays."""
-    return simhash.drop_near(docs, groups=near_texts.similar_groups)
+    """Of each group of near copies the smallest doc_id stays.
+
+    Candidates are the groups of ``simhash.near_groups`` and MinHash buckets, which also hold near
+    copies whose fingerprints lie further apart; a five-word Jaccard similarity of 0.8 or more links.
+    """
+    return simhash.drop_near(docs, groups=partial(near_texts.similar_groups, groups=simhash.near_groups))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

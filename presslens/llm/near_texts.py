@@ -6,6 +6,9 @@ minima each, so a pair of similarity 0.8 misses all of them with probability (1
 than 3 in 100,000, and a more similar pair with less.  Every candidate is confirmed on the sets
 themselves, so no link is false.
 
+``groups`` is an operator whose groups are candidates as well, each one more bucket: with
+``simhash.near_groups`` the pipeline's near stage runs that method and confirms what it links.
+
 Equal sets are one node from the start.  Buckets with the same members are one bucket.  A bucket is
 searched from member to member: what is linked leaves the rest that is still compared, so a large
 group of near copies costs a few passes over its sets, not one a pair.
@@ -17,7 +20,7 @@ id of a group unless all ids are null; rows that repeat are treated alike.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,8 +122,14 @@ def _links(least: float):
     return run
 
 
-def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, least: float = LEAST) -> DataFrame:
-    """doc_id, text_key, component_id (the smallest doc_id of the group) for every row."""
+def similar_groups(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, least: float = LEAST,
+    groups: Callable[..., DataFrame] | None = None,
+) -> DataFrame:
+    """doc_id, text_key, component_id (the smallest doc_id of the group) for every row.
+
+    ``groups(docs, text, doc_id)`` gives further candidates, as (text_key, root) for every row.
+    """
     texts = docs.select(column(doc_id).cast("long").alias("doc_id"), F.xxhash64(column(text)).alias("text_key"), column(text).alias("text"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +147,10 @@ def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = keep(in_small_batches(texts).mapInArrow(keyed, "doc_id long, text_key long, node long, keys array<bigint>"), "shingle-keys")
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.first("keys").alias("keys"), F.count("*").alias("n_rows"))
     entries = nodes.select("node", F.posexplode("keys").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
+    if groups is not None:
+        own = rows.select("text_key", "node").distinct().join(groups(docs, text, doc_id).select("text_key", "root").distinct(), "text_key")
+        entries = entries.unionByName(own.select("node", F.xxhash64(F.lit(BANDS), "root").alias("bucket")).distinct())
+        entries = keep(entries, "bucket-entries")
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"))
     chosen = sizes.where("size > 1").groupBy("size", "members").agg(F.min("bucket").alias("bucket")).select("bucket")
     placed = keep(entries.join(chosen, "bucket", "left_semi"), "candidates")

@@ -211,14 +211,14 @@ def links(distinct: DataFrame, limit: int = 4, full: int = 2048, deepest: int =
 
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, limit: int = 4, full: int = 2048) -> DataFrame:
-    """doc_id, text_key, fp, component_id (the smallest doc_id of the component) for every row."""
+    """doc_id, text_key, fp, root (the component's own name), component_id (its smallest doc_id) for every row."""
     rows = keep(fingerprints(docs, text, doc_id, words), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
     roots = connected(links(distinct.select("fp"), limit, full))
     placed = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", "n_rows", F.coalesce("root", "fp").alias("root"))
     placed = keep(placed, "rooted")
     least = keep(placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("size")), "least-ids")
-    grouped = keep(join_hot(placed, least, ["root"], "size").select("fp", "component_id", "n_rows"), "components")
+    grouped = keep(join_hot(placed, least, ["root"], "size").select("fp", "root", "component_id", "n_rows"), "components")
     return join_hot(rows, grouped, ["fp"], "n_rows").drop("n_rows")
 
 

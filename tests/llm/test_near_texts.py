@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from presslens.llm import near_texts, simhash
 from text_rows import AWKWARD, frame, similar
@@ -27,6 +29,36 @@ def test_groups_equal_brute_force(spark):
     assert simhash.drop_near(frame(spark, rows)).count() > kept.count()
 
 
+def test_stage_takes_the_groups_of_simhash(spark, monkeypatch):
+    """What SimHash groups is compared even where no MinHash bucket holds it, and only links if it is similar."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    rows = []
+    for _ in range(8):
+        line = " ".join(word() for _ in range(5))
+        rows += [(len(rows) + j, f"{line} " * 100 + " ".join(word() for _ in range(20))) for j in range(3)]
+    for _ in range(20):
+        base = [word() for _ in range(300)]
+        for _ in range(3):
+            rows.append((len(rows), " ".join([*base, word()])))
+    want = similar(rows)
+    docs = frame(spark, rows, False)
+    grouped = {r.doc_id: r.component_id for r in simhash.near_groups(docs).collect()}
+    assert all(grouped[d] == d - d % 3 for d in range(24)) and all((d, d) in want for d in range(24))
+    monkeypatch.setattr(near_texts, "band_keys", lambda own: np.zeros(0, np.int64))
+    alone = {(r.doc_id, r.component_id) for r in near_texts.similar_groups(docs).collect()}
+    assert alone == {(d, d) for d, _ in rows}
+    kept = {r.doc_id for r in corpus_pipeline.near_stage(spark, docs, "").collect()}
+
+    assert kept == {d for d, c in want if d == c or grouped[c] != grouped[d]} and len(kept) < len(rows) - 20
+
+
+def test_awkward_rows_with_groups(spark, awkward, nothing):
+    got = near_texts.similar_groups(awkward, groups=simhash.near_groups)
+    assert {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5), (4, 4)} <= {(r.doc_id, r.component_id) for r in got.collect()} and got.count() == len(AWKWARD)
+    assert near_texts.similar_groups(nothing, groups=simhash.near_groups).count() == 0
+
+
 def test_awkward_rows(spark, awkward, nothing):
     got = {(r.doc_id, r.component_id) for r in near_texts.similar_groups(awkward).collect()}
     assert {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5), (4, 4)} <= got and near_texts.similar_groups(awkward).count() == len(AWKWARD)
