@@ -174,11 +174,12 @@ def _since(days: Days) -> Column:
     return F.greatest(F.to_date("created_at"), F.lit(str(days.start)).cast("date"))
 
 
-def _paid_by_day(payments: DataFrame, days: Days) -> DataFrame:
+def _paid_by_day(payments: DataFrame, days: Days, statuses: Sequence[str] | None = None) -> DataFrame:
     """``(subscription_id, paid)``: what each day of the period added, oldest first.
 
     Sums and status counts of a day are aggregated before a subscription's days come together, so
-    a list has an entry per day with payments and no more.
+    a list has an entry per day with payments and no more.  With ``statuses`` a subscription whose
+    first payments have another status is left out: no later day makes it an accepted one.
     """
     rows = created_between(payments, days.end).where(F.col("subscription_id").isNotNull())
     by_status = rows.groupBy("subscription_id", _since(days).alias("day"), "status").agg(
@@ -188,12 +189,20 @@ def _paid_by_day(payments: DataFrame, days: Days) -> DataFrame:
         F.sum("recurrent_charge").alias("charges"),
     )
     status = F.struct("status", F.col("n").cast("int").alias("n"))
+    # Payments without an id do not list their status, one with a comma counts as several: both are judged later.
+    refused = F.lit(False) if statuses is None else (
+        (F.col("n") > 0) & F.col("status").isNotNull() & ~F.contains("status", F.lit(",")) & ~F.col("status").isin(*statuses)
+    )
     by_day = by_status.groupBy("subscription_id", "day").agg(
         F.collect_list(status).alias("statuses"),
+        F.bool_or(refused).alias("refused"),
         *[F.sum(c).alias(c) for c in ("n", "amount", "additional_amount", "charges")],
     )
     entry = F.struct("day", "statuses", "n", "amount", "additional_amount", "charges")
-    return by_day.groupBy("subscription_id").agg(F.array_sort(F.collect_list(entry)).alias("paid"))
+    listed = by_day.groupBy("subscription_id").agg(
+        F.sort_array(F.collect_list(entry)).alias("paid"), F.min_by("refused", "day").alias("refused")
+    )
+    return listed.where(~F.col("refused")).drop("refused")
 
 
 def subscription_versions(
@@ -224,7 +233,7 @@ def subscription_versions(
     links = linked.groupBy("subscription_id").agg(F.collect_list(link).alias("links"))
     own = _usable(created_between(subscriptions, days.end)).withColumn("__since", _since(days))
     rows = (
-        own.join(_paid_by_day(payments, days), "subscription_id", "left")
+        own.join(_paid_by_day(payments, days, None if keep_unpaid else statuses), "subscription_id", "left" if keep_unpaid else "inner")
         .join(upgraded, "subscription_id", "left")
         .join(links, "subscription_id", "left")
     )
@@ -244,7 +253,7 @@ def subscription_versions(
     )
     inside = F.filter(changes, lambda d: (d > since) & (until.isNull() | (d < until)))
     rows = rows.where(until.isNull() | (since < until)).withColumn(
-        "__days", F.array_sort(F.array_distinct(F.concat(F.array(since), inside)))
+        "__days", F.sort_array(F.array_distinct(F.concat(F.array(since), inside)))
     )
     version = F.transform("__days", lambda d, i: F.struct(
         d.alias("valid_from"), F.coalesce(F.date_sub(F.get("__days", i + 1), 1), F.date_sub(until, 1), last).alias("valid_to"),
@@ -265,7 +274,7 @@ def subscription_versions(
         "amount": total("amount", "double"),
         "additional_amount": total("additional_amount", "double"),
         "is_recurrent_charge": total("charges", "double") > 0,
-        "payment_status": F.when(F.size("__paid") > 0, F.array_join(F.array_sort(repeated), ",")),
+        "payment_status": F.when(F.size("__paid") > 0, F.array_join(F.sort_array(repeated), ",")),
         "is_upgraded": F.when(F.col("upgrade_known") <= F.col("valid_from"), F.coalesce(F.col("upgraded_since") <= F.col("valid_from"), F.lit(False))),
         "is_upgrade": F.when(F.col("__link.base").isNotNull(), F.coalesce(F.col("__link.yes") <= F.col("valid_from"), F.lit(False))),
         "base_subscription_id": F.col("__link.base"),
@@ -274,6 +283,13 @@ def subscription_versions(
     return _described(state.where(_accepted(statuses, keep_unpaid)), types, "valid_from", "valid_to")
 
 
+def versions_within(versions: DataFrame, days: Days) -> DataFrame:
+    """The versions that hold on some day of ``days``, cut to them."""
+    first, last = (F.lit(str(d)).cast("date") for d in days)
+    held = versions.where((F.col("valid_from") <= last) & (F.col("valid_to") >= first))
+    return held.withColumns({"valid_from": F.greatest("valid_from", first), "valid_to": F.least("valid_to", last)})
+
+
 def _link_type(linked: DataFrame) -> str:
     base = dict(linked.dtypes)["base_subscription_id"]
     return f"struct<base: {base}, kind: string, since: date, yes: date, until: date>"
@@ -466,8 +482,10 @@ def features_by_day(versions: DataFrame, days: Days, points: DataFrame) -> DataF
     """The same for every (user_id, as_of) of ``points``, each with the history known on its day.
 
     ``versions`` are read twice, so they should be stored.  Only the histories of the points are laid
-    out by day; bands of all days come from the versions themselves.
+    out by day; bands of all days come from the versions themselves.  ``days`` may be a part of the
+    period the versions were made for.
     """
+    versions = versions_within(versions, days)
     return _features_of(known_on(versions, points), None, bands_by_day(versions, days))
 
 

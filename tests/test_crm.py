@@ -219,3 +219,29 @@ def test_versions_follow_changes_and_not_days(spark):
     assert short == subs.subscription_versions(*frames, subs.Days("2024-01-01", "2027-05-01")).count() > 0
     nothing = _history(spark, [], [], [])
     assert subs.subscription_versions(*nothing, subs.Days("2024-01-01", "2024-05-01")).count() == 0
+
+
+def test_part_of_a_period_from_the_versions_of_all_of_it(spark):
+    """Versions made for a period serve any days within it: the same features as versions of those days alone."""
+    frames = _history(spark, *_busy_history(3))
+    points = spark.createDataFrame([(str(u), dt.date(2024, 1, day)) for u in range(1, 7) for day in (20, 24)], "user_id string, as_of date")
+    plain = lambda rows: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows), key=repr)
+    all_days, part = subs.Days("2024-01-03", "2024-01-24"), subs.Days("2024-01-20", "2024-01-24")
+    versions = subs.subscription_versions(*frames, all_days)
+    want = plain(subs.features_by_day(subs.subscription_versions(*frames, part), part, points).collect())
+    assert want and plain(subs.features_by_day(versions, part, points).collect()) == want
+    bands = subs.bands_by_day(subs.versions_within(versions, part), part).groupBy("as_of", *subs.BAND_KEYS).count()
+    assert bands.where("count > 1 OR as_of < '2024-01-20'").count() == 0
+
+
+def test_subscriptions_refused_by_their_first_payments_make_no_lists(spark):
+    """A payment without an id does not list its status, so it refuses nothing."""
+    rows = [(k, 7, 1, _at(-60), _at(-60), _at(20)) for k in (1, 2, 3, 4)]
+    paid = [(1, 1, "refund", 1.0, 0.0, 0, _at(-50)), (2, 1, "paid", 1.0, 0.0, 0, _at(5)), (3, 2, "paid", 1.0, 0.0, 0, _at(-50)),
+            (4, 2, "refund", 1.0, 0.0, 0, _at(5)), (None, 3, "refund", 1.0, 0.0, 0, _at(-50)), (5, 3, "paid", 1.0, 0.0, 0, _at(-50)),
+            (6, 4, "paid,prepaid", 1.0, 0.0, 0, _at(-50))]
+    days, frames = subs.Days("2024-01-01", "2024-01-20"), _history(spark, rows, paid)
+    kept = subs._paid_by_day(frames[1], days, subs.ACCEPTED_STATUSES)
+    assert sorted(r.subscription_id for r in kept.collect()) == [2, 3, 4]
+    held = {(r.subscription_id, r.valid_to.day) for r in subs.subscription_versions(*frames, days).collect()}
+    assert held == {(2, 5), (3, 20), (4, 20)}
