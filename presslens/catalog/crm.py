@@ -258,16 +258,24 @@ def churn_profile(spark, sf):
     return _feature_columns(rows, "date", *[c for c in more if c not in DIFF_COLUMNS])
 
 
-def user_rows(spark, sf, start, end):
-    """Complete user profiles of a period: subscription history, behaviour and outcome."""
+def user_history(spark, sf, start, end):
+    """Expiring users and subscription versions of a period, stored; any part of it can be built from them."""
     points = sinks.stored(expiring(spark, sf, start, end), scratch_dir(spark, "expiring"))
-    days = subs.Days(start, end)
     versions = subs.subscription_versions(
         load(spark, sf, "fx_subscriptions"), load(spark, sf, "fx_payments"),
-        load(spark, sf, "fx_subscription_types"), load(spark, sf, "fx_subscription_upgrades"), days,
+        load(spark, sf, "fx_subscription_types"), load(spark, sf, "fx_subscription_upgrades"), subs.Days(start, end),
     )
-    stored = sinks.stored(versions, scratch_dir(spark, "sub_versions"))
-    known = subs.features_by_day(stored, days, points.select("user_id", F.col("date").alias(subs.AS_OF)))
+    return points, sinks.stored(versions, scratch_dir(spark, "sub_versions"))
+
+
+def user_rows(spark, sf, start, end, history=None):
+    """Complete user profiles of a period: subscription history, behaviour and outcome.
+
+    ``history`` is the ``user_history`` of a period that holds this one.
+    """
+    points, versions = history or user_history(spark, sf, start, end)
+    points = points.where(F.col("date").between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+    known = subs.features_by_day(versions, subs.Days(start, end), points.select("user_id", F.col("date").alias(subs.AS_OF)))
     return subs.churn_profile(known, user_outcomes(spark, sf, points, start, end))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from presslens.catalog.daily import event_table, pageviews, user_day_table
 from presslens.catalog.inputs import FIRST_DAY, LAST_DAY
 from presslens.catalog.registry import TABLES, load, query
-from presslens.catalog.crm import DIFF_COLUMNS, PAIR_COLUMNS, STAT_COLUMNS, user_rows
+from presslens.catalog.crm import DIFF_COLUMNS, PAIR_COLUMNS, STAT_COLUMNS, user_history, user_rows
 from presslens.catalog.rolling import SPECS, USER_WINDOW, browser_outcomes, browser_profile, rounded
 from presslens.functions.ids import parse_pg_array
 from presslens.functions.labels import CONVERSION_LABELS, labels_of
@@ -282,9 +282,11 @@ def user_store(spark, version=USER_VERSION):
 def user_backfill(spark, sf):
     """All days but the last in one pass; the resumed run adds the last day on its own and nothing else."""
     store, last = user_store(spark), dt.date.fromisoformat(LAST_DAY)
+    # Versions and expiring users of a day are the same in any period, so both runs read one table of them.
+    history = user_history(spark, sf, FIRST_DAY, LAST_DAY)
 
     def build(start, end):
-        return user_rows(spark, sf, start, end)
+        return user_rows(spark, sf, start, end, history)
 
     store.backfill(build, FIRST_DAY, last - dt.timedelta(1))
     if store.backfill(build, FIRST_DAY, LAST_DAY) != [(last, last)]:
