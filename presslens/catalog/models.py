@@ -389,8 +389,8 @@ def user_model_rows(spark, sf):
     newer = user_store(spark)
     older = replace(newer, version="1.00", spec=FeatureSpec("user"))
     rows = sinks.stored(user_rows(spark, sf, FIRST_DAY, LAST_DAY), scratch_dir(spark, "user_rows"))
-    older.write(rows.where(F.col("date") < F.lit(NEWER).cast("date")), FIRST_DAY, "2024-01-14")
-    newer.write(rows.where(F.col("date") >= F.lit(NEWER).cast("date")), NEWER, LAST_DAY)
+    older.write(rows.where(F.col("date") < F.lit(NEWER).cast("date")), FIRST_DAY, "2024-01-14", stored=True)
+    newer.write(rows.where(F.col("date") >= F.lit(NEWER).cast("date")), NEWER, LAST_DAY, stored=True)
     found = newer.profiles(*OUTCOMES, history_labels=labels_of(CHURN_LABELS, "negative"))
     found = context.with_context(found.where(F.col("outcome").isNotNull()), publisher_context(spark, sf))
     prepared = sinks.stored(training.prepare(found, newer.spec), scratch_dir(spark, "prepared"))

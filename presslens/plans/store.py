@@ -55,16 +55,18 @@ class ProfileStore:
                 runs.append((day, day))
         return runs
 
-    def write(self, rows: DataFrame, start: Day, end: Day) -> int:
+    def write(self, rows: DataFrame, start: Day, end: Day, stored: bool = False) -> int:
         """Pack wide rows and replace the days they belong to; days without rows are marked as done.
 
         The wide rows are written first: packing hundreds of columns in the plan that computes
-        them makes one expression of everything.
+        them makes one expression of everything.  ``stored`` says that they are read from a table
+        already.  Days are dealt out before packing, because numbers are smaller than their texts.
         """
-        wide = sinks.stored(rows, scratch_dir(self.spark, "wide"))
+        wide = rows if stored else sinks.stored(rows, scratch_dir(self.spark, "wide"))
         created = None if self.created_at is None else F.lit(self.created_at).cast("timestamp_ntz")
-        packed = packing.pack_features(wide, self.spec, self.window_days, self.version, created)
-        n = sinks.write_profiles(packed, self.path)
+        dealt = wide.hint("rebalance", "date")
+        packed = packing.pack_features(dealt, self.spec, self.window_days, self.version, created)
+        n = sinks.write_profiles(packed, self.path, rebalance=False)
         for first, last in self.missing(start, end):
             for k in range((last - first).days + 1):
                 sinks.make_folder(self.spark, self._folder(first + dt.timedelta(k)))

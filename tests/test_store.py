@@ -86,3 +86,14 @@ def test_the_newest_row_of_a_key_is_stored_under_any_partitioning(spark, tmp_pat
     assert sorted(again.select(*rows.columns).collect()) == sorted(old)
     with pytest.raises(ValueError):
         sinks.upsert(rows, path, ["k"], ["at"], ["date"])
+
+
+def test_rows_of_a_table_are_packed_without_another_copy(spark, tmp_path, monkeypatch):
+    copies, own = [], sinks.stored
+    monkeypatch.setattr(sinks, "stored", lambda df, path: copies.append(path) or own(df, path))
+    rows = spark.createDataFrame(wide(spark, day(1), day(3)).collect())
+    once, again = (ProfileStore(spark, str(tmp_path / p), SPEC, 7, "1", dt.datetime(2024, 2, 1)) for p in ("a", "b"))
+    assert once.write(rows, day(1), day(3), stored=True) == 6 and copies == []
+    assert again.write(rows, day(1), day(3)) == 6 and len(copies) == 1
+    plain = lambda store: sorted(map(str, store.read().collect()))
+    assert plain(once) == plain(again)
